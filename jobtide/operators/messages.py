@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
 from jobtide.functions.topics import topic_regex
+from jobtide.operators.once import evaluate_once
 
 ACK, REQUEUE, DEAD_LETTER, UNROUTED = "ack", "requeue", "dead_letter", "unrouted"
 
@@ -82,7 +83,7 @@ def _type_test(kind: str, typed: Column, number: Column) -> Column:
         "array": lambda: typed.startswith("ARRAY"),
         "number": lambda: typed.rlike(_NUMBER),
         "integer": lambda: (typed == "BIGINT")
-        | (typed.rlike(_NUMBER) & (number == F.floor(number).cast("double"))),
+        | (typed.rlike(_NUMBER) & (number % 1 == 0)),
     }
     if kind not in tests:
         raise ValueError(f"unsupported JSON type: {kind}")
@@ -122,18 +123,28 @@ class MessageCheck:
     def fields(self) -> list[str]:
         return [*self.types, *[r for r in self.required if r not in self.types]]
 
-    def reason(self, document: str) -> Column:
-        """First violated rule of a parsed document, NULL when there is none."""
-        root = F.schema_of_variant(F.expr(f"try_variant_get({document}, '$[0]', 'variant')"))
-        result = F.when(root.isNull(), "not_json").when(~root.startswith("OBJECT"), "type:$")
+    def facts(self, document: str, text: str) -> Column:
+        """What the rules look at: is it an object, and the type of each known field."""
+        is_object = F.col(text).rlike(r"^[ \t\r\n]*\{")
+        parts = [F.when(F.col(document).isNotNull(), is_object).alias("is_object")]
+        for i, field in enumerate(self.fields):
+            parts.append(_variant_type(document, field).alias(f"type{i}"))
+            if "integer" in self.types.get(field, ()):
+                parts.append(_variant_value(document, field, "double").alias(f"number{i}"))
+        return F.struct(*parts)
+
+    def reason(self, facts: str) -> Column:
+        """First violated rule given the facts of a document, NULL when there is none."""
+        is_object = F.col(f"{facts}.is_object")
+        result = F.when(is_object.isNull(), "not_json").when(~is_object, "type:$")
+        place = {field: i for i, field in enumerate(self.fields)}
         for field in self.required:
-            typed = _variant_type(document, field)
-            result = result.when(typed.isNull(), f"missing:{field}")
+            result = result.when(F.col(f"{facts}.type{place[field]}").isNull(), f"missing:{field}")
         for field, kinds in self.types.items():
             if not kinds:
                 continue
-            typed = _variant_type(document, field)
-            number = _variant_value(document, field, "double")
+            typed = F.col(f"{facts}.type{place[field]}")
+            number = F.col(f"{facts}.number{place[field]}") if "integer" in kinds else F.lit(0.0)
             fits = reduce(lambda a, b: a | b, (_type_test(k, typed, number) for k in kinds))
             result = result.when(typed.isNotNull() & ~fits, f"type:{field}")
         return result
@@ -161,19 +172,21 @@ def _variant_type(document: str, field: str) -> Column:
     return F.schema_of_variant(_variant_value(document, field, "variant"))
 
 
-def parse_body(body: Column) -> Column:
-    """The whole body as one JSON document, NULL for anything else.
+def _paired(body: Column) -> Column:
+    """Body and its check number parsed as one JSON array, NULL when that is not JSON.
 
-    The JSON parser stops after the first value and would accept what trails behind it.
-    Body and a check number are therefore parsed as a pair: text behind the document ends
-    the pair early or shifts the check number, and either is noticed.
+    The JSON parser stops after the first value and would accept what trails behind it.  Text
+    behind the document ends the pair early or shifts the check number, and either is noticed.
     """
-    check = F.xxhash64(body)
-    pair = F.try_parse_json(
-        F.concat(F.lit("["), body, F.lit(","), check.cast("string"), F.lit("]"))
-    )
-    # the number must stand right behind the document
-    return F.when(F.try_variant_get(pair, "$[1]", "bigint") == check, pair)
+    number = F.xxhash64(body).cast("string")
+    return F.try_parse_json(F.concat(F.lit("["), body, F.lit(","), number, F.lit("]")))
+
+
+def parse_body(messages: DataFrame, text: str, into: str) -> DataFrame:
+    """Add the whole text as one JSON document (first of a pair), NULL for anything else."""
+    whole = F.try_variant_get(F.col("__pair"), "$[1]", "bigint") == F.xxhash64(text)
+    paired = evaluate_once(messages, "__pair", _paired(F.col(text)))
+    return paired.withColumn(into, F.when(whole, F.col("__pair"))).drop("__pair")
 
 
 def validate(
@@ -194,11 +207,12 @@ def validate(
     binary = isinstance(messages.schema[body].dataType, T.BinaryType)
     text = F.col(body).cast("string")
     decoded = F.when(F.is_valid_utf8(text), text) if binary else text
-    parsed = messages.withColumn("__text", decoded).withColumn("__doc", parse_body(F.col("__text")))
+    documents = parse_body(messages.withColumn("__text", decoded), "__text", "__doc")
+    parsed = evaluate_once(documents, "__facts", check.facts("__doc", "__text"))
     undecodable = F.col("__text").isNull() & F.col(body).isNotNull()
     judged = parsed.withColumn(
         "reason",
-        F.when(undecodable, "not_utf8").otherwise(check.reason("__doc")),
+        F.when(undecodable, "not_utf8").otherwise(check.reason("__facts")),
     )
     values = {
         rename.get(field, field.replace("-", "_")): value
@@ -207,15 +221,10 @@ def validate(
     return (
         judged.withColumns(values)
         .withColumn("disposition", F.when(F.col("reason").isNull(), ACK).otherwise(DEAD_LETTER))
-        .drop("__text", "__doc")
+        .drop("__text", "__doc", "__facts")
     )
 
 
-def field_type(body: Column, field: str) -> Column:
-    """Type text of one field of a JSON body (VOID for null, NULL when absent)."""
-    return F.schema_of_variant(F.try_variant_get(parse_body(body), _path(field), "variant"))
-
-
 # --- handlers ----------------------------------------------------------------------------
 
 

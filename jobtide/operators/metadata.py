@@ -7,6 +7,8 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
+from jobtide.operators.once import evaluate_once
+
 SCHEMA_FILE = Path(__file__).resolve().parent.parent / "schemas" / "metadata.xsd"
 
 _CORRUPT = "_corrupt_record"
@@ -47,7 +49,7 @@ def parse_metadata(df: DataFrame, column: str, xsd: str | Path = SCHEMA_FILE) ->
         "columnNameOfCorruptRecord": _CORRUPT,
         "rowValidationXSDPath": ship_schema(df.sparkSession, xsd),
     }
-    parsed = df.withColumn("__xml", F.from_xml(F.col(column), DOCUMENT, options))
+    parsed = evaluate_once(df, "__xml", F.from_xml(F.col(column), DOCUMENT, options))
     group = F.col("__xml")["meta-group"]
     valid = F.col(column).isNotNull() & F.col("__xml")[_CORRUPT].isNull()
     return parsed.withColumns(

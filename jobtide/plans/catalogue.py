@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from jobtide.plans import events
+from jobtide.plans import events, launches, messages
 
-ALL = {**events.QUERIES}
+ALL = {**events.QUERIES, **messages.QUERIES, **launches.QUERIES}

@@ -52,8 +52,8 @@ def compare(spark, con, sf_dir, name, run, sql):
     if got_columns != want_columns:
         return f"columns {got_columns} != {want_columns}"
     if got != want:
-        only_got = [r for r in got if r not in set(want)][:3]
-        only_want = [r for r in want if r not in set(got)][:3]
+        only_got = sorted(set(got) - set(want))[:3]
+        only_want = sorted(set(want) - set(got))[:3]
         return f"{len(got)} rows against {len(want)}\n  spark {only_got}\n  check {only_want}"
     if not got:
         return "no rows on either side"
