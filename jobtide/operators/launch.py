@@ -52,21 +52,23 @@ def launch_command(metadata_path: Column, route: Column) -> Column:
     )
 
 
-def check_metadata(valid: DataFrame, xsd=SCHEMA_FILE) -> DataFrame:
-    """Reject requests whose metadata is not valid; their outcome message says so."""
-    parsed = parse_metadata(valid, "inmeta", xsd)
-    bad = ~F.col("metadata_valid")
-    return (
-        parsed.withColumns(
-            {
-                "disposition": F.when(bad, DEAD_LETTER).otherwise(ACK),
-                "reason": F.when(bad, "xml"),
-                "outcome_key": F.when(bad, fixed.STATUS_KEY_PREFIX + fixed.INVALID),
-                "error": F.when(bad, "metadata is not valid"),
-            }
-        )
-        .withColumn("outcome_body", F.when(bad, outcome_body(F.col("body"), {"error": F.col("error")})))
-    )
+def check_metadata(requests: DataFrame, xsd=SCHEMA_FILE) -> DataFrame:
+    """Reject requests whose metadata is not valid; their outcome message says so.
+
+    Requests rejected before are passed on as they are, and their metadata is not parsed.
+    """
+    fit = F.col("disposition") == ACK
+    parsed = parse_metadata(requests.withColumn("__xml_text", F.when(fit, F.col("inmeta"))), "__xml_text", xsd)
+    bad = fit & ~F.col("metadata_valid")
+    error = F.lit("metadata is not valid")
+    return parsed.withColumns(
+        {
+            "disposition": F.when(bad, DEAD_LETTER).otherwise(F.col("disposition")),
+            "reason": F.when(bad, "xml").otherwise(F.col("reason")),
+            "outcome_key": F.when(bad, fixed.STATUS_KEY_PREFIX + fixed.INVALID),
+            "outcome_body": F.when(bad, outcome_body(F.col("body"), {"error": error})),
+        }
+    ).drop("__xml_text")
 
 
 def outcome_body(body: Column, extra: Mapping[str, Column]) -> Column:

@@ -37,6 +37,13 @@ class Binding:
     handler: str
 
 
+def fits(binding: Binding) -> Column:
+    """Does the message reach the queue of the binding?"""
+    return (F.col("exchange") == binding.exchange) & F.col("routing_key").rlike(
+        topic_regex(binding.pattern)
+    )
+
+
 def matching_bindings(bindings: Sequence[Binding]) -> Column:
     """Array of the bindings that a message fits.
 
@@ -45,8 +52,7 @@ def matching_bindings(bindings: Sequence[Binding]) -> Column:
     """
     hits = [
         F.when(
-            (F.col("exchange") == b.exchange) & F.col("routing_key").rlike(topic_regex(b.pattern)),
-            F.struct(F.lit(b.handler).alias("handler"), F.lit(b.pattern).alias("pattern")),
+            fits(b), F.struct(F.lit(b.handler).alias("handler"), F.lit(b.pattern).alias("pattern"))
         )
         for b in bindings
     ]
@@ -64,7 +70,8 @@ def route(messages: DataFrame, bindings: Sequence[Binding]) -> DataFrame:
 
 def unrouted(messages: DataFrame, bindings: Sequence[Binding]) -> DataFrame:
     """Messages that no queue receives."""
-    return messages.where(F.size(matching_bindings(bindings)) == 0)
+    reached = reduce(lambda a, b: a | b, (fits(b) for b in bindings), F.lit(False))
+    return messages.where(~F.coalesce(reached, F.lit(False)))
 
 
 # --- schema check ----------------------------------------------------------------------
@@ -238,7 +245,9 @@ class Handler:
 
     ``transform`` receives the valid messages and returns them with, where it wants to,
     changed ``disposition`` (``ack``, ``requeue`` or ``dead_letter``) and ``reason`` and with
-    ``outcome_key`` and ``outcome_body`` of a message to publish.
+    ``outcome_key`` and ``outcome_body`` of a message to publish.  With ``sees_all`` it gets
+    the rejected messages too and has to leave those alone (their fields are to be ignored);
+    the messages are then read and parsed once instead of once per side.
     """
 
     name: str
@@ -246,6 +255,7 @@ class Handler:
     pattern: str
     schema: dict | None
     transform: Callable[[DataFrame], DataFrame] = _keep
+    sees_all: bool = False
 
     @property
     def binding(self) -> Binding:
@@ -267,13 +277,18 @@ def process(
     micro-batch there so that bodies are parsed once.
     """
     base = messages.columns
-    routed = route(messages, [h.binding for h in handlers])
     parts = []
     for handler in handlers:
-        own = hold(validate(routed.where(F.col("handler") == handler.name), handler.schema))
-        parts.append(_verdicts(own.where(F.col("disposition") != ACK), base))
-        if handler.schema is not None:
-            handled = handler.transform(own.where(F.col("disposition") == ACK))
+        # equality on the exchange reaches the scan, the pattern is checked on what is left
+        own = messages.where(fits(handler.binding)).withColumn("handler", F.lit(handler.name))
+        checked = hold(validate(own, handler.schema))
+        if handler.schema is None or handler.transform is _keep:
+            parts.append(_verdicts(checked, base))
+        elif handler.sees_all:
+            parts.append(_verdicts(handler.transform(checked), base))
+        else:
+            parts.append(_verdicts(checked.where(F.col("disposition") != ACK), base))
+            handled = handler.transform(checked.where(F.col("disposition") == ACK))
             parts.append(_verdicts(handled, base))
     lost = unrouted(messages, [h.binding for h in handlers]).withColumns(
         {"handler": F.lit(None).cast("string"), "disposition": F.lit(UNROUTED), "reason": F.lit("no_binding")}

@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
-from jobtide.plans import events, launches, messages
+from jobtide.plans import events, launches, logs, messages, reaping
 
-ALL = {**events.QUERIES, **messages.QUERIES, **launches.QUERIES}
+ALL = {
+    **events.QUERIES,
+    **messages.QUERIES,
+    **launches.QUERIES,
+    **reaping.QUERIES,
+    **logs.QUERIES,
+}

@@ -13,7 +13,7 @@ REQUESTS, JOBS = "requests", "jobs"
 QUEUE_PREFIX = "queue-"
 
 UPLOAD_HANDLER = mq.Handler(
-    "uploads", REQUESTS, fixed.UPLOAD_PATTERN, fixed.UPLOAD_SCHEMA, launch.check_metadata
+    "uploads", REQUESTS, fixed.UPLOAD_PATTERN, fixed.UPLOAD_SCHEMA, launch.check_metadata, sees_all=True
 )
 STATUS_HANDLER = mq.Handler("statuses", JOBS, fixed.STATUS_PATTERN, fixed.STATUS_SCHEMA)
 EVERYTHING = mq.Binding(JOBS, "cds.#", "everything")
