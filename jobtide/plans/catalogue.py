@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from jobtide.plans import events, launches, logs, messages, reaping
+from jobtide.plans import events, launches, logs, messages, reaping, streams
 
 ALL = {
     **events.QUERIES,
@@ -10,4 +10,5 @@ ALL = {
     **launches.QUERIES,
     **reaping.QUERIES,
     **logs.QUERIES,
+    **streams.QUERIES,
 }
