@@ -8,34 +8,56 @@ from pyspark.sql import Column, functions as F
 
 from jobtide import fixed
 
-# The character rules of job names and labels.  `(?U)\s` is Unicode white
-# space; the four separator control characters count as white space as well.
-_WHITE_SPACE = r"(?U)[\s\x1c-\x1f]+"
-_NOT_NAME = "[^A-Za-z0-9-]"
-_NOT_LABEL = r"[^A-Za-z0-9\-_.]"
+# The character rules of job names and labels.  White space is what Unicode
+# calls so, and the four separator control characters; plain ranges match much faster than a
+# Unicode-aware character class.
+_SPACE_SET = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_NAME_SET = "A-Za-z0-9-"
+_LABEL_SET = r"A-Za-z0-9\-_."
 _TRAILING = "[^a-z0-9]+$"
 _LEADING = "^[^a-z0-9]+"
 _NOT_WORD = "[^A-Za-z0-9_]"
 
 
-def clean_name(text: Column, limit: int = fixed.JOB_NAME_LIMIT) -> Column:
-    """Lower-case letters, digits and inner dashes only, at most ``limit`` long."""
-    dashed = F.regexp_replace(text, _WHITE_SPACE, "-")
-    kept = F.lower(F.regexp_replace(dashed, _NOT_NAME, ""))
+def kept_characters(text: Column, enough: int = fixed.JOB_NAME_LIMIT + 1) -> Column:
+    """The first ``enough`` of the letters, digits and dashes of a text, in lower case.
+
+    A run of white space becomes one dash.  The text is searched as far as it takes to find
+    that many, to its end if need be; what lies behind them cannot change a name, so it is
+    not rewritten.  ``enough`` is one more than a name may have, hence too long stays too long.
+    """
+    piece = rf"^(?:[^{_NAME_SET}{_SPACE_SET}]*+(?:[{_SPACE_SET}]++|[{_NAME_SET}])){{0,{enough}}}+"
+    found = F.regexp_extract(text, piece, 0)
+    dashed = F.regexp_replace(found, f"[{_SPACE_SET}]+", "-")
+    return F.lower(F.regexp_replace(dashed, f"[^{_NAME_SET}]+", ""))
+
+
+def trim_name(kept: Column, limit: int = fixed.JOB_NAME_LIMIT) -> Column:
+    """Cut at the limit, then drop dashes at either end."""
     cut = F.substring(kept, 1, limit)
     return F.regexp_replace(F.regexp_replace(cut, _TRAILING, ""), _LEADING, "")
 
 
+def clean_name(text: Column, limit: int = fixed.JOB_NAME_LIMIT) -> Column:
+    """Lower-case letters, digits and inner dashes only, at most ``limit`` long."""
+    return trim_name(kept_characters(text), limit)
+
+
 def safe_label(text: Column) -> Column:
-    """Label characters only; from the length limit on it is cut and ends in dots."""
-    kept = F.regexp_replace(text, _NOT_LABEL, "")
-    short = F.concat(F.substring(kept, 1, fixed.LABEL_KEEP), F.lit(fixed.LABEL_ELLIPSIS))
-    return F.when(F.length(kept) < fixed.LABEL_LIMIT, kept).otherwise(short)
+    """Label characters only; from the length limit on it is cut and ends in dots.
+
+    As for names, the text is searched until a full label is found or it ends.
+    """
+    piece = rf"^(?:[^{_LABEL_SET}]*+[{_LABEL_SET}]){{0,{fixed.LABEL_LIMIT}}}+"
+    kept = F.regexp_replace(F.regexp_extract(text, piece, 0), f"[^{_LABEL_SET}]+", "")
+    rest = fixed.LABEL_LIMIT - fixed.LABEL_KEEP
+    too_long = f"^(.{{{fixed.LABEL_KEEP}}}).{{{rest},}}$"
+    return F.regexp_replace(kept, too_long, "$1" + fixed.LABEL_ELLIPSIS)
 
 
-def file_stem(hint: Column) -> Column:
-    """Cleaned hint up to its first dot (cleaning has removed the dots already)."""
-    return F.split_part(clean_name(hint), F.lit("."), F.lit(1))
+def file_stem(kept_hint: Column) -> Column:
+    """Clean name of the hint up to its first dot (no dot is left in it by now)."""
+    return F.split_part(trim_name(kept_hint), F.lit("."), F.lit(1))
 
 
 def token(length: int, *parts: Column) -> Column:
@@ -49,22 +71,19 @@ def name_hint(fallback: Column, *candidates: Column) -> Column:
     return F.coalesce(*candidates, fallback)
 
 
-def job_name(hint: Column, suffix: Column, keep_suffix: bool = True) -> Column:
-    """Prefix, hint and suffix as one clean name.
+def job_name(kept_hint: Column, suffix: Column, keep_suffix: bool = True) -> Column:
+    """Prefix, hint (its kept characters) and suffix as one clean name.
 
     With ``keep_suffix`` a long hint is shortened so that the suffix survives and names stay
     apart; without it the whole text is cut at the limit.
     """
-    whole = clean_name(F.concat(F.lit(fixed.JOB_PREFIX), hint, F.lit("-"), suffix))
+    head = F.concat(F.lit(fixed.JOB_PREFIX), kept_hint)
+    whole = F.concat(head, F.lit("-"), F.lower(suffix))
     if not keep_suffix:
-        return whole
+        return trim_name(whole)
     room = fixed.JOB_NAME_LIMIT - fixed.JOB_TOKEN_LENGTH - 1
-    uncut = clean_name(
-        F.concat(F.lit(fixed.JOB_PREFIX), hint, F.lit("-"), suffix), limit=1 << 20
-    )
-    head = clean_name(F.concat(F.lit(fixed.JOB_PREFIX), hint), limit=room)
-    shortened = F.concat(head, F.lit("-"), F.lower(suffix))
-    return F.when(F.length(uncut) <= fixed.JOB_NAME_LIMIT, whole).otherwise(shortened)
+    shortened = F.concat(trim_name(head, room), F.lit("-"), F.lower(suffix))
+    return F.when(F.length(whole) <= fixed.JOB_NAME_LIMIT, trim_name(whole)).otherwise(shortened)
 
 
 def queue_name(pattern: Column, prefix: str) -> Column:

@@ -12,6 +12,8 @@ from jobtide.operators.messages import ACK, DEAD_LETTER
 from jobtide.operators.metadata import SCHEMA_FILE, parse_metadata
 from jobtide.operators.naming import allocate_names
 from jobtide.operators.numbering import DEFAULT_SLICE
+from jobtide.operators.once import evaluate_once
+from jobtide.session import written
 
 _DELIVERY = ("exchange", "routing_key", "body", "delivery_id")
 
@@ -95,10 +97,13 @@ def plan_launches(
     letters with a reason and an ``invalid`` outcome.
     """
     delivery = [F.col(c) for c in _DELIVERY]
-    hinted = requests.withColumn("hint", filename_hint(*delivery)).withColumn(
-        "stem", names.file_stem(F.col("hint"))
-    )
-    named = allocate_names(hinted, existing, "delivery_id", slice_width=slice_width)
+    hinted = evaluate_once(
+        requests.withColumn("hint", filename_hint(*delivery)),
+        "__kept",
+        names.kept_characters(F.col("hint")),
+    ).withColumn("stem", names.file_stem(F.col("__kept")))
+    # name allocation reads its input three times, twice only the stems; parse it once
+    named = allocate_names(written(hinted, "requests"), existing, "delivery_id", slice_width=slice_width)
     reason = F.when(F.col("stem") == "", "blank_name").when(F.col("target_name").isNull(), "no_free_name")
     path = F.concat(
         F.lit(base_path.rstrip("/") + "/"), F.col("target_name"), F.lit(fixed.METADATA_SUFFIX)
@@ -108,7 +113,7 @@ def plan_launches(
     planned = named.withColumn("reason", reason).withColumns(
         {
             "disposition": F.when(F.col("reason").isNull(), ACK).otherwise(DEAD_LETTER),
-            "job_name": names.job_name(F.col("hint"), suffix),
+            "job_name": names.job_name(F.col("__kept"), suffix),
             "job_namespace": F.lit(namespace),
             "metadata_path": F.when(F.col("reason").isNull(), path),
             "labels": labels,
@@ -121,7 +126,7 @@ def plan_launches(
             "status": F.when(ok, fixed.STARTED).otherwise(fixed.INVALID),
             "error": F.when(~ok, F.concat(F.lit("cannot launch: "), F.col("reason"))),
         }
-    )
+    ).drop("__kept")
 
 
 def job_document(template: Mapping | None = None) -> Column:

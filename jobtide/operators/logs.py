@@ -60,12 +60,11 @@ def limit_lines(lines: DataFrame, limit: int = fixed.LINE_LIMIT_BYTES) -> DataFr
 
     The full text stays in ``line``; ``shown`` holds the part within the limit.
     """
-    raw = F.encode("line", "UTF-8")
     size = F.octet_length("line")
-    # a cut inside a character leaves a broken tail, which is dropped
-    cut = F.regexp_replace(
-        F.decode(F.substring(raw, 1, limit), "UTF-8"), "�+$", ""
-    )
+    raw = F.encode("line", "UTF-8")
+    # a character has at most four bytes: one of these cuts falls between two characters
+    cuts = [F.substring(raw, 1, limit - back).cast("string") for back in range(4)]
+    cut = F.coalesce(*[F.try_validate_utf8(c) for c in cuts], F.make_valid_utf8(cuts[0]))
     return lines.withColumns(
         {
             "line_bytes": size.cast("bigint"),

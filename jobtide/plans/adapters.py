@@ -61,7 +61,8 @@ _FULL_BODY = (
     + " || '}'"
 )
 
-_BODY = f"CASE WHEN o_orderkey % 19 = 0 THEN substr({_FULL_BODY}, 1, 60) ELSE {_FULL_BODY} END"
+# Some bodies are cut off in the middle.
+_BODY = f"substr({_FULL_BODY}, 1, CASE WHEN o_orderkey % 19 = 0 THEN 60 ELSE 1000000 END)"
 
 _UPLOADS = {
     "exchange": "'requests'",

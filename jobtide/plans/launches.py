@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from jobtide import fixed
 from jobtide.functions import names
 from jobtide.operators import jobs, launch, messages as mq, naming
+from jobtide.operators.once import evaluate_once
+from jobtide.operators.spread import spread
 from jobtide.plans.adapters import table, view, with_views
 from jobtide.plans.events import CLASSIFIED, WATCHED, events_with_conditions
 from jobtide.plans.messages import REQUESTS, UPLOAD_HANDLER, uploads, verdicts_sql
@@ -68,11 +70,9 @@ def _existing(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _plan(spark: SparkSession, sf: str) -> DataFrame:
-    routed = mq.route(uploads(spark, sf), [UPLOAD_HANDLER.binding])
-    checked = launch.check_metadata(
-        mq.validate(routed, fixed.UPLOAD_SCHEMA).where(F.col("disposition") == mq.ACK)
-    )
-    valid = checked.where(F.col("disposition") == mq.ACK)
+    routed = uploads(spark, sf).where(mq.fits(UPLOAD_HANDLER.binding))
+    checked = launch.check_metadata(mq.validate(routed, fixed.UPLOAD_SCHEMA))
+    valid = checked.where(F.col("disposition") == mq.ACK).drop("metadata_pairs", "metadata_type")
     return launch.plan_launches(valid, _existing(spark, sf), BASE_PATH, "ns", BASE_LABELS)
 
 
@@ -227,7 +227,7 @@ FROM planned WHERE reason IS NULL GROUP BY 1"""
 
 
 def unique_filenames(spark, sf):
-    requests = view(spark, sf, "filename_requests").withColumn("stem", names.file_stem(F.col("part_name")))
+    requests = view(spark, sf, "filename_requests").withColumn("stem", names.file_stem(names.kept_characters(F.col("part_name"))))
     existing = requests.select(
         F.explode(F.array(*[F.concat("stem", F.lit(s)) for s in _TAKEN_SUFFIXES])).alias("name")
     ).distinct()
@@ -247,7 +247,7 @@ SELECT delivery_id, stem, CAST(slot AS BIGINT) AS slot, target_name FROM allocat
 
 
 def label_map(spark, sf):
-    documents = table(spark, sf, "documents").select(
+    documents = spread(table(spark, sf, "documents"), "doc_id").select(
         "doc_id",
         F.col("doc_id").alias("deliverable_asset"),
         F.when(F.col("doc_id") % 3 > 0, F.col("doc_id") * 2).alias("deliverable_bundle"),
@@ -257,7 +257,7 @@ def label_map(spark, sf):
     )
     own = launch.label_map(launch.request_labels())
     base = F.create_map(*[F.lit(x) for pair in BASE_LABELS.items() for x in pair])
-    labelled = documents.withColumn("labels", launch.merge_labels(base, own))
+    labelled = evaluate_once(documents, "labels", launch.merge_labels(base, own))
     return labelled.select(
         "doc_id",
         F.size("labels").cast("bigint").alias("label_count"),
@@ -274,13 +274,15 @@ FROM documents"""
 
 
 def job_names(spark, sf):
-    documents = table(spark, sf, "documents")
+    documents = spread(table(spark, sf, "documents").select("doc_id", "source", "text"), "doc_id")
     suffix = names.token(fixed.JOB_TOKEN_LENGTH, F.col("doc_id"), F.col("source"))
-    return documents.select(
+    kept = evaluate_once(documents, "kept", names.kept_characters(F.col("text")))
+    source = names.kept_characters(F.col("source"))
+    return kept.select(
         "doc_id",
-        names.clean_name(F.col("text")).alias("clean_name"),
-        names.job_name(F.col("text"), suffix).alias("job_name"),
-        names.job_name(F.col("source"), suffix, keep_suffix=False).alias("short_name"),
+        names.trim_name(F.col("kept")).alias("clean_name"),
+        names.job_name(F.col("kept"), suffix).alias("job_name"),
+        names.job_name(source, suffix, keep_suffix=False).alias("short_name"),
     )
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from jobtide import fixed
 from jobtide.functions import names
 from jobtide.operators import launch, messages as mq, metadata
+from jobtide.operators.spread import spread
 from jobtide.plans.adapters import view, with_views
 
 REQUESTS, JOBS = "requests", "jobs"
@@ -22,7 +23,8 @@ BINDINGS = [UPLOAD_HANDLER.binding, STATUS_HANDLER.binding, EVERYTHING]
 
 def uploads(spark: SparkSession, sf: str) -> DataFrame:
     """Upload messages as they arrive, bodies as bytes."""
-    return view(spark, sf, "upload_messages").withColumn("body", F.col("body").cast("binary"))
+    messages = view(spark, sf, "upload_messages").withColumn("body", F.col("body").cast("binary"))
+    return spread(messages, "delivery_id")
 
 
 def statuses(spark: SparkSession, sf: str) -> DataFrame:
@@ -176,7 +178,7 @@ FROM verdicts WHERE handler = 'statuses' AND disposition = 'ack'"""
 
 
 def _documents(spark, sf) -> DataFrame:
-    return metadata.parse_metadata(view(spark, sf, "metadata_docs"), "xml")
+    return metadata.parse_metadata(spread(view(spark, sf, "metadata_docs"), "doc"), "xml")
 
 
 def metadata_valid(spark, sf):

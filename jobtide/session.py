@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings that operators rely on; none of them depends on data size.
 RUNTIME_SETTINGS = {
@@ -62,6 +62,17 @@ def run_dir(spark: SparkSession, purpose: str) -> str:
     return f"{shared_dir(spark)}/jobtide/{purpose}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """Write an intermediate table to the shared folder and read it back.
+
+    For input that a plan reads several times and that is costly to make.  It survives the
+    loss of executors, and each reader takes only the columns it needs.
+    """
+    folder = run_dir(df.sparkSession, purpose)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def pin_splits(spark: SparkSession) -> None:
     """Fix the split planning of file scans for this session.
 

@@ -20,10 +20,10 @@ def read_cursors(spark: SparkSession, root: str, look: int) -> DataFrame:
     """Cursor of each log after the looks before ``look``."""
     if look == 0:
         return spark.createDataFrame([], _CURSORS)
-    paths = [f"{root}/cursors/look={n}" for n in range(look)]
     return (
-        spark.read.schema(_CURSORS)
-        .parquet(*paths)
+        spark.read.schema(f"{_CURSORS}, look INT")
+        .parquet(f"{root}/cursors")
+        .where(F.col("look") < look)
         .groupBy("route", "log")
         .agg(F.max("next_line").alias("next_line"), F.max("last_modified").alias("last_modified"))
     )
