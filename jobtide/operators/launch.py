@@ -97,26 +97,29 @@ def plan_launches(
     letters with a reason and an ``invalid`` outcome.
     """
     delivery = [F.col(c) for c in _DELIVERY]
-    hinted = evaluate_once(
-        requests.withColumn("hint", filename_hint(*delivery)),
-        "__kept",
-        names.kept_characters(F.col("hint")),
-    ).withColumn("stem", names.file_stem(F.col("__kept")))
+    once = F.struct(
+        names.kept_characters(F.col("hint")).alias("kept"),
+        names.token(fixed.JOB_TOKEN_LENGTH, *delivery).alias("suffix"),
+    )
+    hinted = evaluate_once(requests.withColumn("hint", filename_hint(*delivery)), "__once", once)
+    prepared = hinted.withColumns(
+        {
+            "stem": names.file_stem(F.col("__once.kept")),
+            "job_name": names.job_name(F.col("__once.kept"), F.col("__once.suffix")),
+            "labels": label_map(request_labels(), base_labels),
+        }
+    ).drop("__once")
     # name allocation reads its input three times, twice only the stems; parse it once
-    named = allocate_names(written(hinted, "requests"), existing, "delivery_id", slice_width=slice_width)
+    named = allocate_names(written(prepared, "requests"), existing, "delivery_id", slice_width=slice_width)
     reason = F.when(F.col("stem") == "", "blank_name").when(F.col("target_name").isNull(), "no_free_name")
     path = F.concat(
         F.lit(base_path.rstrip("/") + "/"), F.col("target_name"), F.lit(fixed.METADATA_SUFFIX)
     )
-    suffix = names.token(fixed.JOB_TOKEN_LENGTH, *delivery)
-    labels = label_map(request_labels(), base_labels)
     planned = named.withColumn("reason", reason).withColumns(
         {
             "disposition": F.when(F.col("reason").isNull(), ACK).otherwise(DEAD_LETTER),
-            "job_name": names.job_name(F.col("__kept"), suffix),
             "job_namespace": F.lit(namespace),
             "metadata_path": F.when(F.col("reason").isNull(), path),
-            "labels": labels,
         }
     )
     ok = F.col("reason").isNull()
@@ -126,7 +129,7 @@ def plan_launches(
             "status": F.when(ok, fixed.STARTED).otherwise(fixed.INVALID),
             "error": F.when(~ok, F.concat(F.lit("cannot launch: "), F.col("reason"))),
         }
-    ).drop("__kept")
+    )
 
 
 def job_document(template: Mapping | None = None) -> Column:

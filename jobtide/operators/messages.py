@@ -232,6 +232,17 @@ def validate(
     )
 
 
+def check_size(messages: DataFrame, max_bytes: int, body: str = "body") -> DataFrame:
+    """Outgoing messages too long for the broker are rejected instead of published."""
+    too_long = F.octet_length(body) > max_bytes
+    return messages.withColumns(
+        {
+            "disposition": F.when(too_long, DEAD_LETTER).otherwise(ACK),
+            "reason": F.when(too_long, "body_too_long"),
+        }
+    )
+
+
 # --- handlers ----------------------------------------------------------------------------
 
 

@@ -8,7 +8,7 @@ from jobtide import fixed
 from jobtide.functions import names
 from jobtide.operators import launch, messages as mq, metadata
 from jobtide.operators.spread import spread
-from jobtide.plans.adapters import view, with_views
+from jobtide.plans.adapters import table, view, with_views
 
 REQUESTS, JOBS = "requests", "jobs"
 QUEUE_PREFIX = "queue-"
@@ -174,6 +174,17 @@ SELECT delivery_id, 'uid-' || CAST(delivery_id AS VARCHAR) AS job_id, 'cds-' ||
 FROM verdicts WHERE handler = 'statuses' AND disposition = 'ack'"""
 
 
+def oversize_messages(spark, sf):
+    """Texts as outgoing messages for a broker that takes 4 KiB each."""
+    outgoing = table(spark, sf, "documents").select("doc_id", F.col("text").alias("body"))
+    return mq.check_size(outgoing, 4096).select("doc_id", "disposition", "reason")
+
+
+OVERSIZE_SQL = """
+SELECT doc_id, CASE WHEN strlen(text) > 4096 THEN 'dead_letter' ELSE 'ack' END AS disposition,
+    CASE WHEN strlen(text) > 4096 THEN 'body_too_long' END AS reason FROM documents"""
+
+
 # --- metadata ----------------------------------------------------------------------------
 
 
@@ -225,6 +236,7 @@ QUERIES = {
     "unrouted_messages": (unrouted_messages, UNROUTED_SQL),
     "integer_rules": (integer_rules, INTEGER_SQL),
     "status_message_fields": (status_message_fields, FIELDS_SQL),
+    "oversize_messages": (oversize_messages, OVERSIZE_SQL),
     "metadata_valid": (metadata_valid, VALID_SQL),
     "metadata_pairs": (metadata_pairs, PAIRS_SQL),
     "metadata_values": (metadata_values, VALUES_SQL),
