@@ -67,7 +67,13 @@ if __name__ == "__main__":
     from jobtide.session import local_session
 
     sf = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
-    session = local_session(8)
+    if os.environ.get("PLAIN"):
+        # a session without any of our settings, as somebody else may bring it
+        from pyspark.sql import SparkSession
+
+        session = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").getOrCreate()
+    else:
+        session = local_session(8)
     connection = connect(sf)
     checks = entry.oracle_sql()
     chosen = sys.argv[1:] or list(entry.queries())

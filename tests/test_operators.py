@@ -34,15 +34,43 @@ def test_numbers_within_keys(spark):
     assert {r.serial: (r.k, r.n) for r in got} == want
 
 
+@pytest.mark.parametrize("share", [0.01, 0.9])
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_skew_join_is_an_ordinary_join(spark, how):
-    big = spark.createDataFrame(hot_rows(), "k STRING, serial BIGINT")
-    small = spark.createDataFrame([("hot", 1), ("hot", 2), ("k1", 3), ("none", 4)], "k STRING, v INT")
-    assert [r.k for r in hot_keys(big, ["k"], 0.3).collect()] == ["hot"]
-    got = sorted(map(str, skew_join(big, small, ["k"], how, share=0.01).collect()))
+def test_skew_join_is_an_ordinary_join(spark, how, share):
+    rows = hot_rows() + [(None, 9999)]
+    big = spark.createDataFrame(rows, "k STRING, serial BIGINT").repartition(5)
+    small = spark.createDataFrame([("hot", 1), ("hot", 2), ("k1", 3), ("none", 4), (None, 5)], "k STRING, v INT")
+    got = sorted(map(str, skew_join(big, small, ["k"], how, share=share).collect()))
     assert got == sorted(map(str, big.join(small, "k", how).collect()))
 
 
+def test_skew_join_refuses_unlike_keys(spark):
+    small = spark.range(3).select(F.col("id").cast("int").alias("id"))
+    with pytest.raises(ValueError, match="exact type"):
+        skew_join(spark.range(9), small, ["id"])
+
+
+def test_hot_keys_are_found(spark):
+    big = spark.createDataFrame(hot_rows(), "k STRING, serial BIGINT").repartition(5)
+    name = spark.createDataFrame([("hot",)], "k STRING").select(F.xxhash64("k")).first()[0]
+    assert hot_keys(big, ["k"], 0.05) == [name]
+    assert hot_keys(big, ["serial"], 0.01) == []
+    assert hot_keys(big.where("false"), ["k"], 0.01) == []
+
+
+def test_a_hot_key_is_dealt_out(spark):
+    big = spark.range(20000).select(F.lit("hot").alias("k"), "id")
+    small = spark.createDataFrame([("hot", 1)], "k STRING, v INT").hint("merge")
+    joined = skew_join(big, small, ["k"], spread=64)
+    assert "SortMergeJoin" in joined._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        parts = skew_join(big, small, ["k"], spread=64).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(parts) == 4 and max(r["count"] for r in parts) < 12000
+
+
 def sequential_names(requests, existing):
     """One request after the other; a name that is also a stem waits for its own request."""
     stems = {s for s, _ in requests}
