@@ -156,9 +156,9 @@ SELECT routing_key, count(*) AS events FROM classified WHERE namespace = 'ns1' G
 
 
 def _redelivered(spark, sf) -> DataFrame:
-    """Events with a second delivery of some of them."""
-    events = _events(spark, sf)
-    return events.unionByName(events.where("event_id % 7 = 0"))
+    """All events, some of them delivered twice."""
+    deliveries = F.expr("sequence(1, CASE WHEN event_id % 7 = 0 THEN 2 ELSE 1 END)")
+    return _events(spark, sf).withColumn("delivery", F.explode(deliveries)).drop("delivery")
 
 
 def deduplicated_events(spark, sf):

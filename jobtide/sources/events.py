@@ -54,8 +54,14 @@ def stream_events(spark: SparkSession, path: str, max_files: int = 1000) -> Data
     return flatten_events(reader.json(path))
 
 
-def stream_deduplicated(events: DataFrame, time: str = "start_time", delay: str = "1 hour") -> DataFrame:
-    """Drop redeliveries of a change that arrive within the delay."""
-    return events.withWatermark(time, delay).dropDuplicatesWithinWatermark(
-        ["uid", "resource_version"]
+def stream_deduplicated(events: DataFrame, delay: str = "1 hour") -> DataFrame:
+    """Drop redeliveries of a change that arrive within the delay.
+
+    The delay counts from the arrival of an event, as a job that has not started yet has no
+    time of its own.
+    """
+    return (
+        events.withColumn("received_at", F.current_timestamp())
+        .withWatermark("received_at", delay)
+        .dropDuplicatesWithinWatermark(["uid", "resource_version"])
     )

@@ -49,7 +49,12 @@ def list_files(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
-def read_lines(spark: SparkSession, base: str, modified_after: str | None = None) -> DataFrame:
+def read_lines(
+    spark: SparkSession,
+    base: str,
+    modified_after: str | None = None,
+    per_log: DataFrame | None = None,
+) -> DataFrame:
     """All log lines with route, log, 0-based line number and time of the file.
 
     Files are read split by split.  A first pass over the files counts the lines of each
@@ -57,6 +62,8 @@ def read_lines(spark: SparkSession, base: str, modified_after: str | None = None
     lines before a split.  A line's own place in its split follows from the row ids of the
     scan, so the text itself is not shuffled or sorted unless there are very many splits.
     With ``modified_after`` (a timestamp text) older files are pruned by the file listing.
+    The columns of ``per_log`` (one row per route and log, such as cursors) are joined to the
+    table of splits and reach the lines with it, however many lines a log has.
     """
     pin_splits(spark)
     ensure_checkpoint_dir(spark)
@@ -73,25 +80,29 @@ def read_lines(spark: SparkSession, base: str, modified_after: str | None = None
     earlier = (
         W.partitionBy("__path").orderBy("__block").rowsBetween(W.unboundedPreceding, -1)
     )
+    relative = _relative(F.col("__path"), base, encoded=True)
     blocks = (
         raw.groupBy("__path", "__block")
         .agg(F.min("__row").alias("__first"), F.count(F.lit(1)).alias("__lines"))
         .withColumn("__shift", F.coalesce(F.sum("__lines").over(earlier), F.lit(0)) - F.col("__first"))
-        .select("__path", "__block", "__shift")
-        .checkpoint()
+        .withColumn("__rel", relative)
+        .where(F.col("__rel").contains("/"))
+        .select("__path", "__block", "__shift", *[c.alias(n) for n, c in _route_and_log(F.col("__rel")).items()])
     )
+    more = []
+    if per_log is not None:
+        more = [c for c in per_log.columns if c not in ("route", "log")]
+        blocks = blocks.join(per_log, ["route", "log"], "left")
+    blocks = blocks.checkpoint()
     if blocks.count() <= BROADCAST_BLOCKS:
         blocks = F.broadcast(blocks)
-    relative = _relative(F.col("__path"), base, encoded=True)
-    return (
-        raw.join(blocks, ["__path", "__block"])
-        .withColumn("__rel", relative)
-        .select(
-            *[c.alias(n) for n, c in _route_and_log(F.col("__rel")).items()],
-            (F.col("__row") + F.col("__shift")).alias("line_no"),
-            "line",
-            "last_modified",
-        )
+    return raw.join(blocks, ["__path", "__block"]).select(
+        "route",
+        "log",
+        (F.col("__row") + F.col("__shift")).alias("line_no"),
+        "line",
+        "last_modified",
+        *more,
     )
 
 

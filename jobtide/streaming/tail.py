@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from jobtide.operators.logs import new_lines, tail_summary
+from jobtide.operators.logs import tail_summary
 from jobtide.sources.logfiles import read_lines
 
 _CURSORS = "route STRING, log STRING, next_line BIGINT, last_modified TIMESTAMP"
@@ -40,9 +40,10 @@ def tail_once(spark: SparkSession, base: str, root: str, look: int) -> DataFrame
         F.date_format(F.col("seen") - F.expr(f"INTERVAL {_SLACK_SECONDS} SECONDS"), "yyyy-MM-dd'T'HH:mm:ss")
     )
     modified_after = seen.first()[0]
-    lines = read_lines(spark, base, modified_after)
+    starts = cursors.select("route", "log", "next_line")
+    lines = read_lines(spark, base, modified_after, starts)
     target = f"{root}/lines/look={look}"
-    new_lines(lines, cursors).select("route", "log", "line_no", "line", "last_modified").write.mode(
+    lines.where(F.col("line_no") >= F.coalesce("next_line", F.lit(0))).drop("next_line").write.mode(
         "overwrite"
     ).parquet(target)
     fresh = spark.read.parquet(target)
