@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from jobtide.llm import (
     bpe,
+    check_sql,
     licenses,
     near_dedup,
     order_minhash,
@@ -57,8 +58,15 @@ def op10_rules(spark, sf_dir):
     return quality_rules.judge_documents(read(spark, sf_dir, "documents"))
 
 
+# trained scores, tokenizers, sketches and spans of patterns are held to brute force in tests/llm
+CHECKS = {
+    "op2_shards": check_sql.shards(),
+    "op7_near_duplicates": check_sql.NEAR_DUPLICATES,
+    "op9_urls": check_sql.URLS,
+    "op10_rules": check_sql.QUALITY_RULES,
+}
 QUERIES = {
-    f.__name__: (f, None)
+    f.__name__: (f, CHECKS.get(f.__name__))
     for f in (
         op1_secrets,
         op2_shards,
