@@ -5,12 +5,12 @@
    of its own (optimal densification), so small sets get independent values too.  ``ROWS`` bins make
    one of ``BANDS`` band keys.  A pair with similarity 0.75 shares no key with probability below 1e-5.
 2. Texts with the same set are one node, so copies never meet in a bucket.
-3. In each bucket the first node is the centre and the others get one edge to it: a star, so the number
-   of candidate pairs is bounded by the number of bucket members.  Candidates are confirmed on full sets.
-4. Stars alone would lose a link between two members neither of which is like the centre.  For buckets
-   whose members are still in different components, the pairs across components are confirmed as well;
-   pairs whose distances to the centre differ by more than a link allows are ruled out exactly
-   by the triangle inequality of the Jaccard distance, pairs of too different size by their sizes.
+3. In each bucket the member that shares the most buckets with the most others is the centre (the text
+   the copies come from, or the one with the least beside a shared passage), and the others get one edge to it:
+   a star, so the number of candidate pairs is bounded by the number of members.  They are confirmed on full sets.
+4. Stars alone would lose a link between two members neither of which is like the centre.  Members of buckets
+   that are still in different components are therefore looked up by their rarest shingles, one of
+   which any two alike sets share (prefix filter), and pairs across components are confirmed as well.
 5. Components of confirmed links; the smallest doc_id of each names it.
 
 Results for odd input: without words (null, empty, blanks) the set is empty and nothing is linked;
@@ -25,7 +25,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.functions import pandas_udf
 
 from jobtide.llm.components import connected_components
@@ -114,31 +114,50 @@ def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.select("a", "b", "n_a", "n_b", F.size(F.array_intersect("set_a", "set_b")).cast("bigint").alias("common"))
 
 
-def _rest(buckets: DataFrame, stars: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of bucket members that are in different components and were not measured yet."""
-    distance = (1 - F.col("common") / (F.col("n_a") + F.col("n_b") - F.col("common"))).alias("distance")
+def _rest(buckets: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs of members of one bucket in different components, as far as they can be alike.
+
+    Buckets of texts that share a long passage hold many members that are no duplicates.  Two sets
+    that are alike share one of the rarest shingles of each (the first quarter in a common order), and
+    a shared passage is not rare among these members, so they are looked up by their rarest shingles.
+    """
     members = (
         buckets.where("node != centre")
-        .join(stars.select(F.col("a").alias("centre"), F.col("b").alias("node"), distance), ["centre", "node"], "left")
-        .join(labels.select("node", "component"), "node", "left")
-        .select("band", "node", F.coalesce("component", "node").alias("component"), "distance", "n")
+        .join(labels, "node", "left")
+        .select("band", "node", F.coalesce("component", "node").alias("component"))
     )
     members = stored(members, "members")
     split = members.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high")
-    members = stored(members.join(split.select("band"), "band", "left_semi"), "members")
-    # the component with the most members of a bucket; only the others look for partners
-    most = members.groupBy("band", "component").count().groupBy("band").agg(F.max_by("component", F.struct("count", "component")).alias("main"))
-    seeking = members.join(stored(most, "main"), "band").where("component != main")
-    x, y = seeking.alias("x"), members.alias("y")
-    pairs = x.join(
-        y,
-        (F.col("x.band") == F.col("y.band"))
+    nodes = stored(members.join(split.select("band"), "band", "left_semi").select("node", "component").distinct(), "open")
+
+    rows = sets.join(nodes, "node").select("node", "component", "n", F.explode("shingles").alias("shingle"))
+    known = stored(rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("times")).where("times > 1"), "frequencies")
+    own = Window.partitionBy("node")
+    # shingles that occur once come first of all; they are counted, not listed
+    place = F.col("n") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("times", "shingle"))
+    rare = rows.join(known, "shingle").withColumn("place", place).where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * LIKE / 100) + 1)
+    rare = stored(rare.select("shingle", "node", "component", "n", "place"), "rare")
+
+    mixed = rare.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high")
+    rare = stored(rare.join(stored(mixed.select("shingle"), "mixed"), "shingle"), "rare")
+    # in each look-up the members of the largest component do not pair with each other
+    most = rare.groupBy("shingle", "component").count().groupBy("shingle").agg(F.max_by("component", F.struct("count", "component")).alias("main"))
+    rare = rare.join(stored(most, "main"), "shingle").withColumn("seeks", F.col("component") != F.col("main")).drop("main")
+    rare = stored(rare, "rare")
+
+    # of two alike sets the smaller shares with the larger at least 2t / (1 + t) of itself
+    small = rare.where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * 2 * LIKE / (100 + LIKE)) + 1)
+    x, y = small.alias("x"), rare.alias("y")
+    least = F.ceil((F.col("x.n") + F.col("y.n")) * LIKE / (100 + LIKE))
+    fits = (
+        (F.col("x.shingle") == F.col("y.shingle"))
         & (F.col("x.component") != F.col("y.component"))
-        & ((F.col("y.component") == F.col("x.main")) | (F.col("x.node") < F.col("y.node")))
-        & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * LIKE)
-        # a distance is missing where sizes alone rule the centre out; then nothing is known of it
-        & (F.coalesce(F.abs(F.col("x.distance") - F.col("y.distance")), F.lit(0.0)) <= (100 - LIKE) / 100 + 1e-9),
+        & ((F.col("x.n") < F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.node") < F.col("y.node"))))
+        & (F.col("x.n") * 100 >= F.col("y.n") * LIKE)
+        & (F.col("x.place") <= F.col("x.n") - least + 1)
+        & (F.col("y.place") <= F.col("y.n") - least + 1)
     )
+    pairs = x.where("seeks").join(y, fits).unionAll(x.where("NOT seeks").join(y.where("seeks"), fits))
     return pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
 
 
@@ -152,8 +171,13 @@ def _labelled(docs: DataFrame, doc_id: str, text: str, columns: list[str]) -> tu
     nodes = stored(marks.where("digest IS NOT NULL").groupBy("digest").agg(F.min("row").alias("node")), "nodes")
     banded = marks.select(F.col("row").alias("node"), "bands", F.col("n_shingles").alias("n")).join(nodes.select("node"), "node")
     keys = stored(banded.select("node", "n", F.explode("bands").alias("band")), "bands")
-    stars = keys.groupBy("band").agg(F.min("node").alias("centre"), F.max("node").alias("last")).where("centre != last").drop("last")
-    buckets = stored(keys.join(stored(stars, "centres"), "band"), "buckets")
+    sizes = keys.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    shared = stored(keys.join(stored(sizes, "sizes"), "band"), "shared")
+    weights = stored(shared.groupBy("node").agg(F.sum("size").alias("weight")), "weights")
+    weighed = shared.join(weights, "node")
+    centres = weighed.groupBy("band").agg(F.max(F.struct("weight", -F.col("n"), "node")).alias("first"))
+    centres = stored(centres.select("band", F.col("first.node").alias("centre")), "centres")
+    buckets = stored(shared.drop("size").join(centres, "band"), "buckets")
 
     wanted = stored(buckets.select("node").distinct(), "candidates")
     texts = marks.select(F.col("row").alias("node"), "document.text", F.col("n_shingles").alias("n")).join(wanted, "node")
@@ -163,7 +187,7 @@ def _labelled(docs: DataFrame, doc_id: str, text: str, columns: list[str]) -> tu
     first = stored(_measured(edges, sets), "measured")
     linked = _alike(F.col("common"), F.col("n_a"), F.col("n_b"))
     labels = connected_components(first.where(linked))
-    more = stored(_measured(_rest(buckets, first, labels), sets).where(linked).select("a", "b"), "links")
+    more = stored(_measured(_rest(buckets, labels, sets), sets).where(linked).select("a", "b"), "links")
     if not more.isEmpty():
         labels = connected_components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
 
