@@ -17,6 +17,8 @@ _LABEL_SET = r"A-Za-z0-9\-_."
 _TRAILING = "[^a-z0-9]+$"
 _LEADING = "^[^a-z0-9]+"
 _NOT_WORD = "[^A-Za-z0-9_]"
+# characters kept free for a dash and the number of a name that would occur twice
+NUMBER_ROOM = 5
 
 
 def kept_characters(text: Column, enough: int = fixed.JOB_NAME_LIMIT + 1) -> Column:
@@ -62,10 +64,16 @@ def file_stem(kept_hint: Column) -> Column:
     return F.split_part(trim_name(kept_hint), F.lit("."), F.lit(1))
 
 
-def token(length: int, *parts: Column) -> Column:
-    """A token that is the same each time the same delivery is processed."""
+def digest(*parts: Column) -> Column:
+    """The same hexadecimal text each time the same delivery is processed."""
     filled = [F.coalesce(p.cast("string"), F.lit("")) for p in parts]
-    return F.substring(F.sha2(F.concat_ws("|", *filled), 256), 1, length)
+    return F.sha2(F.concat_ws("|", *filled), 256)
+
+
+def token(length: int, digest: Column) -> Column:
+    """Letters and digits from a digest: its first 60 bits in base 36, at most ten of them."""
+    digits = F.lower(F.conv(F.substring(digest, 1, 15), 16, 36))
+    return F.right(F.lpad(digits, 12, "0"), F.lit(length))
 
 
 def name_hint(fallback: Column, *candidates: Column) -> Column:
@@ -88,6 +96,18 @@ def job_name(kept_hint: Column, suffix: Column, keep_suffix: bool = True) -> Col
     return F.when(F.length(whole) <= fixed.JOB_NAME_LIMIT, trim_name(whole)).otherwise(shortened)
 
 
+def short_head(kept_hint: Column) -> Column:
+    """The part of a job name that two names with the same suffix and a number may share."""
+    room = fixed.JOB_NAME_LIMIT - fixed.JOB_TOKEN_LENGTH - 1 - NUMBER_ROOM
+    return trim_name(F.concat(F.lit(fixed.JOB_PREFIX), kept_hint), room)
+
+
+def numbered_job_name(kept_hint: Column, suffix: Column, number: Column) -> Column:
+    """The plain name for the first of a head and suffix, and a number behind it for each further one."""
+    further = F.concat(short_head(kept_hint), F.lit("-"), F.lower(suffix), F.lit("-"), number.cast("string"))
+    return F.when(number == 1, job_name(kept_hint, suffix)).otherwise(further)
+
+
 def queue_name(pattern: Column, prefix: str) -> Column:
     return F.concat(F.lit(prefix), F.regexp_replace(pattern, _NOT_WORD, ""))
 

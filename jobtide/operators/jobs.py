@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -14,24 +15,36 @@ from jobtide.operators.skew import skew_join
 _COUNTERS = ("active", "failed", "succeeded", "start_time")
 
 
+def _conditions(prefix: str) -> dict[str, Column]:
+    """What an event must fulfil to be processed, by the reason given when it does not."""
+    return {
+        "not_a_job": F.col("object_kind") == "Job",
+        "other_name": F.col("name").startswith(prefix),
+        "deleted": F.col("watch_type") != "DELETED",
+    }
+
+
 def skip_reason(prefix: str = fixed.JOB_PREFIX) -> Column:
-    """Why an event is not processed, NULL when it is."""
-    return (
-        F.when(F.col("object_kind") != "Job", "not_a_job")
-        .when(~F.col("name").startswith(prefix), "other_name")
-        .when(F.col("watch_type") == "DELETED", "deleted")
-    )
+    """Why an event is not processed, NULL when it is.
+
+    An event without kind, name or type (among them lines that are no JSON) is malformed.
+    """
+    conditions = _conditions(prefix)
+    unknown = reduce(lambda a, b: a | b, (c.isNull() for c in conditions.values()))
+    reason = F.when(unknown, "malformed")
+    for name, fulfilled in conditions.items():
+        reason = reason.when(~fulfilled, name)
+    return reason
 
 
 def watched_events(
     events: DataFrame, prefix: str = fixed.JOB_PREFIX, namespace: str | None = None
 ) -> DataFrame:
-    """Events of live jobs with the name prefix, of one namespace if given."""
-    kept = events.where(
-        (F.col("object_kind") == "Job")
-        & F.col("name").startswith(prefix)
-        & (F.col("watch_type") != "DELETED")
-    )
+    """Events without a reason to skip them, of one namespace if given.
+
+    The conditions stand side by side, so the scan takes what it can of them.
+    """
+    kept = events.where(reduce(lambda a, b: a & b, _conditions(prefix).values()))
     return kept if namespace is None else kept.where(F.col("namespace") == namespace)
 
 

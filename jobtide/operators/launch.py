@@ -2,32 +2,37 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import copy
+import json
+from collections.abc import Collection, Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from jobtide import fixed
 from jobtide.functions import names
-from jobtide.operators.messages import ACK, DEAD_LETTER
+from jobtide.operators.messages import ACK, DEAD_LETTER, TEXT_OF
 from jobtide.operators.metadata import SCHEMA_FILE, parse_metadata
 from jobtide.operators.naming import allocate_names
 from jobtide.operators.numbering import DEFAULT_SLICE
 from jobtide.operators.once import evaluate_once
-from jobtide.session import written
 
 _DELIVERY = ("exchange", "routing_key", "body", "delivery_id")
 
 
-def filename_hint(*delivery: Column) -> Column:
-    fallback = names.token(fixed.HINT_TOKEN_LENGTH, *delivery)
+def filename_hint(digest: Column) -> Column:
+    fallback = names.token(fixed.HINT_TOKEN_LENGTH, digest)
     return names.name_hint(fallback, *[F.col(c) for c in fixed.HINT_FIELDS])
 
 
-def request_labels() -> dict[str, Column]:
-    """The request's own labels; a missing value becomes the text for 'no value'."""
+def request_labels(columns: Collection[str] = ()) -> dict[str, Column]:
+    """The request's own labels; a missing value becomes the text for 'no value'.
+
+    Of an integer the label is its text where ``columns`` has that, so no digit is lost.
+    """
     out = {}
     for label, field in fixed.LABELS.items():
-        text = F.coalesce(F.col(field).cast("string"), F.lit(fixed.NO_STATUS_TEXT))
+        known = TEXT_OF.format(field) if TEXT_OF.format(field) in columns else field
+        text = F.coalesce(F.col(known).cast("string"), F.lit(fixed.NO_STATUS_TEXT))
         out[label] = text if label in fixed.NUMERIC_LABELS else names.safe_label(text)
     return out
 
@@ -90,33 +95,48 @@ def plan_launches(
     namespace: str,
     base_labels: Mapping[str, str] | None = None,
     slice_width: int = DEFAULT_SLICE,
+    existing_jobs: DataFrame | None = None,
 ) -> DataFrame:
     """Job name, metadata path, command and labels of each valid request.
 
-    Requests with a blank stem or without a free target name stay in the result as dead
-    letters with a reason and an ``invalid`` outcome.
+    ``existing`` has the target names in use (``name``), ``existing_jobs`` one row per job name given out before
+    (``job_head``, ``job_suffix`` as this plan returns them).  Target names and job names are unique,
+    also against those.  Requests with a blank stem or without a free target name stay in the
+    result as dead letters with a reason and an ``invalid`` outcome.
+
+    Names are dealt out on a narrow table (one row per delivery), which is then joined to
+    the requests; nothing runs before the result is asked for.
     """
     delivery = [F.col(c) for c in _DELIVERY]
-    once = F.struct(
-        names.kept_characters(F.col("hint")).alias("kept"),
-        names.token(fixed.JOB_TOKEN_LENGTH, *delivery).alias("suffix"),
-    )
-    hinted = evaluate_once(requests.withColumn("hint", filename_hint(*delivery)), "__once", once)
-    prepared = hinted.withColumns(
-        {
-            "stem": names.file_stem(F.col("__once.kept")),
-            "job_name": names.job_name(F.col("__once.kept"), F.col("__once.suffix")),
-            "labels": label_map(request_labels(), base_labels),
-        }
-    ).drop("__once")
-    # name allocation reads its input three times, twice only the stems; parse it once
-    named = allocate_names(written(prepared, "requests"), existing, "delivery_id", slice_width=slice_width)
+    marked = evaluate_once(requests, "__digest", names.digest(*delivery))
+    hinted = marked.withColumn("hint", filename_hint(F.col("__digest")))
+    prepared = evaluate_once(hinted, "__kept", names.kept_characters(F.col("hint")))
+    suffix = names.token(fixed.JOB_TOKEN_LENGTH, F.col("__digest"))
+    narrow = prepared.select(
+        "__digest",
+        "delivery_id",
+        names.file_stem(F.col("__kept")).alias("stem"),
+        names.short_head(F.col("__kept")).alias("job_head"),
+        suffix.alias("job_suffix"),
+    ).distinct()
+    named = allocate_names(narrow, existing, "delivery_id", slice_width=slice_width, tie="__digest")
+    head = ["job_head", "job_suffix"]
+    # the suffix comes from a digest, so no head and suffix has more than a few rows
+    number = F.row_number().over(W.partitionBy(*head).orderBy("delivery_id", "__digest"))
+    named = named.withColumn("__number", number)
+    if existing_jobs is not None:
+        given = existing_jobs.groupBy(*head).agg(F.count(F.lit(1)).alias("__given"))
+        named = named.join(given, head, "left")
+        named = named.withColumn("__number", F.col("__number") + F.coalesce("__given", F.lit(0))).drop("__given")
+    joined = prepared.join(named.drop("delivery_id"), "__digest")
     reason = F.when(F.col("stem") == "", "blank_name").when(F.col("target_name").isNull(), "no_free_name")
     path = F.concat(
         F.lit(base_path.rstrip("/") + "/"), F.col("target_name"), F.lit(fixed.METADATA_SUFFIX)
     )
-    planned = named.withColumn("reason", reason).withColumns(
+    planned = joined.withColumn("reason", reason).withColumns(
         {
+            "job_name": names.numbered_job_name(F.col("__kept"), F.col("job_suffix"), F.col("__number")),
+            "labels": label_map(request_labels(requests.columns), base_labels),
             "disposition": F.when(F.col("reason").isNull(), ACK).otherwise(DEAD_LETTER),
             "job_namespace": F.lit(namespace),
             "metadata_path": F.when(F.col("reason").isNull(), path),
@@ -129,43 +149,46 @@ def plan_launches(
             "status": F.when(ok, fixed.STARTED).otherwise(fixed.INVALID),
             "error": F.when(~ok, F.concat(F.lit("cannot launch: "), F.col("reason"))),
         }
-    )
+    ).drop("__digest", "__kept", "__number")
+
+
+# strings no template holds; they stand where the plan's values go
+_NAME, _LABEL, _COMMAND = "\x01name\x01", "\x01labels\x01", "\x01command\x01"
 
 
 def job_document(template: Mapping | None = None) -> Column:
-    """Job manifest as JSON: template overlaid by name, labels and command of the plan.
+    """Job manifest as JSON: the whole template, overlaid by name, labels and command of the plan.
 
-    Empty parts of the template are left out.
+    Everything else in the template stays as it is: environment, volumes, annotations, further
+    containers, and its own labels where the plan has none of that name (``labels`` of the plan win).
+    The command goes to the first container.
     """
-    template = template or {}
-    meta = template.get("metadata", {})
-    container = template.get("container", {})
-    metadata = F.struct(
-        F.col("job_name").alias("name"),
-        F.lit(meta.get("namespace")).alias("namespace"),
-        F.col("labels"),
-    )
-    box = F.struct(
-        F.lit(container.get("name")).alias("name"),
-        F.lit(container.get("image")).alias("image"),
-        F.col("command"),
-    )
-    inner = F.struct(
-        F.array(box).alias("containers"),
-        F.lit(template.get("restartPolicy")).alias("restartPolicy"),
-    )
-    spec = F.struct(
-        F.lit(template.get("backoffLimit")).alias("backoffLimit"),
-        F.struct(inner.alias("spec")).alias("template"),
-    )
-    return F.to_json(
-        F.struct(
-            F.lit(template.get("apiVersion", "batch/v1")).alias("apiVersion"),
-            F.lit("Job").alias("kind"),
-            metadata.alias("metadata"),
-            spec.alias("spec"),
-        )
-    )
+    document = copy.deepcopy(dict(template or {}))
+    document.setdefault("apiVersion", "batch/v1")
+    document["kind"] = "Job"
+    metadata = document.setdefault("metadata", {})
+    own_labels = metadata.get("labels") or {}
+    metadata["name"], metadata["labels"] = _NAME, _LABEL
+    inner = document.setdefault("spec", {}).setdefault("template", {}).setdefault("spec", {})
+    containers = inner.setdefault("containers", [])
+    if not containers:
+        containers.append({})
+    containers[0]["command"] = _COMMAND
+    base = F.create_map(*[F.lit(str(x)) for pair in own_labels.items() for x in pair]) if own_labels else None
+    labels = merge_labels(base, F.col("labels")) if own_labels else F.col("labels")
+    # a job name needs no escapes
+    name = F.concat(F.lit('"'), F.col("job_name"), F.lit('"'))
+    values = {_NAME: name, _LABEL: F.to_json(labels), _COMMAND: F.to_json("command")}
+    parts, rest = [], json.dumps(document, separators=(",", ":"), ensure_ascii=False)
+    while rest:
+        places = {rest.find(json.dumps(mark)): mark for mark in values if json.dumps(mark) in rest}
+        if not places:
+            parts.append(F.lit(rest))
+            break
+        at = min(places)
+        parts += [F.lit(rest[:at]), values[places[at]]]
+        rest = rest[at + len(json.dumps(places[at])) :]
+    return F.concat(*parts)
 
 
 def launch_outcomes(plan: DataFrame) -> DataFrame:

@@ -81,7 +81,11 @@ def unrouted(messages: DataFrame, bindings: Sequence[Binding]) -> DataFrame:
 _NUMBER = r"^(?:BIGINT|DECIMAL\(.*|DOUBLE|FLOAT)$"
 
 
+_WHOLE = r"^-?[0-9]+(?:\.0*)?$"
+
+
 def _type_test(kind: str, typed: Column, number: Column) -> Column:
+    """``number`` is the value's text; only a binary float is judged by its value."""
     tests = {
         "string": lambda: typed == "STRING",
         "boolean": lambda: typed == "BOOLEAN",
@@ -90,14 +94,17 @@ def _type_test(kind: str, typed: Column, number: Column) -> Column:
         "array": lambda: typed.startswith("ARRAY"),
         "number": lambda: typed.rlike(_NUMBER),
         "integer": lambda: (typed == "BIGINT")
-        | (typed.rlike(_NUMBER) & (number % 1 == 0)),
+        | (typed.startswith("DECIMAL") & number.rlike(_WHOLE))
+        | (typed.isin("DOUBLE", "FLOAT") & (number.try_cast("double") % 1 == 0)),
     }
     if kind not in tests:
         raise ValueError(f"unsupported JSON type: {kind}")
     return tests[kind]()
 
 
-_SPARK_TYPES = {"string": "string", "integer": "bigint", "number": "double", "boolean": "boolean"}
+# integers of JSON have any length: a column holds those of up to 38 digits, their text holds all
+_SPARK_TYPES = {"string": "string", "integer": "decimal(38,0)", "number": "double", "boolean": "boolean"}
+TEXT_OF = "{}_text"
 
 
 @dataclass(frozen=True)
@@ -123,7 +130,7 @@ class MessageCheck:
             kinds = rule.get("type", ())
             types[field] = (kinds,) if isinstance(kinds, str) else tuple(kinds)
             for kind in types[field]:
-                _type_test(kind, F.lit(""), F.lit(0.0))
+                _type_test(kind, F.lit(""), F.lit(""))
         return cls(types, tuple(schema.get("required", ())))
 
     @property
@@ -137,7 +144,7 @@ class MessageCheck:
         for i, field in enumerate(self.fields):
             parts.append(_variant_type(document, field).alias(f"type{i}"))
             if "integer" in self.types.get(field, ()):
-                parts.append(_variant_value(document, field, "double").alias(f"number{i}"))
+                parts.append(_variant_value(document, field, "string").alias(f"number{i}"))
         return F.struct(*parts)
 
     def reason(self, facts: str) -> Column:
@@ -151,18 +158,21 @@ class MessageCheck:
             if not kinds:
                 continue
             typed = F.col(f"{facts}.type{place[field]}")
-            number = F.col(f"{facts}.number{place[field]}") if "integer" in kinds else F.lit(0.0)
+            number = F.col(f"{facts}.number{place[field]}") if "integer" in kinds else F.lit("")
             fits = reduce(lambda a, b: a | b, (_type_test(k, typed, number) for k in kinds))
             result = result.when(typed.isNotNull() & ~fits, f"type:{field}")
         return result
 
     def values(self, document: str) -> dict[str, Column]:
-        """Typed columns of the known fields (a lone scalar type, else text)."""
+        """Typed columns of the known fields (a lone scalar type, else text); of integers also the text."""
         out = {}
         for field in self.fields:
             solid = [k for k in self.types.get(field, ()) if k != "null"]
             spark_type = _SPARK_TYPES.get(solid[0], "string") if len(solid) == 1 else "string"
             out[field] = _variant_value(document, field, spark_type)
+            if solid == ["integer"]:
+                text = _variant_value(document, field, "string")
+                out[TEXT_OF.format(field)] = F.regexp_replace(text, r"\.0*$", "")
         return out
 
 
@@ -283,31 +293,83 @@ def process(
 ) -> DataFrame:
     """Every message with the verdict of each handler it reaches.
 
-    Messages no handler receives stay in the result as ``unrouted``.  ``hold`` is applied to
-    the checked messages of each handler before they are split; a stream persists its
-    micro-batch there so that bodies are parsed once.
+    Messages no handler receives stay in the result as ``unrouted``.  The messages are read once:
+    each row is repeated per handler it reaches, its body is parsed once and checked against
+    that handler's schema.  Only handlers whose transform wants the valid messages alone
+    read the checked rows again; ``hold`` is applied to these before, and a stream keeps its
+    micro-batch there.
     """
     base = messages.columns
-    parts = []
+    names = [F.when(fits(h.binding), F.lit(h.name)) for h in handlers]
+    reached = F.array_compact(F.array(*names)) if names else F.array().cast("array<string>")
+    tagged = messages.withColumn("handler", F.explode_outer(reached))
+    judged = _judge(tagged, handlers)
+    apart = [h for h in handlers if h.transform is not _keep and h.schema is not None and not h.sees_all]
     for handler in handlers:
-        # equality on the exchange reaches the scan, the pattern is checked on what is left
-        own = messages.where(fits(handler.binding)).withColumn("handler", F.lit(handler.name))
-        checked = hold(validate(own, handler.schema))
-        if handler.schema is None or handler.transform is _keep:
-            parts.append(_verdicts(checked, base))
-        elif handler.sees_all:
-            parts.append(_verdicts(handler.transform(checked), base))
-        else:
-            parts.append(_verdicts(checked.where(F.col("disposition") != ACK), base))
-            handled = handler.transform(checked.where(F.col("disposition") == ACK))
-            parts.append(_verdicts(handled, base))
-    lost = unrouted(messages, [h.binding for h in handlers]).withColumns(
-        {"handler": F.lit(None).cast("string"), "disposition": F.lit(UNROUTED), "reason": F.lit("no_binding")}
-    )
-    parts.append(_verdicts(lost, base))
+        if handler.sees_all and handler.transform is not _keep and handler.schema is not None:
+            judged = _transformed(judged, handler)
+    if not apart:
+        return _verdicts(judged, base)
+    judged = hold(judged)
+    own = reduce(lambda a, b: a | b, (F.col("handler") == h.name for h in apart))
+    fit = F.coalesce(own & (F.col("disposition") == ACK), F.lit(False))
+    parts = [_verdicts(judged.where(~fit), base)]
+    for handler in apart:
+        valid = judged.where((F.col("handler") == handler.name) & (F.col("disposition") == ACK))
+        parts.append(_verdicts(handler.transform(valid.withColumns(_values(handler))), base))
     return reduce(DataFrame.unionByName, parts)
 
 
+_STATE = ("disposition", "reason", "outcome_key", "outcome_body")
+
+
+def _values(handler: Handler) -> dict[str, Column]:
+    mine = F.col("handler") == handler.name
+    values = MessageCheck.compile(handler.schema).values("__doc")
+    return {field.replace("-", "_"): F.when(mine, value) for field, value in values.items()}
+
+
+def _judge(tagged: DataFrame, handlers: Sequence[Handler]) -> DataFrame:
+    """Verdict of the schema of each row's handler; keeps the parsed body in ``__doc``."""
+    checked = [h for h in handlers if h.schema is not None]
+    text = F.col("body").cast("string")
+    if isinstance(tagged.schema["body"].dataType, T.BinaryType):
+        text = F.when(F.is_valid_utf8(text), text)
+    parsed = parse_body(tagged.withColumn("__text", F.when(F.col("handler").isin([h.name for h in checked]), text)), "__text", "__doc")
+    reason = F.when(F.col("handler").isNull(), "no_binding")
+    for i, handler in enumerate(handlers):
+        mine = F.col("handler") == handler.name
+        if handler.schema is None:
+            reason = reason.when(mine, "no_schema")
+            continue
+        check = MessageCheck.compile(handler.schema)
+        parsed = evaluate_once(parsed, f"__facts{i}", F.when(mine, check.facts("__doc", "__text")))
+        reason = reason.when(mine & F.col("__text").isNull() & F.col("body").isNotNull(), "not_utf8")
+        reason = reason.when(mine, check.reason(f"__facts{i}"))
+    blind = [h.name for h in handlers if h.schema is None]
+    disposition = F.when(F.col("handler").isNull(), UNROUTED).when(F.col("handler").isin(blind), REQUEUE)
+    none = F.lit(None).cast("string")
+    return parsed.withColumn("reason", reason).withColumns(
+        {
+            "disposition": disposition.when(F.col("reason").isNull(), ACK).otherwise(DEAD_LETTER),
+            "outcome_key": none,
+            "outcome_body": none,
+        }
+    )
+
+
+def _transformed(judged: DataFrame, handler: Handler) -> DataFrame:
+    """Apply a transform to the rows of its handler; the rows of others look rejected to it and stay as they are."""
+    mine = F.coalesce(F.col("handler") == handler.name, F.lit(False))
+    columns = judged.columns
+    held = judged.withColumns({f"__held_{c}": F.col(c) for c in _STATE})
+    masked = held.withColumn("disposition", F.when(mine, F.col("disposition"))).withColumns(_values(handler))
+    done = handler.transform(masked)
+    return done.withColumns(
+        {c: F.when(mine, F.col(c)).otherwise(F.col(f"__held_{c}")) for c in _STATE}
+    ).select(*columns)
+
+
 def _verdicts(df: DataFrame, base: Sequence[str]) -> DataFrame:
     absent = {c: F.lit(None).cast("string") for c in PROCESSED if c not in df.columns}
     return df.withColumns(absent).select(*base, *PROCESSED)

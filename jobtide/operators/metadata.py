@@ -15,8 +15,12 @@ _CORRUPT = "_corrupt_record"
 _PAIR = T.StructType(
     [T.StructField("_name", T.StringType()), T.StructField("_value", T.StringType())]
 )
+# parts of the movie information that carry a token list
+MOVIE_PARTS = ("meta-movie", "meta-track", "meta-video-track", "meta-audio-track", "meta-hint-track")
+_TOKENS = T.StructType([T.StructField("_tokens", T.StringType())])
 DOCUMENT = T.StructType(
     [
+        T.StructField("meta-movie-info", T.StructType([T.StructField(part, _TOKENS) for part in MOVIE_PARTS])),
         T.StructField(
             "meta-group",
             T.StructType(
@@ -57,7 +61,7 @@ def _plain_document() -> str:
     group = element("meta-group", f"(?:{attribute('type')})?+", f"(?:{pair}{gap})++")
     tokens = "".join(
         f"(?:{empty(tag, attribute('tokens'))}{gap})?+"
-        for tag in ("meta-movie", "meta-track", "meta-video-track", "meta-audio-track", "meta-hint-track")
+        for tag in MOVIE_PARTS
     )
     info = f"(?:<meta-movie-info{gap}/>|{element('meta-movie-info', '', tokens)})"
     version = rf"{must}version{gap}={gap}(?:\"1\.0\"|'1\.0')"
@@ -71,7 +75,9 @@ def ship_schema(spark: SparkSession, xsd: str | Path = SCHEMA_FILE) -> str:
 
 
 def parse_metadata(df: DataFrame, column: str, xsd: str | Path = SCHEMA_FILE) -> DataFrame:
-    """Add ``metadata_valid``, ``metadata_type`` and ``metadata_pairs`` from an XML column.
+    """Add ``metadata_valid``, ``metadata_type``, ``metadata_pairs`` and ``movie_tokens`` from an XML column.
+
+    ``movie_tokens`` maps each part of the movie information that is there to its token list.
 
     A document that is not well formed or does not fit the XSD is invalid, never an error.
     The XSD check of the parser builds a validator for every document, which costs several
@@ -103,10 +109,16 @@ def parse_metadata(df: DataFrame, column: str, xsd: str | Path = SCHEMA_FILE) ->
                     lambda m: F.struct(m["_name"].alias("name"), m["_value"].alias("value")),
                 ),
             ),
+            "movie_tokens": F.when(valid, _movie_tokens(F.col("__xml")["meta-movie-info"])),
         }
     ).drop("__xml")
 
 
+def _movie_tokens(info: Column) -> Column:
+    entries = [F.struct(F.lit(part).alias("key"), info[part]["_tokens"].alias("value")) for part in MOVIE_PARTS]
+    return F.map_from_entries(F.filter(F.array(*entries), lambda e: e["value"].isNotNull()))
+
+
 def metadata_rows(parsed: DataFrame, *keys: str) -> DataFrame:
     """One row per pair of the valid documents."""
     return parsed.select(*keys, F.posexplode("metadata_pairs").alias("position", "pair")).select(

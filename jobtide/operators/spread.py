@@ -1,19 +1,18 @@
-"""Use all cores for costly per-row work on a small input."""
+"""Deal rows out over a given number of tasks before costly per-row work."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from jobtide.session import SPREAD_TASKS
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Deal the rows of an input with few splits out over all cores, by a hash of ``keys``.
 
-    An input that already comes in at least as many splits as there are cores stays where it
-    is, so large inputs are never shuffled for this.
+def spread(df: DataFrame, *keys: str, tasks: int | None = None) -> DataFrame:
+    """Deal the rows out over ``tasks`` tasks, by a hash of ``keys``.
+
+    Without ``tasks`` the session's setting counts; where there is none the rows stay where they
+    are.  Inputs of many splits need no dealing out, so only sessions for small tables set it.
     """
-    if df.isStreaming:
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys)
+    setting = df.sparkSession.conf.get(SPREAD_TASKS, None)
+    count = tasks or (int(setting) if setting else None)
+    return df.repartition(count, *keys) if count and not df.isStreaming else df

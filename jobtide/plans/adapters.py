@@ -86,7 +86,10 @@ _STATUS_BODY = (
 )
 
 _METADATA = (
-    f"'<meta-data><meta-group type=' || {_Q} || 'movie meta' || {_Q} || '>'"
+    f"'<meta-data>' || CASE WHEN p_partkey % 3 = 0 THEN '<meta-movie-info><meta-movie tokens=' || {_Q} || p_brand || {_Q} || '/>'"
+    f" || '<meta-video-track tokens=' || {_Q} || 'width height' || {_Q} || '/></meta-movie-info>'"
+    " WHEN p_partkey % 5 = 0 THEN '<meta-movie-info/>' ELSE '' END ||"
+    f" '<meta-group type=' || {_Q} || 'movie meta' || {_Q} || '>'"
     " || CASE WHEN p_partkey % 13 = 0 THEN '' ELSE"
     f" '<meta name=' || {_Q} || 'name' || {_Q} || CASE WHEN p_partkey % 7 = 0 THEN ' vilue=' ELSE ' value=' END || {_Q}"
     f" || p_name || ' &amp; &lt;&quot;' || {_Q} || '/>'"
@@ -116,11 +119,12 @@ VIEWS: dict[str, tuple[str, dict[str, str]]] = {
         {
             "delivery_id": "o_orderkey",
             "body": (
-                "'{\"routename\":\"r\",\"inmeta\":\"m\"' || CASE o_orderkey % 9 WHEN 0 THEN '' WHEN 1 THEN ',\"deliverable_asset\":7'"
+                "'{\"routename\":\"r\",\"inmeta\":\"m\"' || CASE o_orderkey % 11 WHEN 0 THEN '' WHEN 1 THEN ',\"deliverable_asset\":7'"
                 " WHEN 2 THEN ',\"deliverable_asset\":7.0' WHEN 3 THEN ',\"deliverable_asset\":7.5'"
                 " WHEN 4 THEN ',\"deliverable_asset\":true' WHEN 5 THEN ',\"deliverable_asset\":null'"
                 " WHEN 6 THEN ',\"deliverable_asset\":\"7\"' WHEN 7 THEN ',\"deliverable_asset\":123456789012345678901234567890'"
-                " ELSE ',\"deliverable_asset\":[7]' END || ',\"junk_field\":{\"a\":[1,2]}}'"
+                " WHEN 8 THEN ',\"deliverable_asset\":[7]' WHEN 9 THEN ',\"deliverable_asset\":9007199254740993.5'"
+                " ELSE ',\"deliverable_asset\":9007199254740993' END || ',\"junk_field\":{\"a\":[1,2]}}'"
             ),
         },
     ),

@@ -9,7 +9,7 @@ from jobtide.functions.text import age_seconds, in_base
 from jobtide.operators import logs
 from jobtide.plans.adapters import table, view, with_views
 from jobtide.session import run_dir
-from jobtide.sinks.files import write_listing
+from jobtide.sinks.files import write_listing, write_pointers
 from jobtide.sources import logfiles
 
 _NOW = "TIMESTAMP '2024-06-01 00:00:00'"
@@ -184,11 +184,11 @@ SELECT 'cds-' || CAST(doc_id AS VARCHAR) AS job_name FROM documents WHERE doc_id
 
 
 def _written_logs(spark: SparkSession, sf: str) -> str:
-    """The texts as log files, one folder per route."""
+    """The texts as log files, one file per route in the order of the documents."""
     folder = run_dir(spark, "logs")
-    table(spark, sf, "documents").select(F.col("source").alias("route"), "text").write.partitionBy(
-        "route"
-    ).text(folder)
+    texts = table(spark, sf, "documents").select(F.col("source").alias("route"), "doc_id", "text")
+    ordered = texts.repartition("route").sortWithinPartitions("route", "doc_id")
+    ordered.select("route", "text").write.partitionBy("route").text(folder)
     return folder
 
 
@@ -197,40 +197,55 @@ def _plain_route() -> Column:
 
 
 def log_file_lines(spark, sf):
-    """Lines of log files with their numbers: none missing, none twice."""
+    """Lines of log files with their numbers."""
     lines = logfiles.read_lines(spark, _written_logs(spark, sf))
-    per_log = lines.groupBy("route", "log").agg(
-        F.count(F.lit(1)).alias("lines"),
-        F.sum(F.length("line")).alias("characters"),
-        F.max("line_no").alias("last"),
-        F.sum("line_no").alias("number_sum"),
-    )
-    gap_free = (F.col("last") + 1 == F.col("lines")) & (
-        F.col("number_sum") == F.col("lines") * (F.col("lines") - 1) / 2
-    )
-    return per_log.groupBy(_plain_route().alias("route")).agg(
-        F.sum("lines").cast("bigint").alias("lines"),
-        F.sum("characters").cast("bigint").alias("characters"),
-        F.bool_and(gap_free).alias("gap_free"),
-    )
+    return lines.select(_plain_route().alias("route"), "line_no", F.md5("line").alias("line_md5"))
 
 
 # Every text is written with a line end behind it.
-FILE_LINES_SQL = """
-SELECT source AS route, CAST(sum(len(string_split(text, chr(10)))) AS BIGINT) AS lines,
-    CAST(sum(length(replace(text, chr(10), ''))) AS BIGINT) AS characters, true AS gap_free
-FROM documents GROUP BY 1"""
+_FILE_LINES = """SELECT source AS route, row_number() OVER (PARTITION BY source ORDER BY doc_id, i) - 1 AS line_no, pieces[i] AS line
+    FROM (SELECT source, doc_id, pieces, unnest(range(1, len(pieces) + 1)) AS i
+        FROM (SELECT source, doc_id, string_split(text, chr(10)) AS pieces FROM documents))"""
+FILE_LINES_SQL = f"""
+SELECT route, line_no, md5(line) AS line_md5 FROM ({_FILE_LINES})"""
+
+
+def lines_in_file_order(spark, sf):
+    """The whole folder in file order: each line next to the one before it."""
+    ordered = logfiles.in_file_order(logfiles.read_lines(spark, _written_logs(spark, sf)))
+    return ordered.select(_plain_route().alias("route"), "line_no", F.length("line").cast("bigint").alias("characters"))
+
+
+ORDER_SQL = f"""
+SELECT route, line_no, length(line) AS characters FROM ({_FILE_LINES}) ORDER BY route, line_no"""
 
 
 def route_directories(spark, sf):
-    """Routes and sizes as found in the folder; the files are not read."""
+    """Routes, files and sizes as found in the folder, markers and empty files too; nothing is read."""
     files = logfiles.list_files(spark, _written_logs(spark, sf))
     shown = files.where(~F.col("route").startswith("."))
-    return shown.groupBy(_plain_route().alias("route")).agg(F.sum("size").cast("bigint").alias("size"))
+    return shown.groupBy(_plain_route().alias("route")).agg(
+        F.count(F.lit(1)).alias("files"), F.sum("size").cast("bigint").alias("size")
+    )
 
 
 DIRECTORIES_SQL = """
-SELECT source AS route, CAST(sum(strlen(text) + 1) AS BIGINT) AS size FROM documents GROUP BY 1"""
+SELECT source AS route, CAST(1 AS BIGINT) AS files, CAST(sum(strlen(text) + 1) AS BIGINT) AS size FROM documents GROUP BY 1"""
+
+
+def pointer_links(spark, sf):
+    """Pointer files written, read and joined to the jobs they belong to."""
+    folder = run_dir(spark, "pointers")
+    pointers = view(spark, sf, "log_pointers")
+    write_pointers(pointers.select("job_name", "log_path"), folder)
+    linked = logs.resolve_links(_jobs(spark, sf), logfiles.read_pointers(spark, folder))
+    return linked.select("job_name", "log_url", "found")
+
+
+POINTERS_SQL = with_views("log_pointers") + """
+SELECT 'cds-' || CAST(d.doc_id AS VARCHAR) AS job_name,
+    regexp_replace(replace(log_path, '/var/log/cds_backend/', '/log/'), '\\s', '', 'g') AS log_url, log_path IS NOT NULL AS found
+FROM documents d LEFT JOIN log_pointers p ON p.doc_id = d.doc_id"""
 
 
 def listing_ndjson(spark, sf):
@@ -257,6 +272,8 @@ QUERIES = {
     "missing_logs": (missing_logs, MISSING_SQL),
     "existing_logs": (existing_logs, EXISTING_SQL),
     "log_file_lines": (log_file_lines, FILE_LINES_SQL),
+    "lines_in_file_order": (lines_in_file_order, ORDER_SQL),
+    "pointer_links": (pointer_links, POINTERS_SQL),
     "route_directories": (route_directories, DIRECTORIES_SQL),
     "listing_ndjson": (listing_ndjson, NDJSON_SQL),
 }

@@ -149,15 +149,24 @@ WHERE NOT regexp_matches(routing_key, '^deliverables\.syndication\.[^.]+\.upload
 
 
 def integer_rules(spark, sf):
+    """Verdict, value and label of integers, also beyond 64 bits and beyond the reach of a double."""
     bodies = view(spark, sf, "typed_bodies")
     checked = mq.validate(bodies, fixed.UPLOAD_SCHEMA)
-    return checked.select("delivery_id", "disposition", "reason", "routename")
+    label = launch.request_labels(checked.columns)["deliverable-asset-id"]
+    good = F.col("disposition") == mq.ACK
+    return checked.select(
+        "delivery_id", "disposition", "reason", "routename",
+        F.when(good, F.col("deliverable_asset").cast("string")).alias("value"),
+        F.when(good, label).alias("label"),
+    )
 
 
 INTEGER_SQL = with_views("typed_bodies") + """
-SELECT delivery_id, CASE WHEN delivery_id % 9 IN (0, 1, 2, 7) THEN 'ack' ELSE 'dead_letter' END AS disposition,
-    CASE WHEN delivery_id % 9 NOT IN (0, 1, 2, 7) THEN 'type:deliverable_asset' END AS reason, 'r' AS routename
-FROM typed_bodies"""
+SELECT delivery_id, CASE WHEN good THEN 'ack' ELSE 'dead_letter' END AS disposition,
+    CASE WHEN NOT good THEN 'type:deliverable_asset' END AS reason, 'r' AS routename, value, CASE WHEN good THEN coalesce(value, 'None') END AS label
+FROM (SELECT delivery_id, delivery_id % 11 IN (0, 1, 2, 7, 10) AS good,
+    CASE delivery_id % 11 WHEN 1 THEN '7' WHEN 2 THEN '7' WHEN 7 THEN '123456789012345678901234567890' WHEN 10 THEN '9007199254740993' END AS value
+    FROM typed_bodies)"""
 
 
 def status_message_fields(spark, sf):
@@ -226,7 +235,20 @@ VALUES_SQL = f"""
 SELECT p_partkey AS doc, p_brand AS meta_brand, p_type AS meta_type, CAST(p_size AS VARCHAR) AS meta_size,
     CAST(NULL AS VARCHAR) AS meta_absent FROM part WHERE {_GOOD}"""
 
+
+
+def movie_tokens(spark, sf):
+    """Token lists of the movie information of the valid documents."""
+    parsed = _documents(spark, sf).where("metadata_valid")
+    return parsed.select("doc", F.explode("movie_tokens").alias("part", "tokens"))
+
+
+TOKENS_SQL = f"""
+SELECT p_partkey AS doc, 'meta-movie' AS part, p_brand AS tokens FROM part WHERE {_GOOD} AND p_partkey % 3 = 0
+UNION ALL SELECT p_partkey, 'meta-video-track', 'width height' FROM part WHERE {_GOOD} AND p_partkey % 3 = 0"""
+
 QUERIES = {
+    "movie_tokens": (movie_tokens, TOKENS_SQL),
     "message_disposition": (message_disposition, DISPOSITION_SQL),
     "dead_letters_by_reason": (dead_letters_by_reason, DEAD_SQL),
     "disposition_totals": (disposition_totals, TOTALS_SQL),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -15,6 +16,9 @@ RUNTIME_SETTINGS = {
     # a later duplicate key in a JSON object replaces the earlier one
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
+# Number of tasks over which the rows of the given tables are dealt out before costly work on
+# each row.  Not set, rows stay in the splits they are read in, and nothing is shuffled.
+SPREAD_TASKS = "spark.jobtide.spreadTasks"
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -31,6 +35,7 @@ def local_session(cores: str | int = "*", app: str = "jobtide", **settings: str)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "12g")
+        .config(SPREAD_TASKS, str(os.cpu_count() if cores == "*" else cores))
     )
     for key, value in {**RUNTIME_SETTINGS, **settings}.items():
         builder = builder.config(key, value)
@@ -42,11 +47,15 @@ def local_session(cores: str | int = "*", app: str = "jobtide", **settings: str)
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder of the cluster (``spark.checkpoint.dir``).
 
-    Only where the session names none (a bare local session) a temporary folder is
-    made and recorded in the session, so that every caller sees the same one.
+    Only a local session may name none: a temporary folder is then made and recorded in the
+    session, so that every caller sees the same one.  On a cluster that would be a folder that
+    other machines do not have, so it is an error there.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         folder = tempfile.mkdtemp(prefix="jobtide-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")

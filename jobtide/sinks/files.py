@@ -2,19 +2,51 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from jobtide import fixed
 from jobtide.functions.text import iso_offset
+from jobtide.operators.messages import ACK, DEAD_LETTER, check_size
+from jobtide.session import run_dir
+
+
+def _replacing(df: DataFrame, *folders: str):
+    """Writer that replaces the folders it has rows for and leaves all others alone."""
+    return df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*folders)
 
 
-def publish(messages: DataFrame, path: str, mode: str = "append") -> None:
-    """JSON bodies as lines, one folder per routing key."""
-    messages.select("routing_key", "body").write.mode(mode).partitionBy("routing_key").text(path)
+def publish(messages: DataFrame, path: str, run: str, max_bytes: int | None = None) -> None:
+    """JSON bodies as lines, one folder per run and routing key; a run that is repeated replaces its own.
+
+    Bodies beyond ``max_bytes`` go to ``{path}-rejected`` instead, with the reason.
+    """
+    marked = messages.withColumn("run", F.lit(run))
+    if max_bytes is not None:
+        checked = check_size(marked, max_bytes)
+        rejected = checked.where(F.col("disposition") == DEAD_LETTER)
+        _replacing(rejected.select("run", "routing_key", "body", "reason"), "run").parquet(f"{path}-rejected")
+        marked = checked.where(F.col("disposition") == ACK)
+    _replacing(marked.select("run", "routing_key", "body"), "run", "routing_key").text(path)
+
+
+def start(writer: DataStreamWriter, checkpoint: str, trigger: Mapping[str, object] | None = None) -> StreamingQuery:
+    """Start a stream.  ``trigger`` is Spark's, such as ``{"processingTime": "5 seconds"}``.
+
+    Without one the stream takes what is there and stops.
+    """
+    return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 
 def publish_stream(
-    messages: DataFrame, checkpoint: str, path: str | None = None, **kafka: str
+    messages: DataFrame,
+    checkpoint: str,
+    path: str | None = None,
+    trigger: Mapping[str, object] | None = None,
+    **kafka: str,
 ) -> StreamingQuery:
     """Publish a stream to files, or to Kafka when its options are given.
 
@@ -33,33 +65,33 @@ def publish_stream(
             .partitionBy("routing_key")
             .option("path", path)
         )
-    return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return start(writer, checkpoint, trigger)
 
 
-def write_metadata(plan: DataFrame, path: str, mode: str = "append") -> None:
-    """Metadata documents under their target names, one folder per route."""
-    plan.select("metadata_path", F.col("inmeta").alias("content"), "routename").write.mode(
-        mode
-    ).partitionBy("routename").parquet(path)
+def write_metadata(plan: DataFrame, path: str, run: str) -> None:
+    """Metadata documents under their target names, one folder per run and route.
+
+    A run that is repeated replaces what it wrote before.
+    """
+    documents = plan.select(F.lit(run).alias("run"), "metadata_path", F.col("inmeta").alias("content"), "routename")
+    _replacing(documents, "run", "routename").parquet(path)
 
 
-def write_pod_logs(lines: DataFrame, base: str | None, mode: str = "append") -> bool:
+def write_pod_logs(lines: DataFrame, base: str | None) -> bool:
     """Archive pod logs below ``base``, one folder per job and pod; nothing without a base.
 
+    A log that is archived again is replaced, as a file of that name would be.
     Rows are laid out by job, pod and line number in ranges of similar size: a small log is
     one file, a log of very many lines spans several files whose order is the line order.
     """
     if base is None:
         return False
-    (
+    ordered = (
         lines.select("job_name", "pod_name", "line_no", "line")
         .repartitionByRange("job_name", "pod_name", "line_no")
         .sortWithinPartitions("job_name", "pod_name", "line_no")
-        .select("job_name", "pod_name", "line")
-        .write.mode(mode)
-        .partitionBy("job_name", "pod_name")
-        .text(base)
     )
+    _replacing(ordered.select("job_name", "pod_name", "line"), "job_name", "pod_name").text(base)
     return True
 
 
@@ -72,47 +104,67 @@ def write_listing(files: DataFrame, path: str, mode: str = "append") -> None:
     ).write.mode(mode).json(path)
 
 
-def write_dead_letters(processed: DataFrame, path: str, mode: str = "append") -> None:
-    """Rejected messages with their reason; nothing that was rejected is lost."""
-    processed.select("exchange", "routing_key", "delivery_id", "body", "handler", "reason").write.mode(
-        mode
-    ).parquet(path)
+def write_pointers(pointers: DataFrame, base: str) -> None:
+    """One text file per job with the path of its log (``job_name``, ``log_path``).
+
+    The tasks write the files, the driver only gives them their names.
+    """
+    spark = pointers.sparkSession
+    draft = run_dir(spark, "pointer-files")
+    encoded = F.url_encode("job_name").alias("file")
+    pointers.select(encoded, F.col("log_path").alias("value")).write.partitionBy("file").option("lineSep", "\n").text(draft)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    target = f"{base.rstrip('/')}/{fixed.POINTER_DIR}"
+    system = hadoop.Path(draft).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.mkdirs(hadoop.Path(target))
+    for row in spark.read.option("recursiveFileLookup", True).text(draft).select("_metadata.file_path").distinct().toLocalIterator():
+        made = hadoop.Path(unquote(row["file_path"]))
+        name = unquote(made.getParent().getName().removeprefix("file="))
+        system.rename(made, hadoop.Path(target, name + fixed.POINTER_SUFFIX))
 
 
 # --- states and positions: small appended tables, the newest entry counts --------------
 
+_STATE = "uid STRING, resource_version BIGINT, name STRING, status STRING, deleted BOOLEAN"
 
-def append_states(states: DataFrame, root: str, batch_id: int) -> None:
-    """Changed job states of one batch; writing a batch again replaces it.
 
-    ``states`` has uid, resource_version, name, status and deleted.
-    """
-    states.select("uid", "resource_version", "name", "status", "deleted").write.mode(
-        "overwrite"
-    ).parquet(f"{root}/batch={batch_id}")
+def append_states(states: DataFrame, root: str, run: str, batch_id: int) -> None:
+    """Changed job states of one batch of one run; writing a batch again replaces it.
 
+    ``states`` has uid, resource_version, name, status and deleted.  ``run`` is the id of the stream's
+    checkpoint, so a stream that starts anew never replaces what an earlier one has left.
+    """
+    kept = states.select("uid", "resource_version", "name", "status", "deleted")
+    kept.write.mode("overwrite").parquet(f"{root}/run={run}/batch={batch_id}")
 
-def read_states(spark: SparkSession, root: str) -> DataFrame:
-    """Newest state of each job that is not deleted.
 
-    Only the newest version counts, whichever batch brought it, so a batch that is written
-    twice changes nothing.
-    """
+def _newest_states(spark: SparkSession, root: str) -> DataFrame:
     entry = F.struct("resource_version", "deleted", "name", "status")
     return (
         spark.read.option("recursiveFileLookup", True)
-        .schema("uid STRING, resource_version BIGINT, name STRING, status STRING, deleted BOOLEAN")
+        .schema(_STATE)
         .parquet(root)
         .groupBy("uid")
         .agg(F.max(entry).alias("newest"))
-        .where(~F.col("newest.deleted"))
-        .select("uid", "newest.resource_version", "newest.name", "newest.status")
+        .select("uid", "newest.*")
     )
 
 
+def read_states(spark: SparkSession, root: str) -> DataFrame:
+    """Newest state of each job that is not deleted.
+
+    Only the newest version counts, whichever batch brought it, so a batch that is written
+    twice changes nothing.
+    """
+    return _newest_states(spark, root).where(~F.col("deleted")).drop("deleted")
+
+
 def compact_states(spark: SparkSession, root: str, target: str) -> None:
-    """Write the present states as the first batch of a new table."""
-    append_states(read_states(spark, root).withColumn("deleted", F.lit(False)), target, 0)
+    """Write the newest entry of each job, deletions included, as the start of a new table.
+
+    A deletion has to stay: an older change that arrives late would bring the job back.
+    """
+    append_states(_newest_states(spark, root), target, "compacted", 0)
 
 
 def record_position(spark: SparkSession, root: str, sequence: int, position: int | None) -> None:
@@ -134,3 +186,18 @@ def last_position(spark: SparkSession, root: str) -> DataFrame:
     )
     newest = entries.agg(F.max_by("position_text", "sequence").alias("position_text"))
     return read_positions(newest).select("position")
+
+
+def recover_position(spark: SparkSession, root: str, events: DataFrame, sequence: int) -> int | None:
+    """Where to go on after the newest journal entry, given the events that are still kept.
+
+    A position whose next events are gone cannot be resumed: the journal is cleared by the entry
+    ``sequence`` and work goes on at the newest event, as it does without any position.
+    """
+    position = last_position(spark, root).first()["position"]
+    kept = events.agg(F.min("resource_version").alias("oldest"), F.max("resource_version").alias("newest")).first()
+    if position is not None and (kept["oldest"] is None or position >= kept["oldest"] - 1):
+        return position
+    if position is not None:
+        record_position(spark, root, sequence, None)
+    return kept["newest"]

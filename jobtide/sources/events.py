@@ -15,11 +15,17 @@ WATCH_SCHEMA = """
                 type: STRING, status: STRING, lastProbeTime: TIMESTAMP,
                 reason: STRING, message: STRING>>>>
 """
+# with the text of lines that do not have this form
+_READ_SCHEMA = f"{WATCH_SCHEMA}, _corrupt_record STRING"
 
 
 def flatten_events(raw: DataFrame) -> DataFrame:
-    """Watch events as flat columns, the shape all job operators expect."""
+    """Watch events as flat columns, the shape all job operators expect.
+
+    A line that is not a watch event stays as a row of its own, its text in ``broken_line``.
+    """
     meta, status = F.col("object.metadata"), F.col("object.status")
+    broken = F.col("_corrupt_record") if "_corrupt_record" in raw.columns else F.lit(None).cast("string")
 
     def condition(c: Column) -> Column:
         return F.struct(
@@ -42,15 +48,16 @@ def flatten_events(raw: DataFrame) -> DataFrame:
         status["succeeded"].alias("succeeded"),
         status["startTime"].alias("start_time"),
         F.transform(status["conditions"], condition).alias("conditions"),
+        broken.alias("broken_line"),
     )
 
 
 def read_events(spark: SparkSession, path: str) -> DataFrame:
-    return flatten_events(spark.read.schema(WATCH_SCHEMA).json(path))
+    return flatten_events(spark.read.schema(_READ_SCHEMA).json(path))
 
 
 def stream_events(spark: SparkSession, path: str, max_files: int = 1000) -> DataFrame:
-    reader = spark.readStream.schema(WATCH_SCHEMA).option("maxFilesPerTrigger", max_files)
+    reader = spark.readStream.schema(_READ_SCHEMA).option("maxFilesPerTrigger", max_files)
     return flatten_events(reader.json(path))
 
 

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from jobtide import fixed
 from jobtide.session import ensure_checkpoint_dir, pin_splits
 
-# A block index up to this many rows (about 300 bytes each) is small enough to broadcast.
-BROADCAST_BLOCKS = 100_000
+# Rows of the block index that one broadcast carries (about 100 bytes each).
+BLOCKS_PER_BROADCAST = 2_000_000
 
 
 def _relative(path: Column, base: str, encoded: bool) -> Column:
@@ -29,76 +31,93 @@ def _route_and_log(relative: Column) -> dict[str, Column]:
     }
 
 
+# Spark's text reader unpacks these; the size of such a file says nothing about its text.
+PACKED = r"\.(?:gz|bz2|deflate|lz4|snappy|zst)$"
+
+
 def list_files(spark: SparkSession, base: str) -> DataFrame:
-    """Route, name, size and time of each file; the contents are not read."""
-    found = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("ignoreMissingFiles", True)
-        .load(base)
-    )
-    relative = _relative(F.col("path"), base, encoded=False)
+    """Route, log, path, size and time of each file, also of empty and of ``_`` or ``.`` names.
+
+    The driver lists names and sizes, as Spark's file index does; contents are not read.  Spark's own listing is
+    not used because it passes over empty files and over such names.
+    """
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(base)
+    found = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(root, True)
+    rows = []
+    while found.hasNext():
+        file = found.next()
+        rows.append((file.getPath().toString(), file.getLen(), file.getModificationTime()))
+    files = spark.createDataFrame(rows, "path STRING, size BIGINT, millis BIGINT")
     return (
-        found.select(relative.alias("__rel"), "length", "modificationTime")
-        .where(F.col("__rel").contains("/"))
+        files.withColumn("__rel", _relative(F.col("path"), base, encoded=False))
+        .where(F.col("__rel").contains("/") & ~F.col("__rel").rlike(r"(?:^|/)\.[^/]*\.crc$"))
         .select(
             *[c.alias(n) for n, c in _route_and_log(F.col("__rel")).items()],
-            F.col("length").alias("size"),
-            F.col("modificationTime").alias("last_modified"),
+            "path",
+            "size",
+            F.timestamp_millis("millis").alias("last_modified"),
         )
     )
 
 
-def read_lines(
-    spark: SparkSession,
-    base: str,
-    modified_after: str | None = None,
-    per_log: DataFrame | None = None,
-) -> DataFrame:
-    """All log lines with route, log, 0-based line number and time of the file.
-
-    Files are read split by split.  A first pass over the files counts the lines of each
-    split; the running sum of these counts per file, one row per split, gives the number of
-    lines before a split.  A line's own place in its split follows from the row ids of the
-    scan, so the text itself is not shuffled or sorted unless there are very many splits.
-    With ``modified_after`` (a timestamp text) older files are pruned by the file listing.
-    The columns of ``per_log`` (one row per route and log, such as cursors) are joined to the
-    table of splits and reach the lines with it, however many lines a log has.
-    """
+def raw_lines(spark: SparkSession, base: str, paths: Sequence[str] | None = None) -> DataFrame:
+    """Lines as the scan gives them, with file, block and row id.  Only of ``paths`` if given."""
     pin_splits(spark)
     ensure_checkpoint_dir(spark)
-    reader = spark.read.option("lineSep", "\n").option("recursiveFileLookup", True)
-    if modified_after is not None:
-        reader = reader.option("modifiedAfter", modified_after)
-    raw = reader.text(base).select(
+    reader = spark.read.option("lineSep", "\n").option("recursiveFileLookup", True).option("ignoreMissingFiles", True)
+    plain = [re.sub(r"([{}\[\]*?\\])", r"\\\1", path) for path in paths] if paths is not None else base
+    return reader.text(plain).select(
         F.col("value").alias("line"),
         F.col("_metadata.file_path").alias("__path"),
         F.col("_metadata.file_block_start").alias("__block"),
         F.col("_metadata.file_modification_time").alias("last_modified"),
         F.monotonically_increasing_id().alias("__row"),
     )
-    earlier = (
-        W.partitionBy("__path").orderBy("__block").rowsBetween(W.unboundedPreceding, -1)
-    )
-    relative = _relative(F.col("__path"), base, encoded=True)
-    blocks = (
+
+
+def block_index(raw: DataFrame, base: str) -> DataFrame:
+    """One row per block: its lines and bytes, and what turns a row id into a line number."""
+    earlier = W.partitionBy("__path").orderBy("__block").rowsBetween(W.unboundedPreceding, -1)
+    return (
         raw.groupBy("__path", "__block")
-        .agg(F.min("__row").alias("__first"), F.count(F.lit(1)).alias("__lines"))
+        .agg(
+            F.min("__row").alias("__first"),
+            F.count(F.lit(1)).alias("__lines"),
+            F.sum(F.octet_length("line") + F.lit(1)).alias("__bytes"),
+        )
         .withColumn("__shift", F.coalesce(F.sum("__lines").over(earlier), F.lit(0)) - F.col("__first"))
-        .withColumn("__rel", relative)
+        .withColumn("__rel", _relative(F.col("__path"), base, encoded=True))
         .where(F.col("__rel").contains("/"))
-        .select("__path", "__block", "__shift", *[c.alias(n) for n, c in _route_and_log(F.col("__rel")).items()])
+        .select("__path", "__block", "__shift", "__lines", "__bytes", *[c.alias(n) for n, c in _route_and_log(F.col("__rel")).items()])
+        .checkpoint()
     )
+
+
+def number_lines(raw: DataFrame, blocks: DataFrame, base: str, per_log: DataFrame | None = None) -> DataFrame:
+    """Route, log, line number and line; with the columns of ``per_log`` (one row per route and log).
+
+    The block index travels to the lines, never the lines to the index: a row of it is two hashes of the
+    path, the block and a few numbers.  An index too large for one broadcast is sent in parts, each to the
+    lines of its own files, which reads the files once per part and still shuffles no text.
+    """
     more = []
     if per_log is not None:
         more = [c for c in per_log.columns if c not in ("route", "log")]
         blocks = blocks.join(per_log, ["route", "log"], "left")
-    blocks = blocks.checkpoint()
-    if blocks.count() <= BROADCAST_BLOCKS:
-        blocks = F.broadcast(blocks)
-    return raw.join(blocks, ["__path", "__block"]).select(
-        "route",
-        "log",
+    marks = [F.xxhash64("__path").alias("__key"), F.crc32("__path").alias("__check")]
+    parts = -(-blocks.count() // BLOCKS_PER_BROADCAST) or 1
+    index = blocks.select(*marks, "__block", "__shift", *more)
+    keyed = raw.select("*", *marks)
+
+    def joined(part: int) -> DataFrame:
+        mine = F.pmod("__key", F.lit(parts)) == part
+        return keyed.where(mine).join(F.broadcast(index.where(mine)), ["__key", "__check", "__block"])
+
+    whole = reduce(DataFrame.unionAll, [joined(part) for part in range(parts)])
+    place = _route_and_log(_relative(F.col("__path"), base, encoded=True))
+    return whole.select(
+        *[c.alias(n) for n, c in place.items()],
         (F.col("__row") + F.col("__shift")).alias("line_no"),
         "line",
         "last_modified",
@@ -106,6 +125,22 @@ def read_lines(
     )
 
 
+def read_lines(spark: SparkSession, base: str, per_log: DataFrame | None = None) -> DataFrame:
+    """All log lines with route, log, 0-based line number and time of the file.
+
+    Files are read split by split.  A first pass counts the lines of each split; the running sum of
+    these counts per file gives the number of lines before a split.  A line's own place in its split
+    follows from the row ids of the scan, so the text is neither shuffled nor sorted.
+    """
+    raw = raw_lines(spark, base)
+    return number_lines(raw, block_index(raw, base), base, per_log)
+
+
+def in_file_order(lines: DataFrame) -> DataFrame:
+    """Lines sorted by route, log and place."""
+    return lines.orderBy("route", "log", "line_no")
+
+
 def read_pointers(spark: SparkSession, base: str) -> DataFrame:
     """Job name and content of each pointer file."""
     folder = f"{base.rstrip('/')}/{fixed.POINTER_DIR}"

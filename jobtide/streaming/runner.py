@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from jobtide.operators.messages import ACK, DEAD_LETTER, REQUEUE, Handler, process
+from jobtide.sinks.files import start
 
 VERDICTS, OUTCOMES, DEAD_LETTERS, RETRY, UNROUTED = (
     "verdicts",
@@ -31,29 +32,38 @@ def limit_attempts(processed: DataFrame, max_attempts: int | None) -> DataFrame:
     )
 
 
+def run_id(spark: SparkSession, checkpoint: str) -> str:
+    """Id of the stream that owns a checkpoint: the same after a restart, another one for a new checkpoint."""
+    return spark.read.json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
+
+
+def batch_folder(root: str, folder: str, run: str, batch_id: int) -> str:
+    return f"{root}/{folder}/run={run}/batch={batch_id}"
+
+
 def write_batch(
     batch: DataFrame,
     batch_id: int,
     handlers: Sequence[Handler],
     root: str,
     max_attempts: int | None = None,
+    run: str = "0",
 ) -> None:
     """Process one micro-batch and write all its results.
 
-    The folder of a batch is replaced as a whole, so a batch that runs again after a failure
-    leaves its results once.
+    The folder of a batch of a run is replaced as a whole, so a batch that runs again after a failure
+    leaves its results once, and a stream with a new checkpoint leaves earlier results alone.
     """
-    held: list[DataFrame] = []
+    done = limit_attempts(process(batch, handlers), max_attempts).persist()
+    try:
+        _write_results(done, batch.columns, lambda folder: batch_folder(root, folder, run, batch_id))
+    finally:
+        done.unpersist()
 
-    def hold(df: DataFrame) -> DataFrame:
-        held.append(df.persist())
-        return held[-1]
-
-    done = hold(limit_attempts(process(batch, handlers, hold), max_attempts))
-    original = batch.columns
 
+def _write_results(done: DataFrame, original: list[str], place: Callable[[str], str]) -> None:
     def write(rows: DataFrame, folder: str) -> None:
-        rows.write.mode("overwrite").parquet(f"{root}/{folder}/batch={batch_id}")
+        rows.write.mode("overwrite").parquet(place(folder))
 
     write(done.select("delivery_id", "attempt", "handler", "disposition", "reason"), VERDICTS)
     write(
@@ -69,8 +79,6 @@ def write_batch(
         done.where(F.col("disposition") == REQUEUE).withColumn("attempt", again).select(*original),
         RETRY,
     )
-    for df in held:
-        df.unpersist()
 
 
 def run_stream(
@@ -79,20 +87,18 @@ def run_stream(
     checkpoint: str,
     root: str,
     max_attempts: int | None = None,
+    trigger: Mapping[str, object] | None = None,
 ) -> StreamingQuery:
-    """Process what has arrived and stop.
+    """Process what arrives; without a trigger, what has arrived.
 
     Include ``{root}/retry`` among the folders of ``messages`` to have requeued messages
     delivered again by the next run.
     """
-    return (
-        messages.writeStream.foreachBatch(
-            lambda batch, batch_id: write_batch(batch, batch_id, handlers, root, max_attempts)
-        )
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        write_batch(batch, batch_id, handlers, root, max_attempts, run_id(batch.sparkSession, checkpoint))
+
+    return start(messages.writeStream.foreachBatch(apply), checkpoint, trigger)
 
 
 def conserved(processed: DataFrame) -> DataFrame:

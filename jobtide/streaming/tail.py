@@ -1,53 +1,110 @@
 """Incremental tail of a folder of growing logs.
 
 The file stream source of Spark reads a file once and never looks at it again when it grows,
-so each look is a batch job driven by a table of cursors.
+so each look is a batch job driven by a table with one cursor per log.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from jobtide.operators.logs import tail_summary
-from jobtide.sources.logfiles import read_lines
+from jobtide.session import written
+from jobtide.sources.logfiles import PACKED, block_index, list_files, number_lines, raw_lines
 
-_CURSORS = "route STRING, log STRING, next_line BIGINT, last_modified TIMESTAMP"
-# Files changed within this many seconds before the last seen change are looked at again.
-_SLACK_SECONDS = 2
+_LOG = ["route", "log"]
+_CURSORS = "route STRING, log STRING, next_line BIGINT, offset BIGINT, size BIGINT, last_modified TIMESTAMP"
+_FIELDS = ("next_line", "offset", "size", "last_modified")
+_MARK = 3  # bytes of a byte order mark, which the reader leaves out
 
 
 def read_cursors(spark: SparkSession, root: str, look: int) -> DataFrame:
-    """Cursor of each log after the looks before ``look``."""
+    """Cursor of each log after the looks before ``look``.
+
+    ``next_line`` and ``offset`` tell what has been delivered, ``size`` and ``last_modified`` what
+    the file was like then.
+    """
     if look == 0:
         return spark.createDataFrame([], _CURSORS)
+    newest = F.max_by(F.struct(*_FIELDS), "look").alias("newest")
     return (
         spark.read.schema(f"{_CURSORS}, look INT")
         .parquet(f"{root}/cursors")
         .where(F.col("look") < look)
-        .groupBy("route", "log")
-        .agg(F.max("next_line").alias("next_line"), F.max("last_modified").alias("last_modified"))
+        .groupBy(*_LOG)
+        .agg(newest)
+        .select(*_LOG, "newest.*")
     )
 
 
-def tail_once(spark: SparkSession, base: str, root: str, look: int) -> DataFrame:
-    """Write the lines that are new since the last look, move the cursors, return the lines.
+def changed_files(files: DataFrame, cursors: DataFrame, final: bool = False) -> DataFrame:
+    """Files that are new or differ from their own cursor in size or time.
 
-    The lines are written first and the cursors are derived from what was written; a look
-    that fails in between is simply done again under the same number.
+    A file smaller than what was delivered of it has been replaced and starts again.  With
+    ``final`` also files of which something was held back.
     """
-    cursors = read_cursors(spark, root, look)
-    seen = cursors.agg(F.max("last_modified").alias("seen")).select(
-        F.date_format(F.col("seen") - F.expr(f"INTERVAL {_SLACK_SECONDS} SECONDS"), "yyyy-MM-dd'T'HH:mm:ss")
+    seen = cursors.select(*_LOG, "next_line", "offset", F.col("size").alias("seen_size"), F.col("last_modified").alias("seen_time"))
+    both = files.join(seen, _LOG, "left")
+    same = F.coalesce((F.col("size") == F.col("seen_size")) & (F.col("last_modified") == F.col("seen_time")), F.lit(False))
+    wanted = ~same | (F.col("offset") < F.col("size")) if final else ~same
+    replaced = F.col("size") < F.coalesce("offset", F.lit(0))
+    return both.where(wanted).select(
+        *_LOG,
+        "path",
+        "size",
+        "last_modified",
+        F.when(replaced, 0).otherwise(F.coalesce("next_line", F.lit(0))).cast("bigint").alias("from_line"),
+        F.when(replaced, 0).otherwise(F.coalesce("offset", F.lit(0))).cast("bigint").alias("from_offset"),
     )
-    modified_after = seen.first()[0]
-    starts = cursors.select("route", "log", "next_line")
-    lines = read_lines(spark, base, modified_after, starts)
+
+
+def complete_lines(lines: Column, text_bytes: Column, size: Column, packed: Column) -> Column:
+    """How many of a file's lines were ended when its size was taken.
+
+    ``text_bytes`` counts one line end for each line: it equals the size when the last line is ended and
+    is one more when that is open (less a byte order mark, which the reader leaves out).  Of a
+    file that has grown since, at most two lines reach beyond that size.
+    """
+    ended = packed | text_bytes.isin(0) | (text_bytes == size) | (text_bytes == size - _MARK)
+    unsure = F.when(text_bytes <= size + 1, 1).otherwise(2)
+    return F.when(ended, lines).otherwise(F.greatest(F.lit(0), lines - unsure))
+
+
+def tail_once(spark: SparkSession, base: str, root: str, look: int, final: bool = False) -> DataFrame:
+    """Write the lines that are new since the last look, move the cursors, return the lines.
+
+    Each log is judged by its own cursor, never by the time of another one.  A line is delivered
+    once its end is in the file; an open last line waits for its end.  ``final`` delivers open
+    lines as they are, for logs that nobody writes any more.  Lines are written first and the
+    cursors are derived from what was written; a look that fails in between is done again under
+    the same number.
+    """
+    changed = written(changed_files(list_files(spark, base), read_cursors(spark, root, look), final), "changed-logs")
     target = f"{root}/lines/look={look}"
-    lines.where(F.col("line_no") >= F.coalesce("next_line", F.lit(0))).drop("next_line").write.mode(
-        "overwrite"
-    ).parquet(target)
-    fresh = spark.read.parquet(target)
-    tail_summary(fresh).select("route", "log", "next_line", "last_modified").write.mode(
-        "overwrite"
-    ).parquet(f"{root}/cursors/look={look}")
+    shape = "route STRING, log STRING, line_no BIGINT, line STRING, last_modified TIMESTAMP"
+    # path names only; the reader lists its files in the driver all the same
+    paths = [row["path"] for row in changed.where("size > 0").select("path").collect()]
+    if paths:
+        raw = raw_lines(spark, base, paths)
+        blocks = block_index(raw, base)
+        totals = blocks.groupBy(*_LOG).agg(F.sum("__lines").alias("lines"), F.sum("__bytes").alias("text_bytes"))
+        ended = complete_lines(F.col("lines"), F.col("text_bytes"), F.col("size"), F.col("log").rlike(PACKED))
+        until = F.col("lines") if final else ended
+        limits = changed.join(totals, _LOG).select(*_LOG, "from_line", until.alias("until_line"))
+        lines = number_lines(raw, blocks, base, limits)
+        lines = lines.where("line_no >= from_line AND line_no < until_line").drop("from_line", "until_line")
+    else:
+        lines = spark.createDataFrame([], shape)
+    lines.write.mode("overwrite").parquet(target)
+    fresh = spark.read.schema(shape).parquet(target)
+    delivered = fresh.groupBy(*_LOG).agg(
+        (F.max("line_no") + 1).alias("next"), F.sum(F.octet_length("line") + F.lit(1)).alias("bytes")
+    )
+    moved = changed.join(delivered, _LOG, "left").select(
+        *_LOG,
+        F.coalesce("next", "from_line").alias("next_line"),
+        (F.col("from_offset") + F.coalesce("bytes", F.lit(0))).alias("offset"),
+        "size",
+        "last_modified",
+    )
+    moved.write.mode("overwrite").parquet(f"{root}/cursors/look={look}")
     return fresh

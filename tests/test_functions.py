@@ -119,9 +119,12 @@ def test_hint_order(spark):
 
 
 def test_tokens_repeat_and_differ(column):
-    first = column(["a", "b", None], lambda c: names.token(10, c))
-    assert first == column(["a", "b", None], lambda c: names.token(10, c))
-    assert len(set(first)) == 3 and all(re.fullmatch("[A-Za-z0-9]{10}", t) for t in first)
+    first = column(["a", "b", None], lambda c: names.token(10, names.digest(c)))
+    assert first == column(["a", "b", None], lambda c: names.token(10, names.digest(c)))
+    assert len(set(first)) == 3 and all(re.fullmatch("[a-z0-9]{10}", t) for t in first)
+    # all digits and letters are used: four of them make far more than 65,536 tokens
+    many = column([str(i) for i in range(3000)], lambda c: names.token(4, names.digest(c)))
+    assert len(set("".join(many))) == 36 and len(set(many)) > 2980
 
 
 def test_queue_name_and_platform(column):

@@ -58,6 +58,35 @@ def test_schema_check(spark):
     assert got[0].id == 1 and got[0].title == "x" and got[10].id == 2
 
 
+def test_integers_of_any_length(spark):
+    texts = ["7", "7.0", "123456789012345678901234567890", "9007199254740993", "9007199254740993.5", "-12", "1" * 60]
+    got = check(spark, [f'{{"id": {t}, "title": "x"}}' for t in texts], SIMPLE)
+    assert [r.reason for r in got] == [None] * 4 + ["type:id"] + [None] * 2
+    assert [str(r.id) for r in got[:4]] == ["7", "7", texts[2], texts[3]]
+    assert [r.id_text for r in got[:4]] == ["7", "7", texts[2], texts[3]] and got[5].id_text == "-12"
+
+
+def test_one_scan_for_many_handlers(spark, tmp_path):
+    message_rows = [("x", f"a.{i % 3}", i, b'{"id": 1, "title": "t"}', 1) for i in range(9)]
+    spark.createDataFrame(message_rows, mq.MESSAGE_SCHEMA).write.parquet(str(tmp_path / "m"))
+    messages = spark.read.parquet(str(tmp_path / "m"))
+
+    def told(name):
+        fit = F.col("disposition") == mq.ACK
+        return lambda df: df.withColumns({"outcome_key": F.when(fit, F.lit(name)), "outcome_body": F.when(fit, F.col("title"))})
+
+    handlers = [mq.Handler(f"h{i}", "x", f"a.{i}", SIMPLE, told(f"k{i}"), sees_all=True) for i in range(3)]
+    handlers += [mq.Handler(f"h{i}", "x", "a.*", SIMPLE) for i in range(3, 5)] + [mq.Handler("blind", "x", "a.1", None)]
+    done = mq.process(messages, handlers)
+    assert done._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    rows = done.collect()
+    assert len(rows) == 9 * 3 + 3
+    for r in rows:
+        own = r.handler in ("h0", "h1", "h2")
+        assert (r.outcome_key, r.outcome_body) == ((f"k{r.handler[1]}", "t") if own else (None, None))
+        assert r.disposition == ("requeue" if r.handler == "blind" else "ack")
+
+
 def test_null_and_absent_and_empty(spark):
     base = {"inmeta": "m", "routename": "r"}
     extra = [{}, {"filename": None}, {"filename": ""}, {"filename": "f"}, {"filename": 3}]

@@ -7,6 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from jobtide import session
 from jobtide.operators import jobs, logs, reaping, retry
 from jobtide.operators.launch import label_map, merge_labels
 from jobtide.operators.naming import allocate_names
@@ -15,7 +16,8 @@ from jobtide.operators.skew import hot_keys, skew_join
 from jobtide.sinks import files as sinks
 from jobtide.sources import events as event_source
 from jobtide.sources import logfiles
-from jobtide.streaming.tail import tail_once
+from jobtide.sources.events import read_events
+from jobtide.streaming.tail import complete_lines, tail_once
 
 
 def hot_rows(n=3000):
@@ -186,13 +188,70 @@ def test_journal_and_states(spark, tmp_path):
     second = spark.createDataFrame([("a", 5, "n", "success", False), ("b", 6, "n", None, True)], schema)
     late = spark.createDataFrame([("a", 3, "n", "retry", False)], schema)
     for batch, rows in enumerate((first, second, second, late)):
-        sinks.append_states(rows, table, min(batch, 2))
+        sinks.append_states(rows, table, "one", min(batch, 2))
     # batch 2 was replaced by the late one, whose older entry does not win
     assert [tuple(r) for r in sinks.read_states(spark, table).collect()] == [("a", 5, "n", "success")]
-    sinks.append_states(second, table, 1)
+    sinks.append_states(second, table, "one", 1)
     assert [tuple(r) for r in sinks.read_states(spark, table).collect()] == [("a", 5, "n", "success")]
     sinks.compact_states(spark, table, str(tmp_path / "compact"))
-    assert sinks.read_states(spark, str(tmp_path / "compact")).count() == 1
+    compact = str(tmp_path / "compact")
+    assert sinks.read_states(spark, compact).count() == 1
+    # neither a new run nor an older change that comes late brings the deleted job back
+    sinks.append_states(first, compact, "two", 0)
+    assert [tuple(r) for r in sinks.read_states(spark, compact).collect()] == [("a", 5, "n", "success")]
+
+
+def test_a_lost_position_is_cleared(spark, tmp_path):
+    root = str(tmp_path / "journal")
+    events = read(spark, [job_event(v) for v in (10, 11, 14)])
+    for entry, (written, position, left) in enumerate([(9, 9, 9), (12, 12, 12), (5, 14, None)]):
+        sinks.record_position(spark, root, 10 * entry, written)
+        assert sinks.recover_position(spark, root, events, 10 * entry + 1) == position
+        assert sinks.last_position(spark, root).first().position == left
+
+
+def test_malformed_events_are_counted(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"type":"ADDED","object":{"kind":"Job","metadata":{"name":"cds-1","uid":"u"}}}\n{cut off\n[1]\n"x"\n{}\n')
+    events = read_events(spark, str(tmp_path))
+    assert events.count() == 5
+    reasons = sorted((r.why or "processed", r.broken_line is not None) for r in events.select(jobs.skip_reason().alias("why"), "broken_line").collect())
+    assert reasons[-1] == ("processed", False) and [r[0] for r in reasons[:-1]] == ["malformed"] * 4
+    assert jobs.watched_events(events).count() == 1
+
+
+def test_pod_logs_are_replaced(spark, tmp_path):
+    schema = "job_name STRING, pod_name STRING, line_no BIGINT, line STRING"
+    for text in ("first", "second"):
+        sinks.write_pod_logs(spark.createDataFrame([("j", "p", 0, text)], schema), str(tmp_path / "logs"))
+    sinks.write_pod_logs(spark.createDataFrame([("j", "q", 0, "other")], schema), str(tmp_path / "logs"))
+    assert sorted(r.value for r in spark.read.text(str(tmp_path / "logs")).collect()) == ["other", "second"]
+
+
+def test_long_messages_are_not_published(spark, tmp_path):
+    rows = spark.createDataFrame([("k", "short"), ("k", "x" * 100)], "routing_key STRING, body STRING")
+    sinks.publish(rows, str(tmp_path / "out"), "one", max_bytes=50)
+    assert [r.value for r in spark.read.text(str(tmp_path / "out")).collect()] == ["short"]
+    assert spark.read.parquet(str(tmp_path / "out-rejected")).first().reason == "body_too_long"
+
+
+def test_numbers_of_sparse_serials_and_null_keys(spark):
+    rng = random.Random(7)
+    rows = [(rng.choice(["a", "b", None]), rng.randrange(-(2**62), 2**62)) for _ in range(400)]
+    got = number_rows(spark.createDataFrame(rows, "k STRING, v BIGINT"), ["k"], ["v"], serial_slice("v"), "n").collect()
+    want = {(k, v): n for key in ("a", "b", None) for n, (k, v) in enumerate(sorted((r for r in rows if r[0] == key), key=lambda r: r[1]))}
+    assert {(r.k, r.v): r.n for r in got} == want
+
+
+def test_shared_folder_on_a_cluster(spark):
+    class Cluster:
+        class sparkContext:  # noqa: N801
+            master = "spark://host:7077"
+
+        class conf:  # noqa: N801
+            get = staticmethod(lambda key, default=None: default)
+
+    with pytest.raises(ValueError, match="share"):
+        session.shared_dir(Cluster)
 
 
 def test_reaping_needs_a_base_path(spark, tmp_path):
@@ -232,6 +291,8 @@ def log_base(tmp_path):
             (base / route / name).write_text(text)
             contents[route, name] = lines
     (base / "alpha" / "empty.log").write_text("")
+    (base / "alpha" / "_marked.log").write_text("x\n")
+    (base / "beta two" / ".dot").write_text("")
     return str(base), contents
 
 
@@ -259,12 +320,9 @@ def test_listing(spark, log_base):
     for (route, name) in contents:
         if not route.startswith("."):
             assert sizes[route, name] == os.path.getsize(f"{base}/{route}/{name}")
-    # the file scan passes over files without content
-    assert ("alpha", "empty.log") not in sizes
+    assert sizes["alpha", "empty.log"] == 0 and sizes["alpha", "_marked.log"] == 2 and sizes["beta two", ".dot"] == 0
     assert [r.route for r in logs.list_routes(files).orderBy("route").collect()] == ["alpha", "beta two", "podnames"]
     assert "podnames" not in [r.route for r in logs.list_routes(files, with_pointers=False).collect()]
-    plan = files._jdf.queryExecution().executedPlan().toString()
-    assert "content" not in plan
 
 
 def test_pointer_files(spark, log_base):
@@ -322,3 +380,34 @@ def test_growing_log(spark, tmp_path):
     assert look(1) == [("a.log", 2, "three"), ("a.log", 3, "four"), ("b.log", 0, "new")]
     assert look(1) == [("a.log", 2, "three"), ("a.log", 3, "four"), ("b.log", 0, "new")]
     assert look(2) == []
+
+
+def test_open_lines_and_late_files(spark, tmp_path):
+    """An open line waits for its end, a file with an old time is read, a replaced one starts again."""
+    base, root = tmp_path / "base", str(tmp_path / "state")
+    (base / "r [x]").mkdir(parents=True)
+    log, late, mark = (base / "r [x]" / n for n in ("a.log", "late*.log", "mark.log"))
+
+    def look(n, **how):
+        return sorted((r.log, r.line_no, r.line) for r in tail_once(spark, str(base), root, n, **how).collect())
+
+    log.write_bytes("one\ntw".encode())
+    assert look(0) == [("a.log", 0, "one")]
+    assert look(1) == []
+    late.write_text("old\nnews\n")
+    os.utime(late, (1_000_000_000, 1_000_000_000))
+    with open(log, "a") as f:
+        f.write("o-rest\nthree\nop")
+    assert look(2) == [("a.log", 1, "two-rest"), ("a.log", 2, "three"), ("late*.log", 0, "old"), ("late*.log", 1, "news")]
+    assert look(2) == [("a.log", 1, "two-rest"), ("a.log", 2, "three"), ("late*.log", 0, "old"), ("late*.log", 1, "news")]
+    mark.write_bytes(b"\xef\xbb\xbffirst\nsecond")
+    late.write_text("new\n")
+    assert look(3) == [("late*.log", 0, "new"), ("mark.log", 0, "first")]
+    assert look(4, final=True) == [("a.log", 3, "op"), ("mark.log", 1, "second")]
+    assert look(5, final=True) == [] == look(6)
+
+
+@pytest.mark.parametrize(("text_bytes", "size", "kept"), [(10, 10, 3), (11, 10, 2), (15, 10, 1), (7, 10, 3), (8, 10, 2), (0, 0, 3)])
+def test_lines_that_were_ended(spark, text_bytes, size, kept):
+    value = complete_lines(F.lit(3), F.lit(text_bytes), F.lit(size), F.lit(False))
+    assert spark.range(1).select(value.alias("v")).first().v == kept
