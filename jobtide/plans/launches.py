@@ -107,98 +107,6 @@ _JOB_NAME = (
     f" WHEN length({_sql_clean(_WHOLE, 1000000)}) <= 59 THEN {_sql_clean(_WHOLE)}"
     f" ELSE {_sql_clean(chr(39) + 'cds-' + chr(39) + ' || hint', 54)} || '-' || suffix END"
 )
-_PLANNED = f"""SELECT * EXCLUDE (reason, disposition), {_JOB_NAME} AS job_name,
-        CASE WHEN stem = '' THEN 'blank_name' WHEN target_name IS NULL THEN 'no_free_name' END AS reason
-    FROM allocated"""
-_PATH = "/data/metadata"
-BASE_LABELS = {"app": "delivery", "online-id": "from-template"}
-_TAKEN_SUFFIXES = ("", "-2", "-5")
-
-
-def _sql_clean(text: str, limit: int = 59) -> str:
-    dashed = f"regexp_replace({text}, '\\s+', '-', 'g')"
-    kept = f"lower(regexp_replace({dashed}, '[^A-Za-z0-9-]', '', 'g'))"
-    return f"regexp_replace(regexp_replace(left({kept}, {limit}), '[^a-z0-9]+$', ''), '^[^a-z0-9]+', '')"
-
-
-def _sql_label(text: str) -> str:
-    kept = f"regexp_replace({text}, '[^A-Za-z0-9\\-_.]', '', 'g')"
-    return f"CASE WHEN length({kept}) < 63 THEN {kept} ELSE left({kept}, 60) || '...' END"
-
-
-def _sql_allocated(requests: str, taken_names: str) -> dict[str, str]:
-    """Named queries that list the free slots of each stem and deal them out in order."""
-    numbered = "regexp_extract(name, '^(.*)-([1-9][0-9]{0,2})$', %d)"
-    slots = (
-        "SELECT name AS stem, 0 AS slot FROM taken_names UNION "
-        f"SELECT {numbered % 1}, CAST({numbered % 2} AS INT) FROM (SELECT name FROM taken_names UNION SELECT stem FROM requests)"
-        " WHERE regexp_matches(name, '^(.*)-([1-9][0-9]{0,2})$')"
-    )
-    return {
-        "requests": requests,
-        "taken_names": taken_names,
-        "taken": f"SELECT stem, slot FROM ({slots})",
-        "per_stem": """SELECT r.stem, r.n + coalesce(t.n, 0) AS enough
-            FROM (SELECT stem, count(*) AS n FROM requests GROUP BY 1) r
-            LEFT JOIN (SELECT stem, count(*) AS n FROM taken GROUP BY 1) t USING (stem)""",
-        "candidates": "SELECT stem, CAST(unnest(range(least(1000, enough))) AS INT) AS slot FROM per_stem",
-        "free": """SELECT stem, slot, row_number() OVER (PARTITION BY stem ORDER BY slot) AS k
-            FROM candidates ANTI JOIN taken USING (stem, slot)""",
-        "ranked": "SELECT *, row_number() OVER (PARTITION BY stem ORDER BY delivery_id) AS k FROM requests",
-        "allocated": """SELECT ranked.*, slot, CASE WHEN slot = 0 THEN stem ELSE stem || '-' || CAST(slot AS VARCHAR) END AS target_name
-            FROM ranked LEFT JOIN free USING (stem, k)""",
-    }
-
-
-# --- whole launch plans ------------------------------------------------------------------
-
-
-def existing_names(spark: SparkSession, sf: str) -> DataFrame:
-    """Names in use: the plain name and two numbered ones of each clip."""
-    clip = F.concat(F.lit("clip-"), (F.col("o_custkey") % 50).cast("string"), F.lit("-takemxf"))
-    return (
-        table(spark, sf, "orders")
-        .select(clip.alias("clip"))
-        .distinct()
-        .select(F.explode(F.array(*[F.concat("clip", F.lit(s)) for s in _TAKEN_SUFFIXES])).alias("name"))
-    )
-
-
-def _plan(spark: SparkSession, sf: str) -> DataFrame:
-    routed = uploads(spark, sf).where(mq.fits(UPLOAD_HANDLER.binding))
-    checked = launch.check_metadata(mq.validate(routed, fixed.UPLOAD_SCHEMA))
-    valid = checked.where(F.col("disposition") == mq.ACK).drop("metadata_pairs", "metadata_type", "movie_tokens")
-    return launch.plan_launches(valid, existing_names(spark, sf), BASE_PATH, "ns", BASE_LABELS)
-
-
-_FILENAME = """CASE WHEN d % 8 = 2 THEN '' WHEN d % 8 IN (3, 6, 7) THEN 'Clip ' || CAST(c % 50 AS VARCHAR) || ' take.mxf' END"""
-_ONLINE = "CASE WHEN d % 3 = 2 THEN 'KP-' || CAST(c AS VARCHAR) END"
-_NEARLINE = """CASE WHEN d % 5 >= 2 THEN 'a very long name of the nearline store item that goes on and on until it is cut ' || CAST(d AS VARCHAR) END"""
-_ARCHIVE = "CASE WHEN d % 7 >= 2 THEN 'AR ' || CAST(d AS VARCHAR) END"
-_DIGITS = "0123456789abcdefghijklmnopqrstuvwxyz"
-
-
-def _sql_token(digest: str, length: int) -> str:
-    """Digits in base 36 of the first 60 bits, the last ones of them."""
-    number = f"CAST('0x' || left({digest}, 15) AS BIGINT)"
-    digits = [f"substr('{_DIGITS}', CAST(({number} // {36**i}) % 36 AS INT) + 1, 1)" for i in reversed(range(length))]
-    return " || ".join(digits)
-
-
-_DIGEST = "sha256(exchange || '|' || routing_key || '|' || body || '|' || CAST(delivery_id AS VARCHAR))"
-_REQUESTS = f"""SELECT *, {_sql_clean('hint')} AS stem FROM (
-    SELECT v.*, f.* EXCLUDE (d), coalesce(filename, online_id, nearline_id, archive_id, {_sql_token(_DIGEST, 10)}) AS hint,
-        {_sql_token(_DIGEST, 4)} AS suffix
-    FROM (SELECT * FROM verdicts WHERE handler = 'uploads' AND disposition = 'ack') v
-    JOIN (SELECT d, c, {_FILENAME} AS filename, {_ONLINE} AS online_id, {_NEARLINE} AS nearline_id, {_ARCHIVE} AS archive_id
-        FROM (SELECT o_orderkey AS d, o_custkey AS c FROM orders)) f ON v.delivery_id = f.d)"""
-_TAKEN_NAMES = """SELECT DISTINCT 'clip-' || CAST(o_custkey % 50 AS VARCHAR) || '-takemxf' || s AS name
-    FROM orders, (VALUES (''), ('-2'), ('-5')) AS t(s)"""
-_WHOLE = "'cds-' || hint || '-' || suffix"
-_JOB_NAME = (
-    f"CASE WHEN length({_sql_clean(_WHOLE, 1000000)}) <= 59 THEN {_sql_clean(_WHOLE)}"
-    f" ELSE {_sql_clean(chr(39) + 'cds-' + chr(39) + ' || hint', 54)} || '-' || suffix END"
-)
 _PLANNED = f"""SELECT * EXCLUDE (reason, disposition), {_JOB_NAME} AS job_name,
         CASE WHEN stem = '' THEN 'blank_name' WHEN target_name IS NULL THEN 'no_free_name' END AS reason
     FROM allocated"""
