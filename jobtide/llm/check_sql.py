@@ -6,7 +6,7 @@ from jobtide.llm.quality_rules import HOST_LIMIT, LEAST_STRENGTH, LEAST_WORDS, M
 from jobtide.llm.sharding import SHARDS, SLOTS, lookup_table
 from jobtide.llm.url_filter import LOWER, RULES, UPPER
 
-WORD_LIST = r"list_filter(regexp_split_to_array({}, '[\x20\x09-\x0D]+'), w -> w <> '')"
+WORD_LIST = r"list_filter(regexp_split_to_array({}, '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
 
 def shards() -> str:
@@ -24,7 +24,7 @@ WITH RECURSIVE words AS (
   SELECT doc_id, {WORD_LIST.format(f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')")} AS w FROM documents),
 shingles AS (
   SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-    ELSE list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')) END) AS s FROM words),
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM words),
 sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
 common AS (
   SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL),
@@ -53,7 +53,7 @@ covered AS (
   FROM (SELECT doc_id, i, lag(i, 1, i - 8) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM repeats) GROUP BY doc_id),
 lines AS (
   SELECT doc_id, len(l) - len(list_distinct(l)) AS n
-  FROM (SELECT doc_id, list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM words)),
+  FROM (SELECT doc_id, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM words)),
 measured AS (
   SELECT words.doc_id, source, len(w)::BIGINT AS n_words,
     length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
@@ -100,11 +100,11 @@ URLS = rf"""
 WITH RECURSIVE tags AS (
   SELECT url,
     list_transform(list_filter(regexp_extract_all(html, '(?is)<link\b[^>]*>'),
-      t -> regexp_matches(t, '(?is)\brel\s*=\s*["'']?[^"''>]*\bcanonical\b')),
-      t -> regexp_extract(t, '(?is)\bhref\s*=\s*["'']?\s*([^"''\s>]+)', 1)) AS links,
+      lambda t: regexp_matches(t, '(?is)\brel\s*=\s*["'']?[^"''>]*\bcanonical\b')),
+      lambda t: regexp_extract(t, '(?is)\bhref\s*=\s*["'']?\s*([^"''\s>]+)', 1)) AS links,
     list_transform(list_filter(regexp_extract_all(html, '(?is)<meta\b[^>]*>'),
-      t -> regexp_matches(t, '(?is)\bhttp-equiv\s*=\s*["'']?\s*refresh\b')),
-      t -> regexp_extract(t, '(?is)\burl\s*=\s*["'']?\s*([^"''\s>]+)', 1)) AS refreshes,
+      lambda t: regexp_matches(t, '(?is)\bhttp-equiv\s*=\s*["'']?\s*refresh\b')),
+      lambda t: regexp_extract(t, '(?is)\burl\s*=\s*["'']?\s*([^"''\s>]+)', 1)) AS refreshes,
     [url_decode(regexp_extract(url, '[?&](?:url|target|dest|redirect|redirect_uri|redirect_url)=(https?(?:%3[Aa]|:)[^&#]*)', 1))] AS wrapped
   FROM pages),
 found AS (
