@@ -15,6 +15,7 @@ from jobtide.operators.metadata import SCHEMA_FILE, parse_metadata
 from jobtide.operators.naming import allocate_names
 from jobtide.operators.numbering import DEFAULT_SLICE
 from jobtide.operators.once import evaluate_once
+from jobtide.session import written
 
 _DELIVERY = ("exchange", "routing_key", "body", "delivery_id")
 
@@ -104,8 +105,8 @@ def plan_launches(
     also against those.  Requests with a blank stem or without a free target name stay in the
     result as dead letters with a reason and an ``invalid`` outcome.
 
-    Names are dealt out on a narrow table (one row per delivery), which is then joined to
-    the requests; nothing runs before the result is asked for.
+    Names are dealt out on a narrow table (one row per delivery, no payload), written while the plan is
+    built; its names are then joined to the requests, of which a caller reads the columns it needs.
     """
     delivery = [F.col(c) for c in _DELIVERY]
     marked = evaluate_once(requests, "__digest", names.digest(*delivery))
@@ -119,6 +120,8 @@ def plan_launches(
         names.short_head(F.col("__kept")).alias("job_head"),
         suffix.alias("job_suffix"),
     ).distinct()
+    # dealing out reads these few columns several times; bodies and metadata are not among them
+    narrow = written(narrow, "launch-names")
     named = allocate_names(narrow, existing, "delivery_id", slice_width=slice_width, tie="__digest")
     head = ["job_head", "job_suffix"]
     # the suffix comes from a digest, so no head and suffix has more than a few rows
