@@ -8,7 +8,7 @@ per vector, from the sum of its squared gradients) on a bounded sample of the la
 Runs of one word add the word n-grams of two, three and four equal words, whatever the word.
 
 Fitting: at most ``SAMPLE`` labelled documents of at most ``LONGEST`` characters, those with the smallest hash of their
-id, so the sample is the same however the tables are split.  Scoring: whole texts.  As the output is linear in the
+id, so the sample is the same however the tables are split; one task trains on it.  Scoring: whole texts.  As the output is linear in the
 average, a bucket's vector reduces to one number; each task keeps the sum of each word it has met.
 
 Results for odd input: null or empty text has no features and gets the score of the bias alone; without labels every score
@@ -89,12 +89,13 @@ class Model:
 
 
 def fit(features: list[tuple[np.ndarray, np.ndarray]], labels: list[int], epochs: int = EPOCHS, seed: int = 7) -> Model:
+    """Train on documents given as buckets and the shares they have in the document's features."""
     random = np.random.default_rng(seed)
     vectors = random.uniform(-0.5, 0.5, (BUCKETS, DIMENSIONS)) / DIMENSIONS
     squares = np.full(BUCKETS, 1e-8)
     output, bias = random.normal(0, 0.5, (2, DIMENSIONS)), np.zeros(2)
     output_squares, bias_squares = np.full((2, DIMENSIONS), 1e-8), np.full(2, 1e-8)
-    examples = [(ids, counts / counts.sum(), label) for (ids, counts), label in zip(features, labels, strict=True) if len(ids)]
+    examples = [(ids, shares, label) for (ids, shares), label in zip(features, labels, strict=True) if len(ids)]
     for epoch in range(epochs):
         step = STEP * (1 - epoch / epochs)
         for i in random.permutation(len(examples)):
@@ -129,10 +130,23 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, longest: int
     if not chosen:
         return None
     label_of = {row["doc_id"]: int(row["label"] > 0) for row in chosen}
-    rows = texts.where(F.col("doc_id").isin(list(label_of))).select("doc_id", pandas_udf(_features, "buckets array<int>, counts array<int>")("text").alias("f")).select("doc_id", "f.*").toPandas()
-    rows = rows.drop_duplicates("doc_id").sort_values("doc_id")
-    features = [(np.asarray(b), np.asarray(c, np.float64)) for b, c in zip(rows["buckets"], rows["counts"], strict=True)]
-    return fit(features, [label_of[i] for i in rows["doc_id"]])
+    features = pandas_udf(_features, "buckets array<int>, counts array<int>")("text")
+    rows = texts.where(F.col("doc_id").isin(list(label_of))).select("doc_id", features.alias("f")).select("doc_id", "f.*")
+
+    def trained(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found = {}
+        for batch in batches:
+            for doc_id, buckets, counts in zip(batch["doc_id"], batch["buckets"], batch["counts"], strict=True):
+                shares = np.asarray(counts, np.float32)
+                found[doc_id] = np.array(buckets), shares / max(shares.sum(), 1)
+        if found:
+            order = sorted(found)
+            model = fit([found[i] for i in order], [label_of[i] for i in order])
+            yield pd.DataFrame({"weights": [model.weights.tobytes()], "bias": [model.bias]})
+
+    # the sample is bounded, so one task can train on it; the driver gets one number per bucket
+    model = rows.repartition(1).mapInPandas(trained, "weights binary, bias double").first()
+    return Model(np.frombuffer(model["weights"], np.float32), model["bias"]) if model else None
 
 
 def quality_score(text: Column, model: Model | None) -> Column:
