@@ -1,7 +1,7 @@
 """BPE encoding and decoding of whole texts with a public tokenizer file.
 
 **Short texts** are cut at ASCII blanks (which no token, no normalisation and no merge of these
-files crosses) and each word's ids are kept per process, so a corpus costs its vocabulary once.
+files crosses) and each word's ids are kept per process, so words met again cost one look-up.
 
 **Long texts** are encoded by tree concatenation.  The text is cut into leaves of ``LEAF`` code
 points without regard to words; the leaves are encoded in parallel tasks and joined pairwise, as a
@@ -18,9 +18,12 @@ and null ids are encoded each; extra columns of any name are not looked at.
 
 from __future__ import annotations
 
+import gc
 import os
+import re
 import unicodedata
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -30,8 +33,11 @@ from pyspark.sql.functions import pandas_udf
 
 LEAF = 16384
 WINDOW = 64
-KEPT_WORDS = 400_000
-LONGEST_KEPT = 64
+REACH = 1024  # characters at both ends of a leaf whose tokens are placed
+EDGE = 4096  # places kept at both ends of a joined stretch
+KEPT_WORDS = 500_000
+PORTION = 500_000  # characters whose words are looked up together
+LONGEST_KEPT = 64  # bytes
 ID = np.dtype("<u4")
 
 
@@ -41,8 +47,23 @@ def word_tokenizer_file() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+# a line: lower-case Latin letters (one token group, in normal form already) and marks after them
+# (one more group), or anything else
+_PARTS = re.compile(r"^(?:([a-zß-öø-ɏ]+)([!-/:-@\[-`{-~]*)|(.+))$", re.MULTILINE)
+
+
+def _byte_letters() -> dict[int, str]:
+    """The printable character that stands for each byte in byte-level vocabularies."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [byte for byte in range(256) if byte not in printable]
+    return {byte: chr(byte) for byte in printable} | {byte: chr(256 + i) for i, byte in enumerate(others)}
+
+
 class Encoder:
-    """A tokenizer with the ids of known words, as bytes (little-endian, 32 bits each)."""
+    """A tokenizer with the ids of known words, as bytes (little-endian, 32 bits each).
+
+    Words of plain letters go straight to the merges; all others take the whole way.
+    """
 
     def __init__(self, file: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -51,30 +72,83 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(file)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.known = {"": b""}
-
-    def _learn(self, words: list[str]) -> dict[str, bytes]:
+        self.merges = Tokenizer(self.tokenizer.model)
+        self.letters = _byte_letters()
+        self.known: dict[bytes, bytes] = {}
+        self.pieces = {number: piece for piece, number in self.tokenizer.get_vocab(with_added_tokens=True).items()}
+
+    def _learn(self, words: list[bytes]) -> None:
+        known, lowered = self.known, b"\n".join(words).decode().lower()
+        parts, other, new = [], [], {}
+        for word, (core, marks, rest) in zip(words, _PARTS.findall(lowered), strict=True):
+            if rest or (marks and b"<|" in word):
+                other.append(word)
+                continue
+            key = core.encode()
+            if key != word:
+                parts.append((word, key, marks))
+            if key not in known and key not in new:
+                new[key] = core if len(core) == len(key) else "".join(map(self.letters.__getitem__, key))
+        for key, one in zip(new, self.merges.encode_batch_fast(list(new.values()), add_special_tokens=False), strict=True):
+            known[key] = array("I", one.ids).tobytes()
+        marked = {marks: self._alone(marks) for marks in {marks for _, _, marks in parts}}
+        known.update([(word, known[key] + marked[marks]) for word, key, marks in parts])
+        coded = self.tokenizer.encode_batch_fast([word.decode() for word in other], add_special_tokens=False)
+        known.update([(word, array("I", one.ids).tobytes()) for word, one in zip(other, coded, strict=True)])
+
+    def _alone(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _portion(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > KEPT_WORDS:
-            self.known = {"": b""}
-        coded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return {word: np.array(one.ids, ID).tobytes() for word, one in zip(words, coded, strict=True)}
-
-    def encode(self, text: str) -> bytes:
-        words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+            self.known.clear()
+        data = [text.encode() for text in texts]
+        # special tokens are told by their case, all else is lowered anyway
+        words = [(one if b"<|" in one else one.lower()).split() for one in data]
+        # a small table for these texts: the large one is asked once for each different word
+        here = dict.fromkeys(set().union(*words))
         known = self.known
-        try:
-            return b"".join([known[word] for word in words])
-        except KeyError:
-            new = self._learn(list({word for word in words if word not in known}))
-            self.known.update({word: ids for word, ids in new.items() if len(word) <= LONGEST_KEPT})
-            known = self.known
-            return b"".join([new[word] if word in new else known[word] if word in known else self._alone(word) for word in words])
-
-    def _alone(self, word: str) -> bytes:
-        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, ID).tobytes()
+        new = [word for word in here if word not in known]
+        if new:
+            self._learn(new)
+        for word in here:
+            here[word] = known[word]
+        for word in new:
+            if len(word) > LONGEST_KEPT:
+                del known[word]
+        return [b"".join(map(here.__getitem__, one)) for one in words]
+
+    def encode_all(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """Ids of each text; the unknown words of a few texts are learned together."""
+        for some in _portions(texts):
+            # millions of small objects without cycles: the collector would only walk over them
+            gc.disable()
+            try:
+                coded = self._portion(some)
+            finally:
+                gc.enable()
+            yield from coded
 
     def decode(self, ids: bytes) -> str:
-        return self.tokenizer.decode(np.frombuffer(ids, ID).tolist(), skip_special_tokens=False)
+        numbers = np.frombuffer(ids, ID).tolist()
+        if self.tokenizer.decoder is None:
+            # the library then joins the tokens with blanks
+            return " ".join(map(self.pieces.__getitem__, numbers))
+        return self.tokenizer.decode(numbers, skip_special_tokens=False)
+
+    def leaf(self, text: str) -> "Leaf":
+        """Ids of a text, with the places of the tokens near its ends.
+
+        Cut at a blank, the parts of a text have the same tokens as the whole; the inner part goes by the words.
+        """
+        begin = max((text.find(blank, REACH) for blank in " \n"), default=-1)
+        end = max(text.rfind(blank, 0, len(text) - REACH) for blank in " \n") if len(text) > REACH else -1
+        if begin < 0 or end <= begin:
+            tokens = self.tokens(text)
+            return Leaf(tokens[:, 0].astype(ID), tokens, tokens)
+        head, tail = self.tokens(text[:begin]), self.tokens(text[end:], end)
+        inner = np.frombuffer(next(self.encode_all([text[begin:end]])), ID)
+        return Leaf(np.concatenate((head[:, 0].astype(ID), inner, tail[:, 0].astype(ID))), head, tail)
 
     def tokens(self, text: str, at: int = 0) -> np.ndarray:
         """Ids with the start and end of each token in the text: an array of three columns."""
@@ -87,6 +161,18 @@ class Encoder:
         return made
 
 
+def _portions(texts: Iterable[str]) -> Iterator[list[str]]:
+    some, size = [], 0
+    for text in texts:
+        some.append(text)
+        size += len(text)
+        if size >= PORTION:
+            yield some
+            some, size = [], 0
+    if some:
+        yield some
+
+
 @lru_cache(maxsize=4)
 def encoder(file: str) -> Encoder:
     return Encoder(file)
@@ -100,6 +186,17 @@ def _steady(text: str, at: int) -> bool:
     return point < 0x300 or (unicodedata.category(text[at])[0] in "LNPSZ" and not 0x1160 <= point <= 0x11FF and not 0xD7B0 <= point <= 0xD7FF)
 
 
+class Leaf:
+    """Ids of a stretch of text, and the places of its first and last tokens (rows of id, start, end)."""
+
+    def __init__(self, ids: np.ndarray, head: np.ndarray, tail: np.ndarray):
+        self.ids, self.head, self.tail = ids, head, tail
+
+    def moved(self, by: int) -> "Leaf":
+        shift = np.array([0, by, by])
+        return Leaf(self.ids, self.head + shift, self.tail + shift)
+
+
 def _shared(text: str, side: np.ndarray, window: np.ndarray, low: int, high: int, last: bool) -> tuple[int, int] | None:
     """Places (in side, in window) of one token that both have strictly inside low..high.
 
@@ -121,28 +218,45 @@ def _shared(text: str, side: np.ndarray, window: np.ndarray, low: int, high: int
     return None
 
 
-def join(coder: Encoder, text: str, left: np.ndarray, right: np.ndarray, low: int, cut: int, high: int) -> np.ndarray:
+def join(coder: Encoder, text: str, left: Leaf, right: Leaf, low: int, cut: int, high: int) -> Leaf:
     """Tokens of ``text[low:high]`` from those of its parts before and after ``cut``."""
     reach = WINDOW
     while True:
         begin, end = max(low, cut - reach), min(high, cut + reach)
         window = coder.tokens(text[begin:end], begin)
-        first = (0, 0) if begin == low else _shared(text, left, window, begin, cut, True)
-        second = (len(right), len(window)) if end == high else _shared(text, right, window, cut, end, False)
-        if first and second:
-            return np.concatenate((left[: first[0]], window[first[1] : second[1]], right[second[0] :]))
+        if begin == low:
+            kept, first = 0, 0
+        elif found := _shared(text, left.tail, window, begin, cut, True):
+            kept, first = len(left.ids) - len(left.tail) + found[0], found[1]
+        else:
+            first = None
+        if end == high:
+            dropped, second = len(right.ids), len(window)
+        elif found := _shared(text, right.head, window, cut, end, False):
+            dropped, second = found
+        else:
+            second = None
+        if first is not None and second is not None:
+            break
         reach *= 2
-
-
-def concatenate(coder: Encoder, leaves: list[str], coded: list[np.ndarray]) -> np.ndarray:
-    """Tokens of the joined leaves; ``coded`` has those of each leaf, counted from its own start."""
+    middle = window[first:second]
+    ids = np.concatenate((left.ids[:kept], middle[:, 0].astype(ID), right.ids[dropped:]))
+    # places known at both ends of the result; those of a whole side are known only if it is short
+    head = left.head[:kept]
+    if kept <= len(left.head):
+        head = np.concatenate((head, middle, right.head[dropped:]))[:EDGE]
+    tail = right.tail[max(0, dropped - (len(right.ids) - len(right.tail))) :]
+    if len(right.ids) - len(right.tail) <= dropped:
+        before = left.tail[: max(0, kept - (len(left.ids) - len(left.tail)))]
+        tail = np.concatenate((before, middle, tail))[-EDGE:]
+    return Leaf(ids, head, tail)
+
+
+def concatenate(coder: Encoder, leaves: list[str], coded: list[Leaf]) -> bytes:
+    """Ids of the joined leaves; ``coded`` has those of each leaf, places counted from its own start."""
     text = "".join(leaves)
-    starts = np.cumsum([0, *map(len, leaves)])
-    parts = []
-    for at, tokens in zip(starts[:-1], coded, strict=True):
-        moved = tokens.copy()
-        moved[:, 1:] += at
-        parts.append((int(at), moved))
+    starts = [0, *np.cumsum([len(one) for one in leaves]).tolist()]
+    parts = [(at, one.moved(at)) for at, one in zip(starts, coded)]
     while len(parts) > 1:
         bounds = [at for at, _ in parts] + [len(text)]
         parts = [
@@ -151,89 +265,101 @@ def concatenate(coder: Encoder, leaves: list[str], coded: list[np.ndarray]) -> n
             else parts[i]
             for i in range(0, len(parts), 2)
         ]
-    return parts[0][1] if parts else np.empty((0, 3), np.int64)
+    return parts[0][1].ids.astype(ID).tobytes() if parts else b""
 
 
-def encode_tree(coder: Encoder, text: str, leaf: int = LEAF) -> np.ndarray:
+def encode_tree(coder: Encoder, text: str, leaf: int = LEAF) -> list[int]:
     """The tree on one machine, for tests."""
     leaves = [text[at : at + leaf] for at in range(0, len(text), leaf)]
-    return concatenate(coder, leaves, [coder.tokens(one) for one in leaves])
-
+    coded = [_unpacked(_packed(coder.leaf(one))) for one in leaves]
+    return np.frombuffer(concatenate(coder, leaves, coded), ID).tolist()
 
-def word_ids(text: Column, file: str | None = None) -> Column:
-    """Ids of each text as binary (little-endian, 32 bits each), by the words' kept ids."""
-    file = file or word_tokenizer_file()
 
-    @pandas_udf("binary")
+def _ids_function(file: str):
     def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         coder = encoder(file)
         for texts in batches:
-            yield texts.map(coder.encode)
+            yield pd.Series(list(coder.encode_all(texts)), dtype=object)
 
-    return ids(F.coalesce(text, F.lit("")))
+    return ids
+
+
+def word_ids(text: Column, file: str | None = None) -> Column:
+    """Ids of each text as binary (little-endian, 32 bits each), by the words' kept ids."""
+    return pandas_udf(_ids_function(file or word_tokenizer_file()), "binary")(F.coalesce(text, F.lit("")))
 
 
 def decoded(ids: Column, file: str | None = None) -> Column:
     """The text that ids (binary) stand for, special tokens kept."""
     file = file or word_tokenizer_file()
 
-    @pandas_udf("string")
     def text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         coder = encoder(file)
         for values in batches:
             yield values.map(coder.decode)
 
-    return text(ids)
+    return pandas_udf(text, "string")(ids)
 
 
-def _packed(tokens: np.ndarray) -> bytes:
-    """Ids, then gaps to the token before and widths, as 32-bit numbers: compresses well."""
-    gaps = tokens[:, 1].copy()
-    gaps[1:] -= tokens[:-1, 2]
-    return np.concatenate((tokens[:, 0], gaps, tokens[:, 2] - tokens[:, 1])).astype("<i4").tobytes()
+def _packed(leaf: Leaf) -> bytes:
+    sizes = np.array([len(leaf.head), len(leaf.tail)], "<i4")
+    edges = np.concatenate((leaf.head.ravel(), leaf.tail.ravel())).astype("<i4")
+    return sizes.tobytes() + edges.tobytes() + leaf.ids.astype(ID).tobytes()
 
 
-def _unpacked(data: bytes) -> np.ndarray:
-    ids, gaps, widths = np.frombuffer(data, "<i4").astype(np.int64).reshape(3, -1)
-    ends = np.cumsum(gaps + widths)
-    return np.stack((ids, ends - widths, ends), axis=1)
+def _unpacked(data: bytes) -> Leaf:
+    head, tail = np.frombuffer(data, "<i4", 2).tolist()
+    edges = np.frombuffer(data, "<i4", 3 * (head + tail), 8).astype(np.int64).reshape(-1, 3)
+    return Leaf(np.frombuffer(data, ID, offset=8 + 12 * (head + tail)), edges[:head], edges[head:])
 
 
-def encode(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", file: str | None = None, leaf: int = LEAF) -> DataFrame:
-    """One row per document: its id and ``ids`` (binary, little-endian unsigned 32-bit)."""
+CODED = "ids binary, decoded string"
+
+
+def round_trip(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", file: str | None = None, leaf: int = LEAF) -> DataFrame:
+    """One row per document: its id, ``ids`` (binary, little-endian unsigned 32-bit) and ``decoded``, the text they stand for."""
     file = file or word_tokenizer_file()
     whole = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     is_long = F.char_length("text") > leaf
-    short = whole.where(~is_long).select("doc_id", word_ids(F.col("text"), file).alias("ids"))
 
-    @pandas_udf("binary")
+    def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        coder = encoder(file)
+        for texts in batches:
+            ids = list(coder.encode_all(texts))
+            yield pd.DataFrame({"ids": ids, "decoded": list(map(coder.decode, ids))})
+
     def leaf_tokens(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         coder = encoder(file)
         for texts in batches:
-            yield texts.map(lambda one: _packed(coder.tokens(one)))
+            yield texts.map(lambda one: _packed(coder.leaf(one)))
 
     def tree(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("place")
-        tokens = concatenate(encoder(file), list(rows["leaf"]), [_unpacked(x) for x in rows["tokens"]])
-        return pd.DataFrame({"doc_id": rows["doc_id"].iloc[:1], "ids": [tokens[:, 0].astype(ID).tobytes()]})
+        coder, rows = encoder(file), rows.sort_values("place")
+        ids = concatenate(coder, list(rows["leaf"]), list(map(_unpacked, rows["tokens"])))
+        return pd.DataFrame({"doc_id": rows["doc_id"].iloc[:1], "ids": [ids], "decoded": [coder.decode(ids)]})
 
+    short = whole.where(~is_long).select("doc_id", pandas_udf(both, CODED)("text").alias("coded")).select("doc_id", "coded.*")
     # a cut into pieces of fixed length in one pass over the text
     leaves = (
         whole.where(is_long)
         .withColumn("document", F.monotonically_increasing_id())
         .select("doc_id", "document", F.posexplode(F.expr(f"regexp_extract_all(text, '(?s).{{1,{leaf}}}', 0)")).alias("place", "leaf"))
         .repartition("document", "place")
-        .withColumn("tokens", leaf_tokens("leaf"))
+        .withColumn("tokens", pandas_udf(leaf_tokens, "binary")("leaf"))
     )
     kind = whole.schema["doc_id"].dataType.simpleString()
-    long = leaves.groupBy("document").applyInPandas(tree, f"doc_id {kind}, ids binary")
+    long = leaves.groupBy("document").applyInPandas(tree, f"doc_id {kind}, {CODED}")
     return short.unionByName(long)
 
 
+def encode(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", file: str | None = None, leaf: int = LEAF) -> DataFrame:
+    """One row per document: its id and ``ids`` (binary, little-endian unsigned 32-bit)."""
+    return round_trip(docs, doc_id, text, file, leaf).drop("decoded")
+
+
 def report(docs: DataFrame) -> DataFrame:
     """Number and digest of the ids, digest of the text they decode to."""
-    both = encode(docs).withColumn("decoded", decoded(F.col("ids")))
-    return both.select(
+    return round_trip(docs).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

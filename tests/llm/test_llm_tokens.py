@@ -24,19 +24,19 @@ def coder():
 
 
 ODD = "'s 'll ' ''' <|endoftext|> <|startoftext|> <| |> é e\u0301 \u0301 \u0344 İ ß ǅ \u1100\u1161\u11a8 \uac00\u11a8 1 23 ... !'s don't 世界 👩‍👩‍👧 \u200d \x00 \x1c \x85 \u00a0 \u3000 a".split(" ")
-TEXTS = st.lists(st.sampled_from([*ODD, " ", "\n", "\t", "\r\n", "hello", "WORLD", "aaaaaaaa", "thththth"]), max_size=40).map("".join)
+TEXTS = st.lists(st.sampled_from([*ODD, " ", "\n", "\t", "\r\n", "hello", "WORLD", "Île", "ÉCOLE", "straße,", "end.", "ĲSSEL", "İstanbul", "ŉ", "÷", ".", ",", "aaaaaaaa", "thththth"]), max_size=40).map("".join)
 
 
 @settings(max_examples=300, deadline=None)
 @given(TEXTS)
 def test_kept_words_are_exact(text):
-    assert np.frombuffer(bpe.encoder(bpe.word_tokenizer_file()).encode(text), bpe.ID).tolist() == ids(text)
+    assert np.frombuffer(next(bpe.encoder(bpe.word_tokenizer_file()).encode_all([text])), bpe.ID).tolist() == ids(text)
 
 
 @settings(max_examples=300, deadline=None)
 @given(TEXTS, st.integers(1, 30))
 def test_tree_is_exact(text, leaf):
-    assert bpe.encode_tree(bpe.encoder(bpe.word_tokenizer_file()), text, leaf)[:, 0].tolist() == ids(text)
+    assert bpe.encode_tree(bpe.encoder(bpe.word_tokenizer_file()), text, leaf) == ids(text)
 
 
 @pytest.mark.parametrize("letters", ["a", "ab", "the", "é", "abcdefghijklmnopqrstuvwxyz", "ation", "!?", "'s", "ths'"])
@@ -44,14 +44,29 @@ def test_tree_on_long_unsplit_text(coder, letters):
     rng = random.Random(5)
     for leaf in (97, 500, 1024):
         text = "".join(rng.choices(letters, k=5000))
-        assert bpe.encode_tree(coder, text, leaf)[:, 0].tolist() == ids(text)
+        assert bpe.encode_tree(coder, text, leaf) == ids(text)
     text = letters * (6000 // len(letters))
-    assert bpe.encode_tree(coder, text, 333)[:, 0].tolist() == ids(text)
-
-
-def test_packed_tokens_return(coder):
-    tokens = coder.tokens("Some wörds, don't they? 123 é")
-    assert (bpe._unpacked(bpe._packed(tokens)) == tokens).all()
+    assert bpe.encode_tree(coder, text, 333) == ids(text)
+
+
+def test_packed_leaves_return(coder):
+    for text in ("Some wörds, don't they? 123 é", "word " * 2000, ""):
+        leaf = coder.leaf(text)
+        back = bpe._unpacked(bpe._packed(leaf))
+        assert all((getattr(back, n) == getattr(leaf, n)).all() for n in ("ids", "head", "tail"))
+        assert leaf.ids.tolist() == ids(text)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(TEXTS, min_size=1, max_size=60).map("".join), st.integers(40, 400), st.sampled_from([10, 30]))
+def test_tree_with_short_edges(text, leaf, reach):
+    """Edges so short that windows often reach beyond what is placed."""
+    before = bpe.REACH, bpe.EDGE
+    bpe.REACH, bpe.EDGE = reach, 2 * reach
+    try:
+        assert bpe.encode_tree(bpe.encoder(bpe.word_tokenizer_file()), text, leaf) == ids(text)
+    finally:
+        bpe.REACH, bpe.EDGE = before
 
 
 def odd_texts():
