@@ -35,7 +35,8 @@ LEAF = 16384
 WINDOW = 64
 REACH = 1024  # characters at both ends of a leaf whose tokens are placed
 EDGE = 4096  # places kept at both ends of a joined stretch
-KEPT_WORDS = 500_000
+KEPT_WORDS = 600_000
+KEPT_MARKS = 10_000
 PORTION = 500_000  # characters whose words are looked up together
 LONGEST_KEPT = 64  # bytes
 ID = np.dtype("<u4")
@@ -75,47 +76,51 @@ class Encoder:
         self.merges = Tokenizer(self.tokenizer.model)
         self.letters = _byte_letters()
         self.known: dict[bytes, bytes] = {}
+        self.marks: dict[str, bytes] = {}
         self.pieces = {number: piece for piece, number in self.tokenizer.get_vocab(with_added_tokens=True).items()}
 
-    def _learn(self, words: list[bytes]) -> None:
-        known, lowered = self.known, b"\n".join(words).decode().lower()
-        parts, other, new = [], [], {}
+    def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
+        known, learned, lowered = self.known, {}, b"\n".join(words).decode().lower()
+        composed, other, new = [], [], {}
         for word, (core, marks, rest) in zip(words, _PARTS.findall(lowered), strict=True):
             if rest or (marks and b"<|" in word):
                 other.append(word)
                 continue
             key = core.encode()
             if key != word:
-                parts.append((word, key, marks))
-            if key not in known and key not in new:
+                composed.append((word, key, marks))
+            if key in known:
+                learned[key] = known[key]
+            elif key not in new:
                 new[key] = core if len(core) == len(key) else "".join(map(self.letters.__getitem__, key))
         for key, one in zip(new, self.merges.encode_batch_fast(list(new.values()), add_special_tokens=False), strict=True):
-            known[key] = array("I", one.ids).tobytes()
-        marked = {marks: self._alone(marks) for marks in {marks for _, _, marks in parts}}
-        known.update([(word, known[key] + marked[marks]) for word, key, marks in parts])
+            learned[key] = array("I", one.ids).tobytes()
+        for word, key, marks in composed:
+            learned[word] = learned[key] + (self.marks.get(marks) or self._marks(marks))
         coded = self.tokenizer.encode_batch_fast([word.decode() for word in other], add_special_tokens=False)
-        known.update([(word, array("I", one.ids).tobytes()) for word, one in zip(other, coded, strict=True)])
+        learned.update([(word, array("I", one.ids).tobytes()) for word, one in zip(other, coded, strict=True)])
+        return learned
 
-    def _alone(self, text: str) -> bytes:
-        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+    def _marks(self, marks: str) -> bytes:
+        ids = array("I", self.tokenizer.encode(marks, add_special_tokens=False).ids).tobytes()
+        if len(self.marks) < KEPT_MARKS:
+            self.marks[marks] = ids
+        return ids
 
     def _portion(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > KEPT_WORDS:
-            self.known.clear()
         data = [text.encode() for text in texts]
         # special tokens are told by their case, all else is lowered anyway
         words = [(one if b"<|" in one else one.lower()).split() for one in data]
         # a small table for these texts: the large one is asked once for each different word
-        here = dict.fromkeys(set().union(*words))
-        known = self.known
-        new = [word for word in here if word not in known]
+        every = list(set().union(*words))
+        here = dict(zip(every, map(self.known.get, every)))
+        new = [word for word, ids in here.items() if ids is None]
         if new:
-            self._learn(new)
-        for word in here:
-            here[word] = known[word]
-        for word in new:
-            if len(word) > LONGEST_KEPT:
-                del known[word]
+            learned = self._learn(new)
+            here.update(learned)
+            if len(self.known) > KEPT_WORDS:
+                self.known.clear()
+            self.known.update(learned if max(map(len, new)) <= LONGEST_KEPT else {w: ids for w, ids in learned.items() if len(w) <= LONGEST_KEPT})
         return [b"".join(map(here.__getitem__, one)) for one in words]
 
     def encode_all(self, texts: Iterable[str]) -> Iterator[bytes]:

@@ -33,7 +33,7 @@ SAMPLE = 400
 UNKNOWN_PARAGRAPHS = 1000
 LONGEST = 20_000
 VARIATIONS = 40
-EPOCHS = 6
+EPOCHS = 15
 ANCHOR = 5
 UNKNOWN = "unknown"
 
@@ -128,9 +128,13 @@ def confirmed(family: str, words: list[str]) -> float:
     return max(len(t & pairs) / len(t) for t in _template_pairs()[family])
 
 
+def _other_numbers(words: list[str], random: np.random.Generator) -> list[str]:
+    return [str(random.integers(0, 10)) if w.isdigit() else w for w in words]
+
+
 def _variation(words: list[str], random: np.random.Generator, spare: list[str]) -> list[str]:
     """A notice with words lost, digits changed, and other words around it."""
-    kept = [str(random.integers(1, 5)) if w.isdigit() else w for w in words if random.random() > 0.05]
+    kept = _other_numbers([w for w in words if random.random() > 0.05], random)
     around = [list(random.choice(spare, random.integers(0, 8))) for _ in range(2)]
     return [*around[0], *kept, *around[1]]
 
@@ -143,8 +147,9 @@ def examples(unknown: list[list[str]], random: np.random.Generator) -> list[tupl
             words = words_of(template)
             for _ in range(VARIATIONS):
                 made.append((ngrams(_variation(words, random, spare)), number))
-                shuffled = list(random.permutation(words))
-                made.append((ngrams(shuffled[: random.integers(1, len(words) + 1)]), len(FAMILIES) - 1))
+                shuffled = _other_numbers(list(random.permutation(words)), random)
+                # short of the whole, so that no shuffle is the notice itself
+                made.append((ngrams(shuffled[: random.integers(1, len(words))]), len(FAMILIES) - 1))
     return made + [(ngrams(words), len(FAMILIES) - 1) for words in unknown if words]
 
 

@@ -31,7 +31,6 @@ from pyspark.sql.functions import pandas_udf
 BUCKETS = 1 << 17
 DIMENSIONS = 8
 SHORTEST_NGRAM, LONGEST_NGRAM = 2, 4
-LONGEST_WORD = 40  # n-grams of longer words come from consecutive parts of this size
 SAMPLE = 4000
 LONGEST = 20_000
 EPOCHS = 6
@@ -39,19 +38,32 @@ STEP = 0.3
 THRESHOLD = 0.3
 FOLDS = 5
 KEPT_WORDS = 300_000
+TEXTS_AT_ONCE = 100
+_FACTORS = np.random.default_rng(97).integers(1, 2**63, LONGEST_NGRAM + 1, np.uint64) * np.uint64(2) + np.uint64(1)
 # n-grams of equal words, by their length
 RUNS = {size: xxhash.xxh3_64_intdigest("= " * size) % BUCKETS for size in (2, 3, 4)}
 
 
-def word_features(word: str) -> list[int]:
-    """Buckets of a word and of its character n-grams."""
-    found = [xxhash.xxh3_64_intdigest(word) % BUCKETS]
-    for at in range(0, len(word), LONGEST_WORD):
-        marked = f"<{word[at : at + LONGEST_WORD]}>"
-        for size in range(SHORTEST_NGRAM, LONGEST_NGRAM + 1):
-            for i in range(len(marked) - size + 1):
-                found.append(xxhash.xxh3_64_intdigest(f"{size}{marked[i : i + size]}") % BUCKETS)
-    return found
+def features_of(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the words and of their character n-grams, and the place in the list that each belongs to.
+
+    The n-grams of all words are hashed together, as windows over the code points of ``<word>``.
+    """
+    own = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)) % np.uint64(BUCKETS)
+    buckets, owners = [own], [np.arange(len(words))]
+    points = np.frombuffer("".join([f"<{word}>" for word in words]).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    sizes = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    owner = np.repeat(np.arange(len(words)), sizes)
+    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(points))
+    for size in range(SHORTEST_NGRAM, LONGEST_NGRAM + 1):
+        inside = np.flatnonzero(left >= size)
+        hashes = np.full(len(inside), size, np.uint64)
+        for k in range(size):
+            hashes += (points[inside + k] + np.uint64(1)) * _FACTORS[k]
+        hashes = (hashes ^ (hashes >> np.uint64(32))) * _FACTORS[-1]
+        buckets.append((hashes >> np.uint64(32)) % np.uint64(BUCKETS))
+        owners.append(owner[inside])
+    return np.concatenate(buckets).astype(np.int64), np.concatenate(owners)
 
 
 def _counts(text: str | None) -> tuple[Counter, dict[int, int]]:
@@ -70,13 +82,13 @@ def _features(texts: pd.Series) -> pd.DataFrame:
     rows = []
     for text in texts:
         counts, runs = _counts(text)
-        buckets, weights = list(runs), list(runs.values())
-        for word, times in counts.items():
-            features = word_features(word)
-            buckets += features
-            weights += [times] * len(features)
-        ids, inverse = np.unique(np.array(buckets, np.int32), return_inverse=True)
-        rows.append((ids, np.bincount(inverse, weights, len(ids)).astype(np.int32)))
+        found, owners = features_of(list(counts))
+        times = np.fromiter(counts.values(), np.float64, len(counts))[owners]
+        total = np.bincount(found, times, BUCKETS)
+        for bucket, often in runs.items():
+            total[bucket] += often
+        ids = np.flatnonzero(total)
+        rows.append((ids.astype(np.int32), total[ids].astype(np.int32)))
     return pd.DataFrame(rows, columns=["buckets", "counts"])
 
 
@@ -161,22 +173,31 @@ def quality_score(text: Column, model: Model | None) -> Column:
         weights, bias = handle.value
         known: dict[str, tuple[float, int]] = {}
 
-        def one(text: str) -> float:
-            counts, runs = _counts(text)
+        def learn(words: list[str]) -> None:
+            found, owners = features_of(words)
+            sums = np.bincount(owners, weights[found], len(words)).tolist()
+            sizes = np.bincount(owners, minlength=len(words)).tolist()
+            known.update(zip(words, zip(sums, sizes)))
+
+        def one(counts: Counter, runs: dict[int, int]) -> float:
             total, size = sum(times * float(weights[bucket]) for bucket, times in runs.items()), sum(runs.values())
             for word, times in counts.items():
-                entry = known.get(word)
-                if entry is None:
-                    features = word_features(word)
-                    entry = float(weights[features].sum()), len(features)
-                    if len(known) < KEPT_WORDS:
-                        known[word] = entry
-                total += times * entry[0]
-                size += times * entry[1]
+                value, features = known[word]
+                total += times * value
+                size += times * features
             return 1 / (1 + np.exp(-(total / size if size else 0.0) - bias))
 
         for texts in batches:
-            yield texts.map(one).astype(float)
+            scores = []
+            for at in range(0, len(texts), TEXTS_AT_ONCE):
+                some = [_counts(text) for text in texts.iloc[at : at + TEXTS_AT_ONCE]]
+                if len(known) > KEPT_WORDS:
+                    known.clear()
+                new = list(set().union(*(counts for counts, _ in some)).difference(known))
+                if new:
+                    learn(new)
+                scores += [one(*each) for each in some]
+            yield pd.Series(scores, dtype=float)
 
     return score(F.coalesce(text, F.lit("")))
 
