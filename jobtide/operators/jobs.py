@@ -156,12 +156,14 @@ def parse_state(stored: DataFrame, key: str = "uid", body: str = "state_json") -
     )
 
 
-def with_last_state(events: DataFrame, states: DataFrame, key: str = "uid") -> DataFrame:
+def with_last_state(
+    events: DataFrame, states: DataFrame, key: str = "uid", hot: Sequence[int] | None = None
+) -> DataFrame:
     """Each event next to the last recorded state of its job, if there is a valid one."""
     known = states.where(~F.col("purge")).select(
         key, F.col("status").alias("last_status"), F.col("timestamp").alias("last_seen")
     )
-    return skew_join(events, known, [key], "left")
+    return skew_join(events, known, [key], "left", hot)
 
 
 # --- positions in the change stream ------------------------------------------------

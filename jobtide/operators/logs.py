@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from jobtide import fixed
@@ -77,10 +79,10 @@ def limit_lines(lines: DataFrame, limit: int = fixed.LINE_LIMIT_BYTES) -> DataFr
 # --- tail ----------------------------------------------------------------------------------
 
 
-def new_lines(lines: DataFrame, cursors: DataFrame) -> DataFrame:
+def new_lines(lines: DataFrame, cursors: DataFrame, hot: Sequence[int] | None = None) -> DataFrame:
     """Lines at or after the cursor of their log; logs without a cursor from the start."""
     known = cursors.select(*_LOG, "next_line")
-    joined = skew_join(lines, known, _LOG, "left")
+    joined = skew_join(lines, known, _LOG, "left", hot)
     return joined.where(F.col("line_no") >= F.coalesce("next_line", F.lit(0)))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from jobtide.functions.status import is_terminal
@@ -24,9 +26,9 @@ def finished_jobs(plan: DataFrame) -> DataFrame:
     return plan.where(F.col("action") != "none").select(*_JOB).distinct()
 
 
-def pods_of_jobs(plan: DataFrame, pods: DataFrame) -> DataFrame:
+def pods_of_jobs(plan: DataFrame, pods: DataFrame, hot: Sequence[int] | None = None) -> DataFrame:
     """Pods of the finished jobs (pods carry ``job_namespace`` and ``job_name``)."""
-    return skew_join(pods, finished_jobs(plan), _JOB)
+    return skew_join(pods, finished_jobs(plan), _JOB, hot=hot)
 
 
 def archive_summary(plan: DataFrame, pods: DataFrame) -> DataFrame:
@@ -48,7 +50,7 @@ def pod_log_sizes(lines: DataFrame) -> DataFrame:
     )
 
 
-def archive_lines(plan: DataFrame, pods: DataFrame, lines: DataFrame) -> DataFrame:
+def archive_lines(plan: DataFrame, pods: DataFrame, lines: DataFrame, hot: Sequence[int] | None = None) -> DataFrame:
     """Log lines of all pods of finished jobs; a pod with very many lines is split."""
     chosen = pods_of_jobs(plan, pods).select("job_namespace", "pod_name", "job_name")
-    return skew_join(lines, chosen, ["job_namespace", "pod_name"])
+    return skew_join(lines, chosen, ["job_namespace", "pod_name"], hot=hot)

@@ -34,17 +34,19 @@ def skew_join(
     small: DataFrame,
     keys: Sequence[str],
     how: str = "inner",
-    share: float = HOT_SHARE,
+    hot: Sequence[int] | None = None,
     spread: int = SPREAD,
     salt_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Join in which each hot key of ``big`` is dealt out over ``spread`` tasks.
 
+    ``hot`` is the list that ``hot_keys`` gives, found once per source and used for all joins
+    with it.  Without one it is an ordinary join, whose skewed partitions adaptive execution splits.
     The rows of ``small`` with a hot key are repeated once per salt value, all others stay
-    single.  The short list of hot keys is found first and becomes part of both sides'
-    expressions, so they agree whatever is computed again later; which keys are on it
-    decides about the distribution only, never about the result.  The salt is a hash of
-    ``salt_by`` (by default of the whole row).  ``how`` is ``inner`` or ``left``.
+    single.  The list becomes part of both sides' expressions, so they agree whatever is
+    computed again later; which keys are on it decides about the distribution only, never about the
+    result.  The salt is a hash of ``salt_by`` (by default of the whole row).  ``how`` is
+    ``inner`` or ``left``.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type: {how}")
@@ -54,7 +56,6 @@ def skew_join(
         # both sides hash the key: equal values must have equal bytes
         if small.schema[key].dataType != kind or isinstance(kind, (T.FloatType, T.DoubleType)):
             raise ValueError(f"key {key} must have one exact type on both sides")
-    hot = hot_keys(big, keys, share)
     if not hot:
         return big.join(small, keys, how)
 

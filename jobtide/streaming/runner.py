@@ -54,11 +54,18 @@ def write_batch(
     The folder of a batch of a run is replaced as a whole, so a batch that runs again after a failure
     leaves its results once, and a stream with a new checkpoint leaves earlier results alone.
     """
-    done = limit_attempts(process(batch, handlers), max_attempts).persist()
+    held: list[DataFrame] = []
+
+    def hold(df: DataFrame) -> DataFrame:
+        held.append(df.persist())
+        return held[-1]
+
     try:
+        done = hold(limit_attempts(process(batch, handlers, hold), max_attempts))
         _write_results(done, batch.columns, lambda folder: batch_folder(root, folder, run, batch_id))
     finally:
-        done.unpersist()
+        for df in held:
+            df.unpersist()
 
 
 def _write_results(done: DataFrame, original: list[str], place: Callable[[str], str]) -> None:

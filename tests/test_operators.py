@@ -42,7 +42,7 @@ def test_skew_join_is_an_ordinary_join(spark, how, share):
     rows = hot_rows() + [(None, 9999)]
     big = spark.createDataFrame(rows, "k STRING, serial BIGINT").repartition(5)
     small = spark.createDataFrame([("hot", 1), ("hot", 2), ("k1", 3), ("none", 4), (None, 5)], "k STRING, v INT")
-    got = sorted(map(str, skew_join(big, small, ["k"], how, share=share).collect()))
+    got = sorted(map(str, skew_join(big, small, ["k"], how, hot_keys(big, ["k"], share)).collect()))
     assert got == sorted(map(str, big.join(small, "k", how).collect()))
 
 
@@ -63,11 +63,11 @@ def test_hot_keys_are_found(spark):
 def test_a_hot_key_is_dealt_out(spark):
     big = spark.range(20000).select(F.lit("hot").alias("k"), "id")
     small = spark.createDataFrame([("hot", 1)], "k STRING, v INT").hint("merge")
-    joined = skew_join(big, small, ["k"], spread=64)
+    joined = skew_join(big, small, ["k"], hot=hot_keys(big, ["k"]), spread=64)
     assert "SortMergeJoin" in joined._jdf.queryExecution().executedPlan().toString()
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        parts = skew_join(big, small, ["k"], spread=64).groupBy(F.spark_partition_id()).count().collect()
+        parts = skew_join(big, small, ["k"], hot=hot_keys(big, ["k"]), spread=64).groupBy(F.spark_partition_id()).count().collect()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert len(parts) == 4 and max(r["count"] for r in parts) < 12000

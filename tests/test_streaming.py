@@ -10,7 +10,7 @@ from jobtide.plans.adapters import view
 from jobtide.sinks.files import read_states
 from jobtide.sources.events import read_events, stream_deduplicated, stream_events
 from jobtide.sources.queue import read_messages, stream_messages
-from jobtide.streaming import runner, status
+from jobtide.streaming import launch as launches, runner, status
 
 SF = "/root/testdata/sf0.001"
 
@@ -113,3 +113,62 @@ def test_event_query_plan_has_one_shuffle_before_the_count(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") <= 2
     assert "ReadSchema: struct<event_id:bigint,ts:" in plan and "props" not in plan
+
+
+def read_all(spark, root, folder, schema="delivery_id BIGINT"):
+    return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(f"{root}/{folder}")
+
+
+def test_launch_batches_share_no_names(spark, tmp_path):
+    root = str(tmp_path / "out")
+    requests = message_plans.uploads(spark, SF)
+    middle = requests.agg(F.percentile_approx("delivery_id", 0.5)).first()[0]
+    halves = [requests.where(F.col("delivery_id") <= middle), requests.where(F.col("delivery_id") > middle)]
+    # the second batch fails and runs again, the first one is repeated late
+    for number in (0, 1, 1, 0):
+        launches.launch_batch(halves[number], number, message_plans.UPLOAD_HANDLER, root, "/meta", "ns", "run")
+    plans = read_all(spark, root, launches.PLANS, "delivery_id BIGINT, job_name STRING, metadata_path STRING").collect()
+    assert len(plans) == len({r.job_name for r in plans}) == len({r.metadata_path for r in plans}) == len({r.delivery_id for r in plans})
+    assert read_all(spark, root, runner.VERDICTS).count() == requests.count()
+    files = spark.read.parquet(f"{root}/{launches.METADATA}")
+    assert sorted(r.metadata_path for r in files.collect()) == sorted(r.metadata_path for r in plans)
+    # another run goes on from these names
+    launches.launch_batch(halves[0], 0, message_plans.UPLOAD_HANDLER, root, "/meta", "ns", "other")
+    again = read_all(spark, root, launches.PLANS, "job_name STRING, metadata_path STRING").collect()
+    assert len(again) > len(plans) and len(again) == len({r.metadata_path for r in again}) == len({r.job_name for r in again})
+
+
+def test_a_new_checkpoint_replaces_nothing(spark, tmp_path, stored):
+    root = str(tmp_path / "out")
+    for n in range(2):
+        stream = stream_messages(spark, [stored])
+        runner.run_stream(stream, HANDLERS, str(tmp_path / f"check{n}"), root).awaitTermination()
+    verdicts = spark.read.parquet(f"{root}/{runner.VERDICTS}")
+    assert verdicts.count() == 2 * read_messages(spark, stored).count()
+    assert verdicts.select("run").distinct().count() == 2
+
+
+def test_a_failed_batch_leaves_nothing_cached(spark, tmp_path, stored):
+    def fail(valid):
+        return valid.withColumn("outcome_key", F.raise_error(F.lit("handler failed")))
+
+    broken = mq.Handler("broken", message_plans.JOBS, "cds.job.*", message_plans.STATUS_HANDLER.schema, fail)
+    with pytest.raises(Exception, match="handler failed"):
+        runner.write_batch(read_messages(spark, stored), 0, [broken], str(tmp_path / "out"))
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
+
+
+def test_a_stream_that_keeps_running(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    rows = watch_rows(spark)
+    rows.where("event_id < 300").drop("event_id").write.json(source)
+    query = status.run_status_stream(stream_events(spark, source), str(tmp_path / "check"), out, {"processingTime": "1 second"})
+    try:
+        query.processAllAvailable()
+        rows.where("event_id >= 300").drop("event_id").write.mode("append").json(source)
+        query.processAllAvailable()
+        assert query.isActive
+    finally:
+        query.stop()
+    want = jobs.status_messages(jobs.classify_jobs(read_events(spark, source)))
+    assert messages_of(spark.read.text(out).withColumnRenamed("value", "body")) == messages_of(want)
