@@ -218,7 +218,10 @@ def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
     Rows that repeat the id of a document that stays count as that document; the first one read stays.
     """
     marks, labels = _labelled(docs, doc_id, text, docs.columns)
-    kept = labels.where("kept").select("row", "doc_id")
+    labels = stored(labels.select("row", "doc_id", "kept"), "labelled")
+    kept = labels.where("kept")
     first = kept.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("row").alias("row")).select("row")
-    chosen = stored(first.unionByName(kept.where("doc_id IS NULL").select("row")), "kept")
-    return marks.join(chosen, "row").select("document.columns.*")
+    stay = stored(first.unionByName(kept.where("doc_id IS NULL").select("row")), "kept")
+    # the rows that go are the fewer ones; where their list is small the texts need not move
+    gone = stored(labels.select("row").join(stay, "row", "left_anti"), "dropped")
+    return marks.join(gone, "row", "left_anti").select("document.columns.*")
