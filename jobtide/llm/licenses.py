@@ -202,7 +202,11 @@ def classify(model: Model, paragraph: str) -> tuple[str, float]:
 
 def train(docs: DataFrame, sample: int = SAMPLE, longest: int = LONGEST) -> Model:
     """The unknown class also sees paragraphs of the documents with the smallest hashes of their id."""
-    rows = docs.where(F.char_length("text") <= longest).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).select("text").collect()
+    # ids first: each task offers its smallest ones, and texts of all these would come to the driver
+    sized = docs.where(F.col("doc_id").isNotNull() & (F.char_length("text") <= longest)).select("doc_id")
+    ids = [row["doc_id"] for row in sized.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).collect()]
+    chosen = docs.where(F.col("doc_id").isin(ids) & (F.char_length("text") <= longest))
+    rows = chosen.groupBy("doc_id").agg(F.min("text").alias("text")).orderBy("doc_id").collect()
     unknown = []
     for row in rows:
         for line in row["text"].split("\n"):
