@@ -10,31 +10,35 @@ Nothing but one row count per round reaches the driver.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, functions as F
 
 from jobtide.llm.tables import stored
 
 
-def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def connected_components(
+    edges: DataFrame, a: str = "a", b: str = "b", store: Callable[[DataFrame, str], DataFrame] = stored
+) -> DataFrame:
     """(node, component) for every node that has an edge to another; component is its smallest node.
 
     Edges with a null end and edges from a node to itself are passed over; repeated edges and
-    either direction count alike.
+    either direction count alike.  ``store`` writes a table and reads it back.
     """
     one = edges.where(F.col(a) != F.col(b)).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
-    left = stored(one, "edges")
+    left = store(one, "edges")
     labels = None
     while True:
         both = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
         parent = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("parent"))
-        parent = stored(parent.select("node", F.least("node", "parent").alias("parent")), "parents")
+        parent = store(parent.select("node", F.least("node", "parent").alias("parent")), "parents")
         if labels is None:
-            labels = stored(parent.select("node", F.col("parent").alias("component")), "labels")
+            labels = store(parent.select("node", F.col("parent").alias("component")), "labels")
         else:
             moved = labels.join(parent.withColumnRenamed("node", "component"), "component", "left")
-            labels = stored(moved.select("node", F.coalesce("parent", "component").alias("component")), "labels")
+            labels = store(moved.select("node", F.coalesce("parent", "component").alias("component")), "labels")
         low, high = parent.toDF("a", "pa"), parent.toDF("b", "pb")
         moved = left.join(low, "a").join(high, "b").where("pa != pb")
-        left = stored(moved.select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct(), "edges")
+        left = store(moved.select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct(), "edges")
         if left.isEmpty():
             return labels

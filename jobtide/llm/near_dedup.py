@@ -22,6 +22,8 @@ are not looked at.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 import xxhash
@@ -29,8 +31,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.functions import pandas_udf
 
 from jobtide.llm.components import connected_components
-from jobtide.llm.tables import stored
+from jobtide.llm.tables import Scratch, stored
 
+Store = Callable[[DataFrame, str], DataFrame]
 SHINGLE = 5
 BINS, BANDS, ROWS = 128, 32, 4
 LIKE = 75  # per cent
@@ -100,7 +103,7 @@ def _alike(common: Column, n_a: Column, n_b: Column) -> Column:
     return common * 100 >= (n_a + n_b - common) * LIKE
 
 
-def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _measured(pairs: DataFrame, sets: DataFrame, store: Store) -> DataFrame:
     """Pairs (a, b) with their sizes and the size of the intersection of their full sets."""
     sizes = sets.select("node", "n")
     near = (
@@ -108,13 +111,13 @@ def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         .join(sizes.toDF("b", "n_b"), "b")
         .where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * LIKE)
     )
-    near = stored(near, "pairs")
+    near = store(near, "pairs")
     with_b = near.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b")), "b")
     both = with_b.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a")), "a")
     return both.select("a", "b", "n_a", "n_b", F.size(F.array_intersect("set_a", "set_b")).cast("bigint").alias("common"))
 
 
-def _rest(buckets: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+def _rest(buckets: DataFrame, labels: DataFrame, sets: DataFrame, store: Store) -> DataFrame:
     """Pairs of members of one bucket in different components, as far as they can be alike.
 
     Buckets of texts that share a long passage hold many members that are no duplicates.  Two sets
@@ -126,24 +129,24 @@ def _rest(buckets: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
         .join(labels, "node", "left")
         .select("band", "node", F.coalesce("component", "node").alias("component"))
     )
-    members = stored(members, "members")
+    members = store(members, "members")
     split = members.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high")
-    nodes = stored(members.join(split.select("band"), "band", "left_semi").select("node", "component").distinct(), "open")
+    nodes = store(members.join(split.select("band"), "band", "left_semi").select("node", "component").distinct(), "open")
 
     rows = sets.join(nodes, "node").select("node", "component", "n", F.explode("shingles").alias("shingle"))
-    known = stored(rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("times")).where("times > 1"), "frequencies")
+    known = store(rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("times")).where("times > 1"), "frequencies")
     own = Window.partitionBy("node")
     # shingles that occur once come first of all; they are counted, not listed
     place = F.col("n") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("times", "shingle"))
     rare = rows.join(known, "shingle").withColumn("place", place).where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * LIKE / 100) + 1)
-    rare = stored(rare.select("shingle", "node", "component", "n", "place"), "rare")
+    rare = store(rare.select("shingle", "node", "component", "n", "place"), "rare")
 
     mixed = rare.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high")
-    rare = stored(rare.join(stored(mixed.select("shingle"), "mixed"), "shingle"), "rare")
+    rare = store(rare.join(store(mixed.select("shingle"), "mixed"), "shingle"), "rare")
     # in each look-up the members of the largest component do not pair with each other
     most = rare.groupBy("shingle", "component").count().groupBy("shingle").agg(F.max_by("component", F.struct("count", "component")).alias("main"))
-    rare = rare.join(stored(most, "main"), "shingle").withColumn("seeks", F.col("component") != F.col("main")).drop("main")
-    rare = stored(rare, "rare")
+    rare = rare.join(store(most, "main"), "shingle").withColumn("seeks", F.col("component") != F.col("main")).drop("main")
+    rare = store(rare, "rare")
 
     # of two alike sets the smaller shares with the larger at least 2t / (1 + t) of itself
     small = rare.where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * 2 * LIKE / (100 + LIKE)) + 1)
@@ -167,39 +170,43 @@ def _labelled(docs: DataFrame, doc_id: str, text: str, columns: list[str]) -> tu
     marked = docs.select(document.alias("document")).withColumn("mark", pandas_udf(_marks, "n_shingles bigint, digest binary, bands array<bigint>")("document.text"))
     marks = stored(marked.select(F.monotonically_increasing_id().alias("row"), "document", "mark.*"), "marks")
 
+    scratch = Scratch(docs.sparkSession, "near-duplicates")
+    store = scratch.store
     # copies become one node, named by their first row
-    nodes = stored(marks.where("digest IS NOT NULL").groupBy("digest").agg(F.min("row").alias("node")), "nodes")
+    nodes = store(marks.where("digest IS NOT NULL").groupBy("digest").agg(F.min("row").alias("node")), "nodes")
     banded = marks.select(F.col("row").alias("node"), "bands", F.col("n_shingles").alias("n")).join(nodes.select("node"), "node")
-    keys = stored(banded.select("node", "n", F.explode("bands").alias("band")), "bands")
+    keys = store(banded.select("node", "n", F.explode("bands").alias("band")), "bands")
     sizes = keys.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    shared = stored(keys.join(stored(sizes, "sizes"), "band"), "shared")
-    weights = stored(shared.groupBy("node").agg(F.sum("size").alias("weight")), "weights")
+    shared = store(keys.join(store(sizes, "sizes"), "band"), "shared")
+    weights = store(shared.groupBy("node").agg(F.sum("size").alias("weight")), "weights")
     weighed = shared.join(weights, "node")
     centres = weighed.groupBy("band").agg(F.max(F.struct("weight", -F.col("n"), "node")).alias("first"))
-    centres = stored(centres.select("band", F.col("first.node").alias("centre")), "centres")
-    buckets = stored(shared.drop("size").join(centres, "band"), "buckets")
+    centres = store(centres.select("band", F.col("first.node").alias("centre")), "centres")
+    buckets = store(shared.drop("size").join(centres, "band"), "buckets")
 
-    wanted = stored(buckets.select("node").distinct(), "candidates")
+    wanted = store(buckets.select("node").distinct(), "candidates")
     texts = marks.select(F.col("row").alias("node"), "document.text", F.col("n_shingles").alias("n")).join(wanted, "node")
-    sets = stored(texts.select("node", "n", pandas_udf(_sets, "array<bigint>")("text").alias("shingles")), "sets")
+    sets = store(texts.select("node", "n", pandas_udf(_sets, "array<bigint>")("text").alias("shingles")), "sets")
 
     edges = buckets.where("node != centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
-    first = stored(_measured(edges, sets), "measured")
+    first = store(_measured(edges, sets, store), "measured")
     linked = _alike(F.col("common"), F.col("n_a"), F.col("n_b"))
-    labels = connected_components(first.where(linked))
-    more = stored(_measured(_rest(buckets, labels, sets), sets).where(linked).select("a", "b"), "links")
+    labels = connected_components(first.where(linked), store=store)
+    more = store(_measured(_rest(buckets, labels, sets, store), sets, store).where(linked).select("a", "b"), "links")
     if not more.isEmpty():
-        labels = connected_components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
+        labels = connected_components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more), store=store)
 
     groups = nodes.join(labels, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
     given = marks.select("row", "document.doc_id", "n_shingles", "digest")
-    rows = stored(given.join(stored(groups, "groups"), "digest", "left").drop("digest"), "rows")
+    rows = stored(given.join(store(groups, "groups"), "digest", "left").drop("digest"), "rows")
     heads = (
         rows.where("component IS NOT NULL")
         .groupBy("component")
         .agg(F.min("doc_id").alias("least_id"), F.min(F.when(F.col("doc_id").isNull(), F.col("row"))).alias("least_row"))
     )
     named = rows.join(stored(heads, "heads"), "component", "left")
+    # marks, rows and heads stay for whoever reads the result
+    scratch.discard()
     alone = F.col("component").isNull()
     by_id = F.when(F.col("doc_id").isNotNull(), F.col("doc_id").eqNullSafe(F.col("least_id")))
     kept = F.when(alone, F.lit(True)).otherwise(F.coalesce(by_id, F.col("least_id").isNull() & (F.col("row") == F.col("least_row"))))

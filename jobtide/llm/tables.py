@@ -20,5 +20,24 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+class Scratch:
+    """Intermediate tables of one run in the shared folder, which go when nothing reads them any more."""
+
+    def __init__(self, spark: SparkSession, purpose: str):
+        self.spark, self.folder, self.count = spark, run_dir(spark, purpose), 0
+
+    def store(self, df: DataFrame, name: str) -> DataFrame:
+        """Write a table and read it back."""
+        self.count += 1
+        folder = f"{self.folder}/{self.count}-{name}"
+        df.write.option("compression", "zstd").parquet(folder)
+        return self.spark.read.schema(df.schema).parquet(folder)
+
+    def discard(self) -> None:
+        """Remove the tables; only tables written elsewhere may depend on them."""
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def text_or_empty(column: str = "text"):
     return F.coalesce(F.col(column), F.lit(""))
