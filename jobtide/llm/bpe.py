@@ -35,7 +35,7 @@ LEAF = 16384
 WINDOW = 64
 REACH = 1024  # characters at both ends of a leaf whose tokens are placed
 EDGE = 4096  # places kept at both ends of a joined stretch
-KEPT_WORDS = 600_000
+KEPT_WORDS = 900_000  # some 170 MB
 KEPT_MARKS = 10_000
 PORTION = 500_000  # characters whose words are looked up together
 LONGEST_KEPT = 64  # bytes
