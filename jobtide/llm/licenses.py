@@ -1,12 +1,12 @@
 """Licence scan: a trained paragraph classifier, confirmed by comparison with templates.
 
-Every paragraph (line with a word) of every text is seen as its distinct word n-grams (one to three words, hashed, sparse).
-A multinomial logistic regression over them tells licence families and one unknown class apart.  It is trained here, by
+Wherever a paragraph (line with a word) holds enough of a template's word pairs (``CONFIRMED``) close together, windows around
+that place are seen as their distinct word n-grams (one to three words, hashed, sparse), so the length of the paragraph
+does not count.  A multinomial logistic regression over them tells licence families and one unknown class apart.  It is trained here, by
 stochastic gradient descent in numpy, on variations of short licence notices and, for the unknown class, on
 prose made of the notices' own words in random order and on paragraphs of a bounded sample of the corpus.
-Probabilities are calibrated by a temperature fitted on variations that training has not seen; a paragraph whose best
-family is below ``SURE`` is unknown.  A prediction counts only if the paragraph holds enough of a template's word pairs
-(``CONFIRMED``) of that family.
+Probabilities are calibrated by a temperature fitted on variations that training has not seen.  A place counts if in one of
+its windows the best family is the template's and reaches ``SURE``.
 
 Results for odd input: null, empty or blank texts have no licence (empty list); very long texts are read whole, line by line;
 repeated rows are scanned each; an empty table gives an empty table; extra columns are not looked at.
@@ -14,7 +14,9 @@ repeated rows are scanned each; an empty table gives an empty table; extra colum
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -34,7 +36,9 @@ UNKNOWN_PARAGRAPHS = 1000
 LONGEST = 20_000
 VARIATIONS = 40
 EPOCHS = 15
-ANCHOR = 5
+# other words that may stand inside a notice, and words that a window takes along on either side
+SLACK = 8
+MARGINS = (1, 4, 8)
 UNKNOWN = "unknown"
 
 # notices as licences ask for them or as people write them
@@ -87,6 +91,8 @@ TEMPLATES = {
     ),
 }
 FAMILIES = (*TEMPLATES, UNKNOWN)
+# words of the longest template, and as many around them as a window takes along
+WINDOW = max(len(t.replace(".", " ").split()) for texts in TEMPLATES.values() for t in texts) + 2 * MARGINS[-1]
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -112,14 +118,16 @@ def _template_pairs() -> dict[str, list[set]]:
 
 
 @lru_cache(maxsize=1)
-def _anchors() -> frozenset[str]:
-    """Long words of the templates; a paragraph without any of them could not be confirmed."""
-    every = [p for pairs in _template_pairs().values() for p in pairs]
-    long = frozenset(w for p in every for pair in p for w in pair if len(w) >= ANCHOR)
-    for pairs in every:
-        if sum(long.isdisjoint(pair) for pair in pairs) >= CONFIRMED * len(pairs):
-            raise ValueError("a template could be confirmed without an anchor")
-    return long
+def _templates() -> tuple[list[tuple[str, int, int]], dict[tuple, list[int]]]:
+    """Family, pairs needed and longest span of every template, and the templates that hold a pair."""
+    rules, holders = [], defaultdict(list)
+    for family, texts in TEMPLATES.items():
+        for text, pairs in zip(texts, _template_pairs()[family], strict=True):
+            for pair in pairs:
+                holders[pair].append(len(rules))
+            kept = [w for w in words_of(text) if not w.isdigit()]
+            rules.append((family, math.ceil(CONFIRMED * len(pairs) - 1e-9), len(kept) + SLACK))
+    return rules, dict(holders)
 
 
 def confirmed(family: str, words: list[str]) -> float:
@@ -132,15 +140,17 @@ def _other_numbers(words: list[str], random: np.random.Generator) -> list[str]:
     return [str(random.integers(0, 10)) if w.isdigit() else w for w in words]
 
 
-def _variation(words: list[str], random: np.random.Generator, spare: list[str]) -> list[str]:
-    """A notice with words lost, digits changed, and other words around it."""
+def _variation(words: list[str], random: np.random.Generator, spare: np.ndarray) -> list[str]:
+    """A notice at any place of a long paragraph, with words lost and digits changed, cut to a window."""
     kept = _other_numbers([w for w in words if random.random() > 0.05], random)
-    around = [list(random.choice(spare, random.integers(0, 8))) for _ in range(2)]
+    before, after = random.integers(0, 500, 2)
+    margin = random.integers(0, MARGINS[-1] + 1)
+    around = [list(random.choice(spare, min(n, margin))) for n in (before, after)]
     return [*around[0], *kept, *around[1]]
 
 
 def examples(unknown: list[list[str]], random: np.random.Generator) -> list[tuple[np.ndarray, int]]:
-    spare = [w for words in unknown for w in words] or ["and"]
+    spare = np.array([w for words in unknown for w in words] or ["and"])
     made = []
     for number, family in enumerate(FAMILIES[:-1]):
         for template in TEMPLATES[family]:
@@ -150,7 +160,10 @@ def examples(unknown: list[list[str]], random: np.random.Generator) -> list[tupl
                 shuffled = _other_numbers(list(random.permutation(words)), random)
                 # short of the whole, so that no shuffle is the notice itself
                 made.append((ngrams(shuffled[: random.integers(1, len(words))]), len(FAMILIES) - 1))
-    return made + [(ngrams(words), len(FAMILIES) - 1) for words in unknown if words]
+    for words in filter(None, unknown):
+        start = random.integers(0, max(len(words) - WINDOW, 0) + 1)
+        made.append((ngrams(words[start : start + WINDOW]), len(FAMILIES) - 1))
+    return made
 
 
 @dataclass
@@ -189,15 +202,76 @@ def fit(unknown: list[list[str]], seed: int = 11) -> Model:
     return Model(weights, bias, float(min(losses, key=losses.get)))
 
 
+def _places(words: list[str]) -> list[tuple[int, str, set[int]]]:
+    """Where enough of a template's pairs stand close together: number of pairs, family, and the places of their words."""
+    rules, holders = _templates()
+    kept = [(i, w) for i, w in enumerate(words) if not w.isdigit()]
+    hits = defaultdict(list)  # by template: place among the kept words, pair
+    for k, ((_, w), (_, x)) in enumerate(zip(kept, kept[1:])):
+        for t in holders.get((w, x), ()):
+            hits[t].append((k, (w, x)))
+    found = []
+    for t, places in hits.items():
+        family, need, longest = rules[t]
+        best, left, inside = None, 0, Counter()  # best: number of pairs, first and last hit
+        for right, (k, pair) in enumerate(places):
+            inside[pair] += 1
+            # as short as possible with the same pairs, and within the bound
+            while inside[places[left][1]] > 1 or k + 1 - places[left][0] >= longest:
+                inside[places[left][1]] -= 1
+                if not inside[places[left][1]]:
+                    del inside[places[left][1]]
+                left += 1
+            if len(inside) < need:
+                continue
+            if best and places[left][0] > places[best[2]][0]:
+                found.append((family, best, places))
+                best = None
+            if not best or len(inside) > best[0]:
+                best = (len(inside), left, right)
+        if best:
+            found.append((family, best, places))
+    return [(n, family, {kept[k + j][0] for k, _ in places[left : right + 1] for j in (0, 1)}) for family, (n, left, right), places in found]
+
+
+def chances_of(model: Model, words: list[str]) -> np.ndarray:
+    return _softmax(_scores(model.weights, model.bias, ngrams(words)) / model.temperature)
+
+
+def notices(model: Model, words: list[str]) -> list[tuple[int, str, float]]:
+    """Place of the first word, family and probability of every licence notice in a paragraph."""
+    seen = {}
+
+    def chances(start: int, end: int) -> np.ndarray:
+        if (start, end) not in seen:
+            seen[start, end] = chances_of(model, words[start:end])
+        return seen[start, end]
+
+    sure = []
+    for n, family, places in _places(words):
+        first, last = min(places), max(places) + 1
+        windows = [chances(max(first - m, 0), last + m) for m in MARGINS]
+        best = max((c.max() for c in windows if FAMILIES[c.argmax()] == family), default=0)
+        if best >= SURE:
+            sure.append((n, float(best), family, places))
+    counted, taken = [], defaultdict(set)  # taken: by word, the numbers of the notices that hold it
+    for n, chance, family, places in sorted(sure, key=lambda x: (-x[0], -x[1], min(x[3]))):
+        # what lies wholly in a larger notice is part of it, and so is what a notice of the same family shares words with
+        over = [taken[i] for i in places]
+        if not set.intersection(*over) and all(counted[c][1] != family for c in set().union(*over)):
+            for i in places:
+                taken[i].add(len(counted))
+            counted.append((min(places), family, chance))
+    return sorted(counted)
+
+
 def classify(model: Model, paragraph: str) -> tuple[str, float]:
     """Family (or unknown) and its probability, confirmed by the templates."""
     words = words_of(paragraph)
-    chances = _softmax(_scores(model.weights, model.bias, ngrams(words)) / model.temperature)
-    best = int(chances[:-1].argmax())
-    family = FAMILIES[best]
-    if chances[best] < SURE or confirmed(family, words) < CONFIRMED:
-        return UNKNOWN, float(1 - chances[best])
-    return family, float(chances[best])
+    found = notices(model, words)
+    if found:
+        return max(found, key=lambda x: x[2])[1:]
+    return UNKNOWN, float(chances_of(model, words)[-1])
 
 
 def train(docs: DataFrame, sample: int = SAMPLE, longest: int = LONGEST) -> Model:
@@ -224,15 +298,12 @@ def licence_paragraphs(text: Column, model: Model, handle) -> Column:
 
     @pandas_udf(FOUND)
     def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        model, known = handle.value, _anchors()
+        model = handle.value
 
         def one(text: str) -> list[dict]:
             found = []
             for number, line in enumerate(text.split("\n")):
-                if known.isdisjoint(words_of(line)):
-                    continue
-                family, chance = classify(model, line)
-                if family != UNKNOWN:
+                for _, family, chance in notices(model, words_of(line)):
                     found.append({"paragraph": number, "family": family, "chance": chance})
             return found
 

@@ -160,3 +160,27 @@ def test_every_template_is_known(family):
     for template in licenses.TEMPLATES[family]:
         assert licenses.classify(model, template)[0] == family
     assert licenses.classify(model, "some words that no licence would ever hold")[0] == licenses.UNKNOWN
+
+
+@pytest.fixture(scope="module")
+def licence_model():
+    rng = random.Random(5)
+    return licenses.fit([rng.choices([f"w{i}" for i in range(500)], k=rng.randint(5, 300)) for _ in range(300)])
+
+
+@pytest.mark.parametrize("others", [50, 500, 5_000])
+def test_notice_in_a_long_paragraph(licence_model, others):
+    rng = random.Random(others)
+    prose = [f"w{i}" for i in range(500)]
+    for family, templates in licenses.TEMPLATES.items():
+        for template in templates:
+            before, after = rng.choices(prose, k=others // 2), rng.choices(prose, k=others // 2)
+            found = licenses.notices(licence_model, [*before, *licenses.words_of(template), *after])
+            assert [f for _, f, _ in found] == [family], template
+            assert found[0][0] == others // 2
+
+
+def test_notices_of_one_paragraph_are_all_found(licence_model):
+    text = "Released under the MIT License. " + "w1 w2 w3 w4 " * 40 + "Licensed under CC BY-NC 4.0. Released under the MIT License."
+    assert [f for _, f, _ in licenses.notices(licence_model, licenses.words_of(text))] == ["MIT", "CC-BY-NC", "MIT"]
+    assert licenses.notices(licence_model, licenses.words_of("a version of the software is under the general terms " * 50)) == []
