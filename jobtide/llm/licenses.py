@@ -1,6 +1,6 @@
 """Licence scan: a trained paragraph classifier, confirmed by comparison with templates.
 
-Wherever a paragraph (line with a word) holds enough of a template's word pairs (``CONFIRMED``) close together, windows around
+Wherever a paragraph (lines up to one without a word, so that notices may be wrapped) holds enough of a template's word pairs (``CONFIRMED``) close together, windows around
 that place are seen as their distinct word n-grams (one to three words, hashed, sparse), so the length of the paragraph
 does not count.  A multinomial logistic regression over them tells licence families and one unknown class apart.  It is trained here, by
 stochastic gradient descent in numpy, on variations of short licence notices and, for the unknown class, on
@@ -8,7 +8,7 @@ prose made of the notices' own words in random order and on paragraphs of a boun
 Probabilities are calibrated by a temperature fitted on variations that training has not seen.  A place counts if in one of
 its windows the best family is the template's and reaches ``SURE``.
 
-Results for odd input: null, empty or blank texts have no licence (empty list); very long texts are read whole, line by line;
+Results for odd input: null, empty or blank texts have no licence (empty list); very long texts are read whole;
 repeated rows are scanned each; an empty table gives an empty table; extra columns are not looked at.
 """
 
@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -62,6 +63,8 @@ TEMPLATES = {
     "LGPL": (
         "licensed under the gnu lesser general public license version 3",
         "this library is free software you can redistribute it under the terms of the gnu lesser general public license",
+        "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license",
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license",
         "spdx license identifier lgpl 2.1",
     ),
     "BSD": (
@@ -100,6 +103,20 @@ def words_of(paragraph: str) -> list[str]:
     return _WORD.findall(paragraph.lower())
 
 
+def paragraphs_of(text: str) -> Iterator[tuple[list[str], list[int]]]:
+    """Words of each paragraph, and the number of the line that each word is on; a line without a word ends a paragraph."""
+    words, lines = [], []
+    for number, line in enumerate(text.split("\n")):
+        more = words_of(line)
+        if not more and words:
+            yield words, lines
+            words, lines = [], []
+        words += more
+        lines += [number] * len(more)
+    if words:
+        yield words, lines
+
+
 def ngrams(words: list[str]) -> np.ndarray:
     """Buckets of the distinct n-grams of one to three words."""
     joined = [*words, *map(" ".join, zip(words, words[1:])), *map(" ".join, zip(words, words[1:], words[2:]))]
@@ -238,8 +255,9 @@ def chances_of(model: Model, words: list[str]) -> np.ndarray:
     return _softmax(_scores(model.weights, model.bias, ngrams(words)) / model.temperature)
 
 
-def notices(model: Model, words: list[str]) -> list[tuple[int, str, float]]:
+def notices(model: Model, words: list[str], lines: list[int] | None = None) -> list[tuple[int, str, float]]:
     """Place of the first word, family and probability of every licence notice in a paragraph."""
+    lines = lines or [0] * len(words)
     seen = {}
 
     def chances(start: int, end: int) -> np.ndarray:
@@ -250,7 +268,10 @@ def notices(model: Model, words: list[str]) -> list[tuple[int, str, float]]:
     sure = []
     for n, family, places in _places(words):
         first, last = min(places), max(places) + 1
-        windows = [chances(max(first - m, 0), last + m) for m in MARGINS]
+        bounds = [(max(first - m, 0), min(last + m, len(words))) for m in MARGINS]
+        # also without the lines before and after, which may hold other notices
+        start, end = bisect_left(lines, lines[first]), bisect_right(lines, lines[last - 1])
+        windows = [chances(*b) for b in {*bounds, (max(start, bounds[-1][0]), min(end, bounds[-1][1]))}]
         best = max((c.max() for c in windows if FAMILIES[c.argmax()] == family), default=0)
         if best >= SURE:
             sure.append((n, float(best), family, places))
@@ -267,11 +288,10 @@ def notices(model: Model, words: list[str]) -> list[tuple[int, str, float]]:
 
 def classify(model: Model, paragraph: str) -> tuple[str, float]:
     """Family (or unknown) and its probability, confirmed by the templates."""
-    words = words_of(paragraph)
-    found = notices(model, words)
+    found = [n for words, lines in paragraphs_of(paragraph) for n in notices(model, words, lines)]
     if found:
         return max(found, key=lambda x: x[2])[1:]
-    return UNKNOWN, float(chances_of(model, words)[-1])
+    return UNKNOWN, float(chances_of(model, words_of(paragraph))[-1])
 
 
 def train(docs: DataFrame, sample: int = SAMPLE, longest: int = LONGEST) -> Model:
@@ -294,7 +314,7 @@ FOUND = "array<struct<paragraph:int,family:string,chance:double>>"
 
 
 def licence_paragraphs(text: Column, model: Model, handle) -> Column:
-    """Licence paragraphs of each text: line number from 0, family, probability."""
+    """Licence notices of each text: number of the first line (from 0), family, probability."""
 
     @pandas_udf(FOUND)
     def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -302,9 +322,9 @@ def licence_paragraphs(text: Column, model: Model, handle) -> Column:
 
         def one(text: str) -> list[dict]:
             found = []
-            for number, line in enumerate(text.split("\n")):
-                for _, family, chance in notices(model, words_of(line)):
-                    found.append({"paragraph": number, "family": family, "chance": chance})
+            for words, lines in paragraphs_of(text):
+                for place, family, chance in notices(model, words, lines):
+                    found.append({"paragraph": lines[place], "family": family, "chance": chance})
             return found
 
         for texts in batches:

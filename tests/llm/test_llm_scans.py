@@ -184,3 +184,42 @@ def test_notices_of_one_paragraph_are_all_found(licence_model):
     text = "Released under the MIT License. " + "w1 w2 w3 w4 " * 40 + "Licensed under CC BY-NC 4.0. Released under the MIT License."
     assert [f for _, f, _ in licenses.notices(licence_model, licenses.words_of(text))] == ["MIT", "CC-BY-NC", "MIT"]
     assert licenses.notices(licence_model, licenses.words_of("a version of the software is under the general terms " * 50)) == []
+
+
+def found_in(model, text):
+    return [(lines[i], f) for words, lines in licenses.paragraphs_of(text) for i, f, _ in licenses.notices(model, words, lines)]
+
+
+GPL_HEADER = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version."""
+LGPL_HEADER = """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version."""
+LGPL_PROGRAM = GPL_HEADER.replace("GNU General Public License", "GNU Lesser General Public License")
+MIT_HEADER = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell"""
+APACHE_HEADER = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License."""
+WRAPPED = {"GPL": [GPL_HEADER], "LGPL": [LGPL_HEADER, LGPL_PROGRAM], "MIT": [MIT_HEADER], "Apache": [APACHE_HEADER]}
+
+
+@pytest.mark.parametrize("mark", ["", "# ", " * ", "// ", "    "])
+def test_wrapped_notices(licence_model, mark):
+    rng = random.Random(mark)
+    for family, headers in WRAPPED.items():
+        for header in headers:
+            lines = ["".join([mark, x]) for x in header.split("\n")]
+            code = [" ".join(rng.choices([f"w{i}" for i in range(500)], k=12)) for _ in range(6)]
+            assert found_in(licence_model, "\n".join(lines)) == [(0, family)], header
+            assert found_in(licence_model, "\n".join([*code, *lines, *code])) == [(6, family)], header
+            assert found_in(licence_model, "\n".join([*code, mark, *lines, mark, *code])) == [(7, family)], header
+
+
+def test_notices_on_lines_after_each_other(licence_model):
+    text = "Released under the MIT License.\nLicensed under CC BY-NC 4.0.\nReleased under the MIT License.\n"
+    assert found_in(licence_model, text + "Licensed under the Apache License, Version 2.0.") == [(0, "MIT"), (1, "CC-BY-NC"), (2, "MIT"), (3, "Apache")]
