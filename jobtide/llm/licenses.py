@@ -2,11 +2,13 @@
 
 Wherever a paragraph (lines up to one without a word, so that notices may be wrapped) holds enough of a template's word pairs (``CONFIRMED``) close together, windows around
 that place are seen as their distinct word n-grams (one to three words, hashed, sparse), so the length of the paragraph
-does not count.  A multinomial logistic regression over them tells licence families and one unknown class apart.  It is trained here, by
-stochastic gradient descent in numpy, on variations of short licence notices and, for the unknown class, on
+does not count.  A multinomial logistic regression over them tells licence families, licences of no known family
+(``UNLISTED``) and plain prose apart.  It is trained here, by
+stochastic gradient descent in numpy, on variations of short licence notices and, for prose, on
 prose made of the notices' own words in random order and on paragraphs of a bounded sample of the corpus.
 Probabilities are calibrated by a temperature fitted on variations that training has not seen.  A place counts if in one of
-its windows the best family is the template's and reaches ``SURE``.
+its windows the best family is the template's and reaches ``SURE``.  Other places that are surely no prose and hold
+a word that grants are reported as ``UNLISTED``.
 
 Results for odd input: null, empty or blank texts have no licence (empty list); very long texts are read whole;
 repeated rows are scanned each; an empty table gives an empty table; extra columns are not looked at.
@@ -40,7 +42,10 @@ EPOCHS = 15
 # other words that may stand inside a notice, and words that a window takes along on either side
 SLACK = 8
 MARGINS = (1, 4, 8)
-UNKNOWN = "unknown"
+# plain prose
+UNKNOWN = "none"
+# notices that name no licence of a known family
+RESERVED, UNLISTED = "AllRightsReserved", "unknown"
 
 # notices as licences ask for them or as people write them
 TEMPLATES = {
@@ -92,11 +97,34 @@ TEMPLATES = {
         "this is free and unencumbered software released into the public domain",
         "dedicated to the public domain under cc0 1.0 universal",
     ),
+    RESERVED: ("all rights reserved",),
+    # a star stands for a name
+    UNLISTED: (
+        "licensed under epl 2.0",
+        "licensed under eupl 1.2",
+        "licensed under agpl 3.0",
+        "licensed under cddl 1.0",
+        "licensed under zlib",
+        "licensed under the * license",
+        "released under the * license",
+        "distributed under the * license",
+        "available under the terms of the * license",
+        "this work is licensed under the * license",
+        "spdx license identifier *",
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted",
+        "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely",
+        "this program and the accompanying materials are made available under the terms of the * public license",
+        "this library is free software you can redistribute it and or modify it under the same terms as perl itself",
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license",
+    ),
 }
+# names for the stars in training, besides words of the corpus
+NAMES = ("eclipse", "eclipse public", "zlib", "isc", "artistic", "boost software", "european union public", "open software", "gnu affero general public", "postgresql")
 FAMILIES = (*TEMPLATES, UNKNOWN)
 # words of the longest template, and as many around them as a window takes along
 WINDOW = max(len(t.replace(".", " ").split()) for texts in TEMPLATES.values() for t in texts) + 2 * MARGINS[-1]
 _WORD = re.compile(r"[^\W_]+")
+_GRANTS = re.compile(r"licen[cs]|permi(?:t|ssion)|redistribut")
 
 
 def words_of(paragraph: str) -> list[str]:
@@ -166,13 +194,19 @@ def _variation(words: list[str], random: np.random.Generator, spare: np.ndarray)
     return [*around[0], *kept, *around[1]]
 
 
+def _named(template: str, random: np.random.Generator, spare: np.ndarray) -> str:
+    """A name in the place of the star: words of the corpus, or that of a licence."""
+    name = " ".join(random.choice(spare, random.integers(0, 4))) if random.random() < 0.6 else str(random.choice(NAMES))
+    return template.replace("*", name)
+
+
 def examples(unknown: list[list[str]], random: np.random.Generator) -> list[tuple[np.ndarray, int]]:
     spare = np.array([w for words in unknown for w in words] or ["and"])
     made = []
     for number, family in enumerate(FAMILIES[:-1]):
         for template in TEMPLATES[family]:
-            words = words_of(template)
             for _ in range(VARIATIONS):
+                words = words_of(_named(template, random, spare))
                 made.append((ngrams(_variation(words, random, spare)), number))
                 shuffled = _other_numbers(list(random.permutation(words)), random)
                 # short of the whole, so that no shuffle is the notice itself
@@ -256,7 +290,7 @@ def chances_of(model: Model, words: list[str]) -> np.ndarray:
 
 
 def notices(model: Model, words: list[str], lines: list[int] | None = None) -> list[tuple[int, str, float]]:
-    """Place of the first word, family and probability of every licence notice in a paragraph."""
+    """Place of the first word, family and probability of every notice in a paragraph."""
     lines = lines or [0] * len(words)
     seen = {}
 
@@ -265,7 +299,7 @@ def notices(model: Model, words: list[str], lines: list[int] | None = None) -> l
             seen[start, end] = chances_of(model, words[start:end])
         return seen[start, end]
 
-    sure = []
+    sure, like = [], []  # of a known family; of any licence
     for n, family, places in _places(words):
         first, last = min(places), max(places) + 1
         bounds = [(max(first - m, 0), min(last + m, len(words))) for m in MARGINS]
@@ -273,8 +307,11 @@ def notices(model: Model, words: list[str], lines: list[int] | None = None) -> l
         start, end = bisect_left(lines, lines[first]), bisect_right(lines, lines[last - 1])
         windows = [chances(*b) for b in {*bounds, (max(start, bounds[-1][0]), min(end, bounds[-1][1]))}]
         best = max((c.max() for c in windows if FAMILIES[c.argmax()] == family), default=0)
-        if best >= SURE:
+        if best >= SURE and family != UNLISTED:
             sure.append((n, float(best), family, places))
+        some = max(1 - c[-1] for c in windows)
+        if some >= SURE and family != RESERVED and any(map(_GRANTS.match, words[max(first - MARGINS[1], 0) : last + MARGINS[1]])):
+            like.append((n, float(some), UNLISTED, places))
     counted, taken = [], defaultdict(set)  # taken: by word, the numbers of the notices that hold it
     for n, chance, family, places in sorted(sure, key=lambda x: (-x[0], -x[1], min(x[3]))):
         # what lies wholly in a larger notice is part of it, and so is what a notice of the same family shares words with
@@ -283,11 +320,16 @@ def notices(model: Model, words: list[str], lines: list[int] | None = None) -> l
             for i in places:
                 taken[i].add(len(counted))
             counted.append((min(places), family, chance))
+    for _, chance, family, places in sorted(like, key=lambda x: (-x[0], -x[1], min(x[3]))):
+        if not any(taken[i] for i in places):
+            for i in places:
+                taken[i].add(len(counted))
+            counted.append((min(places), family, chance))
     return sorted(counted)
 
 
 def classify(model: Model, paragraph: str) -> tuple[str, float]:
-    """Family (or unknown) and its probability, confirmed by the templates."""
+    """Family (``UNKNOWN`` for prose) and its probability, confirmed by the templates."""
     found = [n for words, lines in paragraphs_of(paragraph) for n in notices(model, words, lines)]
     if found:
         return max(found, key=lambda x: x[2])[1:]
@@ -295,7 +337,7 @@ def classify(model: Model, paragraph: str) -> tuple[str, float]:
 
 
 def train(docs: DataFrame, sample: int = SAMPLE, longest: int = LONGEST) -> Model:
-    """The unknown class also sees paragraphs of the documents with the smallest hashes of their id."""
+    """The class of prose also sees paragraphs of the documents with the smallest hashes of their id."""
     # ids first: each task offers its smallest ones, and texts of all these would come to the driver
     sized = docs.where(F.col("doc_id").isNotNull() & (F.char_length("text") <= longest)).select("doc_id")
     ids = [row["doc_id"] for row in sized.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).collect()]
@@ -305,7 +347,8 @@ def train(docs: DataFrame, sample: int = SAMPLE, longest: int = LONGEST) -> Mode
     for row in rows:
         for line in row["text"].split("\n"):
             words = words_of(line)
-            if words and not any(confirmed(family, words) >= CONFIRMED / 2 for family in TEMPLATES):
+            known = any(confirmed(family, words) >= CONFIRMED / 2 for family in TEMPLATES if family != UNLISTED)
+            if words and not known and not _places(words):
                 unknown.append(words)
     return fit(unknown[:UNKNOWN_PARAGRAPHS])
 
@@ -341,7 +384,17 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **bounds:
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """Families (sorted, comma-joined) and number of licence paragraphs of every document."""
+    """Families (sorted, comma-joined) and places of the notices of every document.
+
+    ``licences`` has the known families, ``other_notices`` the notices that name none (``RESERVED``, ``UNLISTED``).
+    """
+    others = F.lit(RESERVED), F.lit(UNLISTED)
     families = F.array_sort(F.array_distinct(F.transform("found", lambda p: p["family"])))
     lines = F.array_join(F.transform("found", lambda p: F.concat_ws(":", p["paragraph"], p["family"])), ",")
-    return scan(docs).select("doc_id", F.array_join(families, ",").alias("licences"), F.size("found").cast("bigint").alias("n_paragraphs"), lines.alias("paragraphs"))
+    return scan(docs).select(
+        "doc_id",
+        F.array_join(F.filter(families, lambda f: ~f.isin(*others)), ",").alias("licences"),
+        F.size("found").cast("bigint").alias("n_paragraphs"),
+        lines.alias("paragraphs"),
+        F.array_join(F.filter(families, lambda f: f.isin(*others)), ",").alias("other_notices"),
+    )

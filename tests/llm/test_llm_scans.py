@@ -223,3 +223,48 @@ def test_wrapped_notices(licence_model, mark):
 def test_notices_on_lines_after_each_other(licence_model):
     text = "Released under the MIT License.\nLicensed under CC BY-NC 4.0.\nReleased under the MIT License.\n"
     assert found_in(licence_model, text + "Licensed under the Apache License, Version 2.0.") == [(0, "MIT"), (1, "CC-BY-NC"), (2, "MIT"), (3, "Apache")]
+
+
+PLANTED = {
+    "Licensed under the Apache License, Version 2.0.": ("Apache", ""),
+    "Released under the MIT License.": ("MIT", ""),
+    "This work is licensed under the GNU General Public License, version 3.": ("GPL", ""),
+    "Licensed under CC BY-NC 4.0.": ("CC-BY-NC", ""),
+    "All rights reserved.": ("", "AllRightsReserved"),
+}
+
+
+def test_all_five_planted_lines(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    first = docs.where("text IS NOT NULL").orderBy("doc_id").first().text
+    added = spark.createDataFrame([(-1 - i, f"{first}\n{line}\n{first}") for i, line in enumerate(PLANTED)], docs.schema)
+    docs = docs.union(added)
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    for r in licenses.report(docs).collect():
+        want = [names for line, names in PLANTED.items() if line in texts[r.doc_id]]
+        assert r.licences == ",".join(sorted({w for w, _ in want if w})), texts[r.doc_id]
+        assert r.other_notices == ",".join(sorted({w for _, w in want if w})), texts[r.doc_id]
+
+
+UNLISTED_NOTICES = [
+    "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above",
+    "This program and the accompanying materials are made available under the\nterms of the Eclipse Public License 2.0 which is available at",
+    "Permission is granted to anyone to use this software for any purpose,\nincluding commercial applications, and to alter it and redistribute it\nfreely, subject to the following restrictions:",
+    "Licensed under the Frobnicate License, Version 2.0.",
+    "Released under the Quux Community License.",
+    "SPDX-License-Identifier: Zlib",
+    "Licensed under EPL-2.0.",
+    "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU Affero General Public License as published by",
+]
+
+
+@pytest.mark.parametrize("notice", UNLISTED_NOTICES)
+def test_notices_of_no_known_family_are_unknown(licence_model, notice):
+    assert found_in(licence_model, notice) == [(0, "unknown")]
+    assert found_in(licence_model, f"w1 w2 w3\nw4 w5\n{notice}\nw6 w7 w8") == [(2, "unknown")]
+
+
+def test_prose_about_licences_is_no_notice(licence_model):
+    for prose in ("the license of the house", "it was released under the moon", "all rights", "the driving licence that was lost under the table"):
+        assert found_in(licence_model, prose) == []
+        assert licenses.classify(licence_model, prose)[0] == licenses.UNKNOWN
