@@ -33,9 +33,9 @@ from pyspark.sql.functions import pandas_udf
 BUCKETS = 1 << 15
 SURE = 0.6
 CONFIRMED = 0.6
-# for the unknown class: documents of the corpus, and paragraphs of these
+# for the class of prose: documents of the corpus, and paragraphs of these
 SAMPLE = 400
-UNKNOWN_PARAGRAPHS = 1000
+PARAGRAPHS = 1000
 LONGEST = 20_000
 VARIATIONS = 40
 EPOCHS = 15
@@ -336,21 +336,28 @@ def classify(model: Model, paragraph: str) -> tuple[str, float]:
     return UNKNOWN, float(chances_of(model, words_of(paragraph))[-1])
 
 
-def train(docs: DataFrame, sample: int = SAMPLE, longest: int = LONGEST) -> Model:
+def _chosen(texts: dict, paragraphs: int) -> list[list[str]]:
+    """Words of the plain paragraphs with the smallest hashes of document, line and place in it, long ones cut to windows."""
+    plain = []
+    for doc_id, text in texts.items():
+        for number, line in enumerate(text.split("\n")):
+            words = words_of(line)
+            for start in range(0, len(words), WINDOW):
+                part = words[start : start + WINDOW]
+                known = any(confirmed(family, part) >= CONFIRMED / 2 for family in TEMPLATES if family != UNLISTED)
+                if not known and not _places(part):
+                    plain.append((xxhash.xxh3_64_intdigest(f"{doc_id} {number} {start}"), part))
+    return [part for _, part in sorted(plain)[:paragraphs]]
+
+
+def train(docs: DataFrame, sample: int = SAMPLE, longest: int = LONGEST, paragraphs: int = PARAGRAPHS) -> Model:
     """The class of prose also sees paragraphs of the documents with the smallest hashes of their id."""
     # ids first: each task offers its smallest ones, and texts of all these would come to the driver
     sized = docs.where(F.col("doc_id").isNotNull() & (F.char_length("text") <= longest)).select("doc_id")
     ids = [row["doc_id"] for row in sized.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).collect()]
     chosen = docs.where(F.col("doc_id").isin(ids) & (F.char_length("text") <= longest))
     rows = chosen.groupBy("doc_id").agg(F.min("text").alias("text")).orderBy("doc_id").collect()
-    unknown = []
-    for row in rows:
-        for line in row["text"].split("\n"):
-            words = words_of(line)
-            known = any(confirmed(family, words) >= CONFIRMED / 2 for family in TEMPLATES if family != UNLISTED)
-            if words and not known and not _places(words):
-                unknown.append(words)
-    return fit(unknown[:UNKNOWN_PARAGRAPHS])
+    return fit(_chosen({row["doc_id"]: row["text"] for row in rows}, paragraphs))
 
 
 FOUND = "array<struct<paragraph:int,family:string,chance:double>>"

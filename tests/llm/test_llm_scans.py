@@ -268,3 +268,13 @@ def test_prose_about_licences_is_no_notice(licence_model):
     for prose in ("the license of the house", "it was released under the moon", "all rights", "the driving licence that was lost under the table"):
         assert found_in(licence_model, prose) == []
         assert licenses.classify(licence_model, prose)[0] == licenses.UNKNOWN
+
+
+def test_prose_is_chosen_from_all_sampled_documents(spark, monkeypatch):
+    texts = ["\n".join(f"doc{i} line{j} w" for j in range(30)) for i in range(40)] + ["long " + "w " * 400]
+    seen = []
+    monkeypatch.setattr(licenses, "fit", seen.extend)
+    licenses.train(odd(spark, texts).select("doc_id", "text"), paragraphs=300)
+    assert len(seen) == 300 and max(map(len, seen)) <= licenses.WINDOW
+    # by id the first ten documents would have supplied them all
+    assert len({words[0] for words in seen if words[0].startswith("doc")}) > 35
