@@ -185,3 +185,30 @@ top AS (SELECT digest AS root FROM above WHERE ((n - 1) >> level) = 0)
 SELECT doc_id, leaf, s.digest AS subroot, root, sha256(array_to_string(list_transform(steps, lambda s: s[2:]), '')) AS proof_sha256,
   folded_root, folded_root = root AS verified
 FROM folded JOIN subroots s USING (tree), top"""
+
+
+COLLOCATIONS = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+words AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang),
+sequences AS (
+  SELECT lang, k, unnest(CASE WHEN len(w) >= k THEN list_transform(range(1, len(w) - k + 2), lambda i: w[i:i + k - 1]) ELSE [] END) AS s
+  FROM words, (VALUES (1), (2), (3), (4)) sizes(k)),
+counts AS (SELECT lang, k, s, count(*)::BIGINT AS f FROM sequences GROUP BY ALL),
+candidates AS (SELECT lang, k, s, f AS a FROM counts WHERE k >= 2 AND f >= 30),
+inner_parts AS (
+  SELECT lang, k, a, unnest(flatten(list_transform(range(2, k), lambda m: list_transform(range(1, k - m + 2), lambda i: s[i:i + m - 1])))) AS s
+  FROM candidates WHERE k > 2),
+covering AS (SELECT lang, s, max(a) AS a FROM inner_parts GROUP BY ALL),
+left_over AS (
+  SELECT c.* FROM candidates c LEFT JOIN covering o ON o.lang = c.lang AND o.s = c.s WHERE o.a IS NULL OR 100 * o.a::HUGEINT < 80 * c.a::HUGEINT),
+cuts AS (
+  SELECT c.lang, c.s, c.a, cut, x.f AS l, y.f AS r, (2000000::HUGEINT * c.a // (x.f + y.f))::BIGINT AS score
+  FROM left_over c JOIN (VALUES (1), (2), (3)) places(cut) ON cut < k
+  JOIN counts x ON x.lang = c.lang AND x.s = c.s[:cut] JOIN counts y ON y.lang = c.lang AND y.s = c.s[cut + 1:]),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, s ORDER BY score, cut) = 1),
+named AS (SELECT lang, array_to_string(s, ' ') AS phrase, a, l, r, score FROM lowest)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM named JOIN totals USING (lang) QUALIFY rank <= 2000"""

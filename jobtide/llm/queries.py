@@ -5,6 +5,7 @@ from __future__ import annotations
 from jobtide.llm import (
     bpe,
     check_sql,
+    collocations,
     licenses,
     merkle,
     near_dedup,
@@ -63,6 +64,10 @@ def op11_manifest(spark, sf_dir):
     return merkle.report(read(spark, sf_dir, "documents"))
 
 
+def op12_collocations(spark, sf_dir):
+    return collocations.report(read(spark, sf_dir, "documents"))
+
+
 # trained scores, tokenizers, sketches and spans of patterns are held to brute force in tests/llm
 CHECKS = {
     "op2_shards": check_sql.shards(),
@@ -70,6 +75,7 @@ CHECKS = {
     "op9_urls": check_sql.URLS,
     "op10_rules": check_sql.QUALITY_RULES,
     "op11_manifest": check_sql.MANIFEST,
+    "op12_collocations": check_sql.COLLOCATIONS,
 }
 QUERIES = {
     f.__name__: (f, CHECKS.get(f.__name__))
@@ -85,5 +91,6 @@ QUERIES = {
         op9_urls,
         op10_rules,
         op11_manifest,
+        op12_collocations,
     )
 }
