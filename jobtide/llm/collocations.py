@@ -3,10 +3,11 @@
 Nodes are sequences of three words, edges the sequences of four that lead from one to the next.
 
 1. **Where pieces are cut.** Pieces end at punctuation.  They may also be cut between two words that
-   meet fewer than ``LEAST`` times: no phrase over such a place counts, and phrases beside it keep their counts.  Pairs
-   are counted in hashed cells first; a cell's count is never below a pair's, so a pair in a cell below
-   ``LEAST`` is rare for certain.  The cells with more are a bit map of fixed size (8 MB), which is broadcast.
-2. **Edges.** Every word begins one edge: the four words from it on, or the rest of its piece if that is
+   meet fewer than ``LEAST`` times: no phrase over such a place counts, and phrases beside it keep their counts.  So
+   may a word be left out that is met fewer times.  Words and pairs are counted in hashed cells first; a cell's count is never
+   below a pair's, so a pair in a cell below ``LEAST`` is rare for certain.  The cells with more are a bit map of fixed
+   size (8 MB), which is broadcast.
+2. **Edges.** Every other word begins one edge: the four words from it on, or the rest of its piece if that is
    shorter (the correction at a piece's end).  Edges are counted within tasks, then over all.
 3. **Flow.** A node's count is the weight that flows through it: the edges that begin with it and
    the ends of pieces there; two and one words likewise.  So all counts come from the edges.
@@ -59,20 +60,30 @@ def _by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Words
                 yield lang, split_words(some, BLANKS, STOPS)
 
 
-def _cells(lang: str, words: Words) -> tuple[np.ndarray, np.ndarray]:
-    """Which words have a neighbour in their piece, and the cell of each such pair."""
-    hashes = word_hashes(words.different, xxhash.xxh3_64_intdigest(lang))[words.codes]
+def _cell(keys: np.ndarray) -> np.ndarray:
+    return (mixed(keys) >> np.uint64(64 - CELL_BITS)).astype(np.int64)
+
+
+def _cells(lang: str, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The cell of each different word, which words have a neighbour in their piece, and the cell of each such pair."""
+    hashes = word_hashes(words.different, xxhash.xxh3_64_intdigest(lang))
     paired = words.piece[1:] == words.piece[:-1]
-    cells = mixed(hashes[:-1] * np.uint64(0x9E3779B97F4A7C15) + hashes[1:])[paired] >> np.uint64(64 - CELL_BITS)
-    return paired, cells.astype(np.int64)
+    pairs = (hashes * np.uint64(0x9E3779B97F4A7C15))[words.codes[:-1][paired]] + hashes[words.codes[1:][paired]]
+    return _cell(hashes), paired, _cell(pairs)
+
+
+def _marked(held: np.ndarray, cells: np.ndarray) -> np.ndarray:
+    return (held[cells >> 3] >> (cells & 7).astype(np.uint8)) & 1 == 1
 
 
 def frequent_cells(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST) -> np.ndarray:
-    """Bit map of the cells whose word pairs are met ``least`` times or more, together."""
+    """Bit map of the cells whose words and word pairs are met ``least`` times or more, together."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for language, words in _by_language(batches):
-            cell, rows = np.unique(_cells(language, words)[1], return_counts=True)
+            kinds, _, pairs = _cells(language, words)
+            cell, rows = np.unique(pairs, return_counts=True)
+            cell, rows = np.append(cell, kinds), np.append(rows, np.bincount(words.codes, minlength=len(kinds)))
             yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(rows)], ["cell", "rows"])
 
     cells = _texts(docs, text, lang).mapInArrow(counted, "cell BIGINT, rows BIGINT")
@@ -86,11 +97,11 @@ def frequent_cells(docs: DataFrame, text: str = "text", lang: str = "lang", leas
 
 
 def _runs(lang: str, words: Words, held: np.ndarray) -> np.ndarray:
-    """For each word the number of words (itself included, four at most) until its run ends."""
-    paired, cells = _cells(lang, words)
-    paired[paired] = (held[cells >> 3] >> (cells & 7).astype(np.uint8)) & 1
+    """For each word the number of words (itself included, four at most) until its run ends; 0 if it is rare."""
+    kinds, paired, pairs = _cells(lang, words)
+    paired[paired] = _marked(held, pairs)
     on = np.append(paired, False)
-    reach, ahead = np.ones(len(on), np.int8), on.copy()
+    reach, ahead = _marked(held, kinds)[words.codes].astype(np.int8), on.copy()
     for step in range(1, LONGEST):
         reach += ahead
         ahead &= np.append(on[step:], np.zeros(min(step, len(on)), bool))
@@ -99,12 +110,11 @@ def _runs(lang: str, words: Words, held: np.ndarray) -> np.ndarray:
 
 def _distinct(words: Words, reach: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """The different edges of some texts as phrases, with their numbers of words and their counts."""
-    kinds, count = len(words.different) + 1, len(words.codes)
-    columns = []
+    kinds, begin = len(words.different) + 1, np.flatnonzero(reach)
+    reach, columns = reach[begin], []
     for step in range(LONGEST):
-        column = np.full(count, kinds - 1, np.int64)  # stands for no word
-        column[: max(count - step, 0)] = words.codes[step:]
-        column[reach <= step] = kinds - 1
+        column = words.codes.take(begin + step, mode="clip").astype(np.int64)
+        column[reach <= step] = kinds - 1  # stands for no word
         columns.append(column)
     # two pairs of words, then the pair of pairs; numbers stay below 64 bits
     _, left = np.unique(columns[0] * kinds + columns[1], return_inverse=True)

@@ -41,8 +41,8 @@ def split_words(texts: list[str], blanks: bytes, stops: bytes = b"") -> Words:
     return Words(
         coded.indices.to_numpy(),
         coded.dictionary,
-        np.searchsorted(np.flatnonzero(letters == _END), starts),
-        np.searchsorted(np.flatnonzero(kind == 2), starts),
+        np.searchsorted(np.flatnonzero(letters == _END), starts).astype(np.int32),
+        np.searchsorted(np.flatnonzero(kind == 2), starts).astype(np.int32),
     )
 
 
