@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from jobtide.llm import (
+    bloom_lm,
     bpe,
     check_sql,
     collocations,
@@ -68,6 +69,10 @@ def op12_collocations(spark, sf_dir):
     return collocations.report(read(spark, sf_dir, "documents"))
 
 
+def op13_lm(spark, sf_dir):
+    return bloom_lm.report(read(spark, sf_dir, "documents"))
+
+
 # trained scores, tokenizers, sketches and spans of patterns are held to brute force in tests/llm
 CHECKS = {
     "op2_shards": check_sql.shards(),
@@ -92,5 +97,6 @@ QUERIES = {
         op10_rules,
         op11_manifest,
         op12_collocations,
+        op13_lm,
     )
 }
