@@ -29,7 +29,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
@@ -54,10 +53,10 @@ def _texts(docs: DataFrame, text: str, lang: str) -> DataFrame:
 
 def _by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Words]]:
     for batch in batches:
-        rows = pd.DataFrame({"lang": batch.column(0).to_pylist(), "text": batch.column(1).to_pylist()})
-        for lang, group in rows.groupby("lang", sort=False):
-            for some in chunks(group["text"]):
-                yield lang, split_words(some, BLANKS, STOPS)
+        lang, text = batch.columns
+        for one in lang.unique():
+            for some in chunks(text.filter(pc.equal(lang, one))):
+                yield one.as_py(), split_words(some, BLANKS, STOPS)
 
 
 def _cell(keys: np.ndarray) -> np.ndarray:

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 CHUNK = 8_000_000  # bytes of text that are held as arrays together
 _END = 0xFF  # no byte of UTF-8
+_LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
 
 
 class Words(NamedTuple):
@@ -19,23 +21,24 @@ class Words(NamedTuple):
     piece: np.ndarray  # number of the piece each word is in, rising over all texts
 
 
-def split_words(texts: list[str], blanks: bytes, stops: bytes = b"") -> Words:
+def split_words(texts: pa.Array, blanks: bytes, stops: bytes = b"") -> Words:
     """Words with A-Z lower-cased; ``blanks`` part words, ``stops`` (ASCII, too) and ends of texts part pieces."""
-    data = bytearray()
-    for text in texts:
-        data += text.encode().lower()
-        data.append(_END)
-    letters = np.frombuffer(data, np.uint8)
+    offsets = np.frombuffer(texts.buffers()[1], np.int32, len(texts) + 1, 4 * texts.offset) if len(texts) else np.zeros(1, np.int32)
+    data = texts.buffers()[2] if len(texts) else None
+    data = np.frombuffer(data or b"", np.uint8)[offsets[0] : offsets[-1]]
+    letters = np.insert(_LOWER[data], offsets[1:] - offsets[0], _END)
     kinds = np.zeros(256, np.uint8)
     kinds[list(blanks)] = 1
     kinds[[*stops, _END]] = 2
     kind = kinds[letters]
     inside = kind == 0
-    edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
-    starts, ends = edges[::2], edges[1::2]
-    offsets = np.zeros(len(starts) + 1, np.int32)
-    np.cumsum(ends - starts, out=offsets[1:])
-    words = pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(letters[inside]))
+    edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    if len(inside) and inside[0]:
+        edges = np.append(0, edges)
+    starts, ends = edges[::2], edges[1::2]  # the last byte is never part of a word
+    lengths = np.zeros(len(starts) + 1, np.int32)
+    np.cumsum(ends - starts, out=lengths[1:])
+    words = pa.StringArray.from_buffers(len(starts), pa.py_buffer(lengths), pa.py_buffer(letters[inside]))
     coded = words.dictionary_encode()
     return Words(
         coded.indices.to_numpy(),
@@ -65,14 +68,12 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def chunks(texts: Iterable[str], size: int = CHUNK) -> Iterator[list[str]]:
-    """Whole texts, as many together as have about ``size`` characters."""
-    some, length = [], 0
-    for text in texts:
-        some.append(text)
-        length += len(text)
-        if length >= size:
-            yield some
-            some, length = [], 0
-    if some:
-        yield some
+def chunks(texts: pa.Array, size: int = CHUNK) -> Iterator[pa.Array]:
+    """Whole texts, as many together as have about ``size`` bytes; null is the empty text."""
+    texts = pc.fill_null(texts.cast(pa.string()), "")
+    sizes = pc.binary_length(texts).to_numpy().astype(np.int64)
+    parts = (np.cumsum(sizes) - sizes) // size  # of the first byte of each text
+    bounds = [0, *(np.flatnonzero(np.diff(parts)) + 1).tolist(), len(texts)]
+    for begin, end in zip(bounds, bounds[1:]):
+        if end > begin:
+            yield texts.slice(begin, end - begin)

@@ -4,11 +4,12 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 
 from jobtide.llm import collocations
-from jobtide.llm.words import split_words
+from jobtide.llm.words import chunks, split_words, word_hashes
 
 SCHEMA = "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT"
 LOWER = str.maketrans({chr(65 + i): chr(97 + i) for i in range(26)})
@@ -125,7 +126,7 @@ def test_empty_tables(spark):
 @settings(max_examples=200, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.text(st.sampled_from(list(" \t\n.,aBÀé  😀\x00\x0b\x1c")), max_size=30), max_size=5))
 def test_words_and_pieces(texts):
-    made = split_words(texts, collocations.BLANKS, collocations.STOPS)
+    made = split_words(pa.array(texts, pa.string()), collocations.BLANKS, collocations.STOPS)
     different = made.different.to_pylist()
     got = [[] for _ in texts]
     last = None
@@ -135,3 +136,21 @@ def test_words_and_pieces(texts):
         got[text][-1].append(different[code])
         last = piece
     assert got == [[words for words in pieces(text) if words] for text in texts]
+
+
+@given(st.lists(st.none() | st.text(st.sampled_from("aB é"), max_size=9), max_size=40), st.integers(1, 20), st.integers(0, 5))
+def test_chunks_are_whole_texts(texts, size, skipped):
+    made = [one for chunk in chunks(pa.array(texts, pa.string()).slice(skipped), size) for one in chunk.to_pylist()]
+    assert made == [text or "" for text in texts[skipped:]]
+    # words of a part of an array
+    for chunk in chunks(pa.array(texts, pa.string()).slice(skipped), size):
+        whole = split_words(pa.array(chunk.to_pylist()), b" ")
+        assert split_words(chunk, b" ").different.to_pylist() == whole.different.to_pylist()
+
+
+def test_words_have_different_hashes():
+    words = pa.array([f"{a}{b}" for a in "abcdefgh" * 4 for b in range(2_000)] + ["ab", "ba", "aab", "aba", "a" * 5_000, "a" * 5_001])
+    different = words.dictionary_encode().dictionary
+    assert len(set(word_hashes(different).tolist())) == len(different)
+    assert word_hashes(different.slice(100, 50)).tolist() == word_hashes(different)[100:150].tolist()
+    assert (word_hashes(different, 7) != word_hashes(different)).all()
