@@ -85,7 +85,8 @@ def frequent_cells(docs: DataFrame, text: str = "text", lang: str = "lang", leas
             cell, rows = np.append(cell, kinds), np.append(rows, np.bincount(words.codes, minlength=len(kinds)))
             yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(rows)], ["cell", "rows"])
 
-    cells = _texts(docs, text, lang).mapInArrow(counted, "cell BIGINT, rows BIGINT")
+    # counted per chunk already: a task keeps no table of the cells
+    cells = _texts(docs, text, lang).mapInArrow(counted, "cell BIGINT, rows BIGINT").repartition("cell")
     cells = cells.groupBy("cell").agg(F.sum("rows").alias("rows")).where(F.col("rows") >= least)
     place = F.col("cell") + 1
     blocks = cells.groupBy(F.bitmap_bucket_number(place).alias("block")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
@@ -141,7 +142,7 @@ def edges(docs: DataFrame, held: np.ndarray, text: str = "text", lang: str = "la
             ]
             yield pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "words", "weight"])
 
-    made = _texts(docs, text, lang).mapInArrow(counted, "lang STRING, phrase STRING, words BYTE, weight BIGINT")
+    made = _texts(docs, text, lang).mapInArrow(counted, "lang STRING, phrase STRING, words BYTE, weight BIGINT").repartition(*_KEY)
     return made.groupBy(*_KEY, "words").agg(F.sum("weight").alias("weight"))
 
 
