@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from jobtide.llm.tables import Scratch
+from jobtide.llm.tables import Scratch, arrow_rows
 from jobtide.llm.words import Words, chunks, mixed, split_words, word_hashes
 
 LEAST = 30
@@ -42,6 +42,7 @@ LONGEST = 4
 COVERED = 80  # per cent
 SHOWN = 2_000  # phrases of a language in the report
 CELL_BITS = 26
+ROWS = 8_000  # texts handed to a task together
 BLANKS = b"\x20\x09"
 STOPS = b".,;:!?\x0a\x0b\x0c\x0d"
 _KEY = ["lang", "phrase"]
@@ -262,7 +263,8 @@ class Graph:
 
     def __init__(self, docs: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST):
         self.scratch = Scratch(docs.sparkSession, "collocations")
-        counted = self.scratch.store(edges(docs, frequent_cells(docs, text, lang, least), text, lang), "edges")
+        with arrow_rows(docs.sparkSession, ROWS):
+            counted = self.scratch.store(edges(docs, frequent_cells(docs, text, lang, least), text, lang), "edges")
         self.totals = counted.where("words = 0").select("lang", F.col("weight").alias("n"))
         self.counts = self.scratch.store(flows(counted, least), "counts")
         self.nodes = self.scratch.store(nodes(self.counts), "nodes")
