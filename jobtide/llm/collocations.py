@@ -2,13 +2,13 @@
 
 Nodes are sequences of three words, edges the sequences of four that lead from one to the next.
 
-1. **Where pieces are cut.** Pieces end at punctuation.  They may also be cut between two words that
-   meet fewer than ``LEAST`` times: no phrase over such a place counts, and phrases beside it keep their counts.  So
-   may a word be left out that is met fewer times.  Words and pairs are counted in hashed cells first; a cell's count is never
-   below a pair's, so a pair in a cell below ``LEAST`` is rare for certain.  The cells with more are a bit map of fixed
-   size (8 MB), which is broadcast.
-2. **Edges.** Every other word begins one edge: the four words from it on, or the rest of its piece if that is
-   shorter (the correction at a piece's end).  Edges are counted within tasks, then over all.
+1. **Where edges end.** Pieces end at punctuation.  An edge may also end before a word with which it would hold a pair
+   or triple of words that is met fewer than ``LEAST`` times: no phrase over such a place counts, and shorter ones keep
+   their counts; edges from rarer words are left out.  Words and pairs are counted in hashed cells first, then triples of
+   frequent pairs; a cell's count is never below that of what is in it, so what is in a cell below ``LEAST`` is
+   rare for certain.  The other cells are two bit maps of fixed size (8 MB each), which are broadcast.
+2. **Edges.** Every word begins one edge: the four words from it on, or fewer if the edge ends before (the
+   correction at a piece's end).  Edges are counted within tasks, then over all.
 3. **Flow.** A node's count is the weight that flows through it: the edges that begin with it and
    the ends of pieces there; two and one words likewise.  So all counts come from the edges.
 4. **Paths.** A node through which one edge brings and one takes all its flow is unary.  Edges joined
@@ -26,7 +26,7 @@ extra columns of any name are not looked at.  A very long text is one unit of wo
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +43,9 @@ COVERED = 80  # per cent
 SHOWN = 2_000  # phrases of a language in the report
 CELL_BITS = 26
 ROWS = 8_000  # texts handed to a task together
+_BLOCK = 1 << 14  # cells
+_TOGETHER = 4_000_000  # cells counted together in a task
+_NEXT = np.uint64(0x9E3779B97F4A7C15)
 BLANKS = b"\x20\x09"
 STOPS = b".,;:!?\x0a\x0b\x0c\x0d"
 _KEY = ["lang", "phrase"]
@@ -61,52 +64,93 @@ def _by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Words
 
 
 def _cell(keys: np.ndarray) -> np.ndarray:
-    return (mixed(keys) >> np.uint64(64 - CELL_BITS)).astype(np.int64)
-
-
-def _cells(lang: str, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The cell of each different word, which words have a neighbour in their piece, and the cell of each such pair."""
-    hashes = word_hashes(words.different, xxhash.xxh3_64_intdigest(lang))
-    paired = words.piece[1:] == words.piece[:-1]
-    pairs = (hashes * np.uint64(0x9E3779B97F4A7C15))[words.codes[:-1][paired]] + hashes[words.codes[1:][paired]]
-    return _cell(hashes), paired, _cell(pairs)
+    return (mixed(keys) >> np.uint64(64 - CELL_BITS)).astype(np.int32)
 
 
 def _marked(held: np.ndarray, cells: np.ndarray) -> np.ndarray:
     return (held[cells >> 3] >> (cells & 7).astype(np.uint8)) & 1 == 1
 
 
-def frequent_cells(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST) -> np.ndarray:
-    """Bit map of the cells whose words and word pairs are met ``least`` times or more, together."""
+def _ahead(marks: np.ndarray) -> np.ndarray:
+    """The next word's mark at each word."""
+    return np.append(marks[1:], False)
+
+
+class _Runs:
+    """Cells of the words of some texts and of the pairs and triples that begin there; pairs and triples within pieces only.
+
+    ``held`` has the bit map of words and pairs, then that of triples, as far as they are known.
+    """
+
+    def __init__(self, lang: str, words: Words, held: Sequence[np.ndarray]):
+        codes, same_piece = words.codes, np.append(words.piece[1:] == words.piece[:-1], False)
+        hashes = word_hashes(words.different, xxhash.xxh3_64_intdigest(lang))
+        self.kinds = _cell(hashes)
+        following = np.append(hashes[codes[1:]], np.uint64(0))
+        pairs = (hashes * _NEXT)[codes] + following
+        self.pair_at = np.flatnonzero(same_piece)
+        self.pairs = _cell(pairs[self.pair_at])
+        if held:
+            joined = np.zeros(len(codes), bool)
+            joined[self.pair_at] = _marked(held[0], self.pairs)
+            third = np.append(following[1:], np.uint64(0))
+            self.triple_at = np.flatnonzero(joined & _ahead(joined))
+            self.triples = _cell(mixed(pairs[self.triple_at]) * _NEXT + third[self.triple_at])
+            # words from each on until a rare pair or triple or the end of the piece; 0 for a rare word
+            self.reach = _marked(held[0], self.kinds)[codes].astype(np.int8) + joined
+        if len(held) > 1:
+            triple = np.zeros(len(codes), bool)
+            triple[self.triple_at] = _marked(held[1], self.triples)
+            self.reach += triple
+            self.reach += triple & _ahead(triple)
+
+
+def _handed_over(found: list[np.ndarray], least: int) -> pa.RecordBatch:
+    """Counted cells by blocks, as bytes: the places in the block, then the counts, which matter up to ``least`` only."""
+    cells, counts = np.unique(np.concatenate(found), return_counts=True)
+    blocks, starts = np.unique(cells // _BLOCK, return_index=True)
+    low, counts = (cells % _BLOCK).astype(np.uint16), np.minimum(counts, least).astype(np.min_scalar_type(least))
+    ends = np.append(starts[1:], len(cells))
+    entries = [low[i:j].tobytes() + counts[i:j].tobytes() for i, j in zip(starts, ends)]
+    return pa.RecordBatch.from_arrays([pa.array(blocks, pa.int32()), pa.array(entries, pa.binary())], ["block", "entries"])
+
+
+def frequent_cells(docs: DataFrame, held: Sequence[np.ndarray] = (), text: str = "text", lang: str = "lang", least: int = LEAST) -> np.ndarray:
+    """Bit map of the cells whose words and pairs are met ``least`` times or more, together.
+
+    With the bit map of these in ``held``: of triples, both of whose pairs are in its cells.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(list(held))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, size = [], 0
         for language, words in _by_language(batches):
-            kinds, _, pairs = _cells(language, words)
-            cell, rows = np.unique(pairs, return_counts=True)
-            cell, rows = np.append(cell, kinds), np.append(rows, np.bincount(words.codes, minlength=len(kinds)))
-            yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(rows)], ["cell", "rows"])
-
-    # counted per chunk already: a task keeps no table of the cells
-    cells = _texts(docs, text, lang).mapInArrow(counted, "cell BIGINT, rows BIGINT").repartition("cell")
-    cells = cells.groupBy("cell").agg(F.sum("rows").alias("rows")).where(F.col("rows") >= least)
-    place = F.col("cell") + 1
-    blocks = cells.groupBy(F.bitmap_bucket_number(place).alias("block")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
-    held = np.zeros((1 << CELL_BITS) // 8, np.uint8)
-    for block, bits in blocks.collect():  # at most 8 MB, whatever the table
-        held[(block - 1) * len(bits) : block * len(bits)] = np.frombuffer(bits, np.uint8)
-    return held
-
-
-def _runs(lang: str, words: Words, held: np.ndarray) -> np.ndarray:
-    """For each word the number of words (itself included, four at most) until its run ends; 0 if it is rare."""
-    kinds, paired, pairs = _cells(lang, words)
-    paired[paired] = _marked(held, pairs)
-    on = np.append(paired, False)
-    reach, ahead = _marked(held, kinds)[words.codes].astype(np.int8), on.copy()
-    for step in range(1, LONGEST):
-        reach += ahead
-        ahead &= np.append(on[step:], np.zeros(min(step, len(on)), bool))
-    return reach
+            runs = _Runs(language, words, shared.value)
+            found += [runs.triples] if shared.value else [runs.pairs, runs.kinds[words.codes]]
+            size += sum(map(len, found[-2:]))
+            if size >= _TOGETHER:
+                yield _handed_over(found, least)
+                found, size = [], 0
+        if found:
+            yield _handed_over(found, least)
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = np.min_scalar_type(least)
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, entries in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                count = len(entries) // (2 + kind.itemsize)
+                low, n = np.frombuffer(entries, np.uint16, count), np.frombuffer(entries, kind, count, 2 * count)
+                own = sums.setdefault(block, np.zeros(_BLOCK, kind))
+                own[low] = np.minimum(own[low].astype(np.int64) + n, least)
+        bits = [np.packbits(own >= least, bitorder="little").tobytes() for own in sums.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(bits, pa.binary())], ["block", "bits"])
+
+    cells = _texts(docs, text, lang).mapInArrow(counted, "block INT, entries BINARY").repartition("block")
+    made = np.zeros((1 << CELL_BITS) // 8, np.uint8)
+    for block, bits in cells.mapInArrow(summed, "block INT, bits BINARY").collect():  # at most 8 MB, whatever the table
+        made[block * _BLOCK // 8 : (block + 1) * _BLOCK // 8] = np.frombuffer(bits, np.uint8)
+    return made
 
 
 def _distinct(words: Words, reach: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -125,16 +169,15 @@ def _distinct(words: Words, reach: np.ndarray) -> tuple[pa.Array, np.ndarray, np
     return pc.binary_join_element_wise(*parts, " ", null_handling="skip"), reach[first], weights
 
 
-def edges(docs: DataFrame, held: np.ndarray, text: str = "text", lang: str = "lang") -> DataFrame:
+def edges(docs: DataFrame, held: Sequence[np.ndarray], text: str = "text", lang: str = "lang") -> DataFrame:
     """(lang, phrase, words, weight) of all edges; the empty phrase has the number of all words."""
-    shared = docs.sparkSession.sparkContext.broadcast(held.tobytes())
+    shared = docs.sparkSession.sparkContext.broadcast(list(held))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.frombuffer(shared.value, np.uint8)
         for language, words in _by_language(batches):
             if not len(words.codes):
                 continue
-            phrases, sizes, weights = _distinct(words, _runs(language, words, bits))
+            phrases, sizes, weights = _distinct(words, _Runs(language, words, shared.value).reach)
             columns = [
                 pa.array([language] * (len(phrases) + 1), pa.string()),
                 pa.concat_arrays([phrases, pa.array([""])]),
@@ -143,7 +186,7 @@ def edges(docs: DataFrame, held: np.ndarray, text: str = "text", lang: str = "la
             ]
             yield pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "words", "weight"])
 
-    made = _texts(docs, text, lang).mapInArrow(counted, "lang STRING, phrase STRING, words BYTE, weight BIGINT").repartition(*_KEY)
+    made = _texts(docs, text, lang).mapInArrow(counted, "lang STRING, phrase STRING, words BYTE, weight BIGINT")
     return made.groupBy(*_KEY, "words").agg(F.sum("weight").alias("weight"))
 
 
@@ -264,7 +307,9 @@ class Graph:
     def __init__(self, docs: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST):
         self.scratch = Scratch(docs.sparkSession, "collocations")
         with arrow_rows(docs.sparkSession, ROWS):
-            counted = self.scratch.store(edges(docs, frequent_cells(docs, text, lang, least), text, lang), "edges")
+            held = [frequent_cells(docs, (), text, lang, least)]
+            held.append(frequent_cells(docs, held, text, lang, least))
+            counted = self.scratch.store(edges(docs, held, text, lang), "edges")
         self.totals = counted.where("words = 0").select("lang", F.col("weight").alias("n"))
         self.counts = self.scratch.store(flows(counted, least), "counts")
         self.nodes = self.scratch.store(nodes(self.counts), "nodes")
