@@ -10,7 +10,8 @@ from jobtide.operators import logs
 from jobtide.plans.adapters import table, view, with_views
 from jobtide.session import run_dir
 from jobtide.sinks.files import write_listing, write_pointers
-from jobtide.sources import logfiles
+from jobtide.sources import lineindex, logfiles
+from jobtide.sources.ranges import write_files
 
 _NOW = "TIMESTAMP '2024-06-01 00:00:00'"
 
@@ -248,6 +249,48 @@ SELECT 'cds-' || CAST(d.doc_id AS VARCHAR) AS job_name,
 FROM documents d LEFT JOIN log_pointers p ON p.doc_id = d.doc_id"""
 
 
+def _odd_logs(spark: SparkSession, sf: str) -> str:
+    """The texts as log files of which some have names that begin with ``_`` or ``.``: one per route and language."""
+    folder = run_dir(spark, "odd-logs")
+    texts = table(spark, sf, "documents").where("text is not null")
+    name = F.concat(F.element_at(F.create_map(F.lit("en"), F.lit("_"), F.lit("de"), F.lit("."), F.lit("fr"), F.lit("")), "lang"), F.col("lang"), F.lit("/"), F.col("doc_id"))
+    path = F.concat(F.lit(f"{folder}/"), "source", F.lit("/"), F.coalesce(name, F.concat(F.lit("other/."), F.col("doc_id"))))
+    write_files(texts.select(path.alias("path"), F.col("text").alias("content")))
+    return folder
+
+
+def indexed_lines(spark, sf):
+    """Lines of logs of any name by an index of their blocks; a second index of the same files counts nothing."""
+    folder, root = _odd_logs(spark, sf), run_dir(spark, "line-index")
+    for version in (0, 1):
+        index = lineindex.refresh_index(spark, folder, root, version, width=1 << 14)
+    again = index.where("counted_in = 1").agg(F.count(F.lit(1)).alias("counted_again"))
+    lines = lineindex.all_lines(index)
+    shown = lines.select("route", F.regexp_extract("log", r"([0-9]+)$", 1).cast("bigint").alias("doc_id"), "line_no", F.md5("line").alias("line_md5"))
+    return shown.withColumn("counted_again", F.lit(again.first()[0]))
+
+
+_TEXT_LINES = """SELECT source AS route, doc_id, pieces, unnest(range(1, len(pieces) + CASE WHEN pieces[-1] = '' THEN 0 ELSE 1 END)) AS i
+    FROM (SELECT source, doc_id, string_split(text, chr(10)) AS pieces FROM documents WHERE text IS NOT NULL)"""
+INDEXED_SQL = f"""
+SELECT route, doc_id, CAST(i - 1 AS BIGINT) AS line_no, md5(pieces[i]) AS line_md5, CAST(0 AS BIGINT) AS counted_again FROM ({_TEXT_LINES})"""
+
+
+def indexed_lines_from(spark, sf):
+    """The lines from a given one on, of each log; blocks before it are not read."""
+    folder = _odd_logs(spark, sf)
+    index = lineindex.refresh_index(spark, folder, run_dir(spark, "line-index"), 0, width=1 << 14)
+    number = F.regexp_extract("log", r"([0-9]+)$", 1).cast("bigint")
+    wanted = index.select("route", "log").distinct().select("route", "log", (number % 40).alias("from_line"), (number % 40 + 25).alias("until_line"))
+    lines = lineindex.lines_between(index, wanted)
+    return lines.select("route", number.alias("doc_id"), "line_no", F.md5("line").alias("line_md5"))
+
+
+INDEXED_FROM_SQL = f"""
+SELECT route, doc_id, CAST(i - 1 AS BIGINT) AS line_no, md5(pieces[i]) AS line_md5 FROM ({_TEXT_LINES})
+WHERE i - 1 >= doc_id % 40 AND i - 1 < doc_id % 40 + 25"""
+
+
 def listing_ndjson(spark, sf):
     """The listing written as one JSON object per line and read back."""
     folder = run_dir(spark, "listing")
@@ -276,4 +319,6 @@ QUERIES = {
     "pointer_links": (pointer_links, POINTERS_SQL),
     "route_directories": (route_directories, DIRECTORIES_SQL),
     "listing_ndjson": (listing_ndjson, NDJSON_SQL),
+    "indexed_lines": (indexed_lines, INDEXED_SQL),
+    "indexed_lines_from": (indexed_lines_from, INDEXED_FROM_SQL),
 }

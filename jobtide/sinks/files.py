@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -11,7 +10,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from jobtide import fixed
 from jobtide.functions.text import iso_offset
 from jobtide.operators.messages import ACK, DEAD_LETTER, check_size
-from jobtide.session import run_dir
+from jobtide.sources.ranges import write_files
 
 
 def _replacing(df: DataFrame, *folders: str):
@@ -104,23 +103,17 @@ def write_listing(files: DataFrame, path: str, mode: str = "append") -> None:
     ).write.mode(mode).json(path)
 
 
-def write_pointers(pointers: DataFrame, base: str) -> None:
-    """One text file per job with the path of its log (``job_name``, ``log_path``).
+def write_pointers(pointers: DataFrame, base: str) -> int:
+    """One text file per job with the path of its log (``job_name``, ``log_path``); returns how many.
 
-    The tasks write the files, the driver only gives them their names.
+    Tasks write the files, each under its final name; the driver does nothing per job.  Of several rows of a job the
+    greatest path counts, whatever task it is in.  A pointer that is written again is replaced.
     """
-    spark = pointers.sparkSession
-    draft = run_dir(spark, "pointer-files")
-    encoded = F.url_encode("job_name").alias("file")
-    pointers.select(encoded, F.col("log_path").alias("value")).write.partitionBy("file").option("lineSep", "\n").text(draft)
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    target = f"{base.rstrip('/')}/{fixed.POINTER_DIR}"
-    system = hadoop.Path(draft).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    system.mkdirs(hadoop.Path(target))
-    for row in spark.read.option("recursiveFileLookup", True).text(draft).select("_metadata.file_path").distinct().toLocalIterator():
-        made = hadoop.Path(unquote(row["file_path"]))
-        name = unquote(made.getParent().getName().removeprefix("file="))
-        system.rename(made, hadoop.Path(target, name + fixed.POINTER_SUFFIX))
+    target = f"{base.rstrip('/')}/{fixed.POINTER_DIR}/"
+    one = pointers.where("job_name is not null").groupBy("job_name").agg(F.max("log_path").alias("log_path"))
+    path = F.concat(F.lit(target), F.url_encode("job_name"), F.lit(fixed.POINTER_SUFFIX))
+    # a file's content ends its only line
+    return write_files(one.select(path.alias("path"), F.concat(F.coalesce("log_path", F.lit("")), F.lit("\n")).alias("content")))
 
 
 # --- states and positions: small appended tables, the newest entry counts --------------

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import posixpath
 import re
 from collections.abc import Sequence
 from functools import reduce
@@ -10,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 
 from jobtide import fixed
 from jobtide.session import ensure_checkpoint_dir, pin_splits
+from jobtide.sources.ranges import list_tree, read_files, read_packed
 
 # Rows of the block index that one broadcast carries (about 100 bytes each).
 BLOCKS_PER_BROADCAST = 2_000_000
@@ -33,31 +35,21 @@ def _route_and_log(relative: Column) -> dict[str, Column]:
 
 # Spark's text reader unpacks these; the size of such a file says nothing about its text.
 PACKED = r"\.(?:gz|bz2|deflate|lz4|snappy|zst)$"
+# of these, the forms that only Spark's reader knows
+_ONLY_SPARK = r"\.(?:lz4|snappy)$"
 
 
 def list_files(spark: SparkSession, base: str) -> DataFrame:
     """Route, log, path, size and time of each file, also of empty and of ``_`` or ``.`` names.
 
-    The driver lists names and sizes, as Spark's file index does; contents are not read.  Spark's own listing is
-    not used because it passes over empty files and over such names.
+    Folders are listed by tasks, level by level; contents are not read.  Spark's own listing is
+    not used because it passes over empty files and over such names, and lists in the driver.
     """
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(base)
-    found = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(root, True)
-    rows = []
-    while found.hasNext():
-        file = found.next()
-        rows.append((file.getPath().toString(), file.getLen(), file.getModificationTime()))
-    files = spark.createDataFrame(rows, "path STRING, size BIGINT, millis BIGINT")
     return (
-        files.withColumn("__rel", _relative(F.col("path"), base, encoded=False))
+        list_tree(spark, base)
+        .withColumn("__rel", _relative(F.col("path"), base, encoded=False))
         .where(F.col("__rel").contains("/") & ~F.col("__rel").rlike(r"(?:^|/)\.[^/]*\.crc$"))
-        .select(
-            *[c.alias(n) for n, c in _route_and_log(F.col("__rel")).items()],
-            "path",
-            "size",
-            F.timestamp_millis("millis").alias("last_modified"),
-        )
+        .select(*[c.alias(n) for n, c in _route_and_log(F.col("__rel")).items()], "path", "size", "last_modified")
     )
 
 
@@ -136,22 +128,33 @@ def read_lines(spark: SparkSession, base: str, per_log: DataFrame | None = None)
     return number_lines(raw, block_index(raw, base), base, per_log)
 
 
+def packed_lines(spark: SparkSession, files: DataFrame) -> DataFrame:
+    """Lines of packed files with the columns of ``files`` (one row per file) and ``line_no``; a file is one unit of work."""
+    mine = files.where(~F.col("path").rlike(_ONLY_SPARK))
+    lines = read_packed(mine).withColumnRenamed("place", "line_no")
+    others = files.where(F.col("path").rlike(_ONLY_SPARK))
+    # two rare forms, whose names Spark's reader wants in the driver
+    paths = [row["path"] for row in others.select("path").collect()]
+    if paths:
+        base = posixpath.commonpath([posixpath.dirname(posixpath.dirname(path)) for path in paths])
+        raw = raw_lines(spark, base, paths)
+        numbered = number_lines(raw, block_index(raw, base), base).select("route", "log", "line_no", "line")
+        lines = lines.unionByName(numbered.join(others, ["route", "log"]).select(*lines.columns))
+    return lines
+
+
 def in_file_order(lines: DataFrame) -> DataFrame:
     """Lines sorted by route, log and place."""
     return lines.orderBy("route", "log", "line_no")
 
 
 def read_pointers(spark: SparkSession, base: str) -> DataFrame:
-    """Job name and content of each pointer file."""
+    """Job name and content of each pointer file; listed and read by tasks."""
     folder = f"{base.rstrip('/')}/{fixed.POINTER_DIR}"
-    name = F.regexp_extract("_metadata.file_name", r"^(.*)\.txt$", 1)
-    read = spark.read.text(folder, wholetext=True, recursiveFileLookup=True)
-    return (
-        read.where(F.col("_metadata.file_name").endswith(fixed.POINTER_SUFFIX))
-        .select(
-            F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))).alias("job_name"),
-            F.col("value").alias("log_path"),
-        )
+    files = list_tree(spark, folder).where(F.col("path").endswith(fixed.POINTER_SUFFIX))
+    name = F.regexp_extract("path", r"([^/]*)\.txt$", 1)
+    return read_files(files).select(
+        F.coalesce(F.try_url_decode(name), name).alias("job_name"), F.col("content").alias("log_path")
     )
 
 
