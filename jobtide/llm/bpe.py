@@ -1,7 +1,10 @@
-"""BPE encoding and decoding of whole texts with a public tokenizer file.
+"""BPE encoding and decoding of whole texts with a public tokenizer file of one form.
+
+The file has to normalise by NFC, blanks and lower case and to cut words as ``word_bpe_49k.json`` does; others are refused.
 
 **Short texts** are cut at ASCII blanks (which no token, no normalisation and no merge of these
-files crosses) and each word's ids are kept per process, so words met again cost one look-up.
+files crosses) and each word's ids are kept per process, so words met again cost one look-up.  ASCII letters
+are lowered before, but for words with a capital before a mark: normalisation may join these two first.
 
 **Long texts** are encoded by tree concatenation.  The text is cut into leaves of ``LEAF`` code
 points without regard to words; the leaves are encoded in parallel tasks and joined pairwise, as a
@@ -28,17 +31,21 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import pandas_udf
 
+from jobtide.llm.words import split_words
+
 LEAF = 16384
 WINDOW = 64
 REACH = 1024  # characters at both ends of a leaf whose tokens are placed
 EDGE = 4096  # places kept at both ends of a joined stretch
 KEPT_WORDS = 900_000  # some 170 MB
 KEPT_MARKS = 10_000
-PORTION = 500_000  # characters whose words are looked up together
+PORTION = 3_000_000  # characters whose words are looked up together
 LONGEST_KEPT = 64  # bytes
+ASCII_BLANKS = bytes([0x20, *range(0x09, 0x0E)])
 ID = np.dtype("<u4")
 
 
@@ -48,8 +55,17 @@ def word_tokenizer_file() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+# how files of this form show their normaliser and the cut into words (fixed values)
+_FORM = (
+    'Sequence(normalizers=[NFC(), Replace(pattern=Regex("\\s+"), content=" "), Lowercase()])',
+    'Sequence(pretokenizers=[Split(pattern=Regex("\'s|\'t|\'re|\'ve|\'m|\'ll|\'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"), behavior=Removed, invert=True), ByteLevel(add_prefix_space=False, trim_offsets=True, use_regex=False)])',
+)
+
 # a line: lower-case Latin letters (one token group, in normal form already) and marks after them
 # (one more group), or anything else
+# normalisation joins a capital and the marks behind it before letters are lowered; marks begin at U+0300
+_CAPITAL_BEFORE_MARK = re.compile(rb"[A-Z][\xcc-\xf4]")
+_KEEPS_CASE = re.compile("<\\||[A-Z][\u0300-\U0010ffff]")
 _PARTS = re.compile(r"^(?:([a-zß-öø-ɏ]+)([!-/:-@\[-`{-~]*)|(.+))$", re.MULTILINE)
 
 
@@ -71,6 +87,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
+        form = str(self.tokenizer.normalizer), str(self.tokenizer.pre_tokenizer)
+        if form != _FORM:
+            raise ValueError(f"words are not cut and normalised here as in {file}: {form}")
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.merges = Tokenizer(self.tokenizer.model)
@@ -107,21 +126,38 @@ class Encoder:
             self.marks[marks] = ids
         return ids
 
-    def _portion(self, texts: list[str]) -> list[bytes]:
-        data = [text.encode() for text in texts]
-        # special tokens are told by their case, all else is lowered anyway
-        words = [(one if b"<|" in one else one.lower()).split() for one in data]
-        # a small table for these texts: the large one is asked once for each different word
-        every = list(set().union(*words))
-        here = dict(zip(every, map(self.known.get, every)))
-        new = [word for word, ids in here.items() if ids is None]
+    def _known(self, words: list[bytes]) -> list[bytes]:
+        """Ids of different words."""
+        found = list(map(self.known.get, words))
+        new = [word for word, ids in zip(words, found) if ids is None]
         if new:
             learned = self._learn(new)
-            here.update(learned)
+            found = [learned[word] if ids is None else ids for word, ids in zip(words, found)]
             if len(self.known) > KEPT_WORDS:
                 self.known.clear()
             self.known.update(learned if max(map(len, new)) <= LONGEST_KEPT else {w: ids for w, ids in learned.items() if len(w) <= LONGEST_KEPT})
-        return [b"".join(map(here.__getitem__, one)) for one in words]
+        return found
+
+    def _portion(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts all of whose ASCII letters may be lowered at once."""
+        words = split_words(pa.array(texts, pa.string()), ASCII_BLANKS)
+        found = self._known(words.different.cast(pa.binary()).to_pylist())
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // ID.itemsize
+        starts, every = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(found), ID)
+        # the ids of each word of the texts, one after the other
+        size = sizes[words.codes]
+        ends = np.cumsum(size)
+        ids = every[np.repeat(starts[words.codes] - (ends - size), size) + np.arange(size.sum())].tobytes()
+        last = np.searchsorted(words.text, np.arange(len(texts)), side="right")
+        bounds = [0, *(np.append(0, ends)[last] * ID.itemsize).tolist()]
+        return [ids[i:j] for i, j in zip(bounds, bounds[1:])]
+
+    def _word_by_word(self, text: str) -> bytes:
+        """Ids of a text with words that must keep their case until they are normalised, or whose case tells a special token."""
+        words = [one if b"<|" in one or _CAPITAL_BEFORE_MARK.search(one) else one.lower() for one in text.encode().split()]
+        different = list(set(words))
+        ids = dict(zip(different, self._known(different)))
+        return b"".join(map(ids.__getitem__, words))
 
     def encode_all(self, texts: Iterable[str]) -> Iterator[bytes]:
         """Ids of each text; the unknown words of a few texts are learned together."""
@@ -129,7 +165,9 @@ class Encoder:
             # millions of small objects without cycles: the collector would only walk over them
             gc.disable()
             try:
-                coded = self._portion(some)
+                odd = [bool(_KEEPS_CASE.search(text)) for text in some]
+                plain = iter(self._portion([text for text, is_odd in zip(some, odd) if not is_odd]))
+                coded = [self._word_by_word(text) if is_odd else next(plain) for text, is_odd in zip(some, odd)]
             finally:
                 gc.enable()
             yield from coded

@@ -1,6 +1,7 @@
 """BPE and packing against the tokenizers library."""
 
 import random
+import string
 import zlib
 
 import numpy as np
@@ -69,6 +70,37 @@ def test_tree_with_short_edges(text, leaf, reach):
         bpe.REACH, bpe.EDGE = before
 
 
+MARKED = st.tuples(
+    st.sampled_from("ABCDEFGHIJKLMNOPQRSTUVWXYZaé"), st.lists(st.characters(min_codepoint=0x300, max_codepoint=0x331), max_size=3).map("".join), st.sampled_from(["", " ", "x", "\u0591", "\u0308", "."])
+).map("".join)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(MARKED | st.sampled_from(["word ", "Word", "<|endoftext|>", " "]), max_size=12).map("".join), st.integers(1, 30))
+def test_capitals_before_marks(text, leaf):
+    made = bpe.encoder(bpe.word_tokenizer_file())
+    whole = np.frombuffer(next(made.encode_all([text])), bpe.ID)
+    assert whole.tolist() == ids(text) == bpe.encode_tree(made, text, leaf)
+    assert made.decode(whole.tobytes()) == PLAIN.decode(ids(text), skip_special_tokens=False)
+
+
+def test_a_capital_before_a_mark_has_the_same_ids_anywhere(coder):
+    for letter in string.ascii_uppercase:
+        for mark in map(chr, range(0x300, 0x332)):
+            assert np.frombuffer(next(coder.encode_all([letter + mark])), bpe.ID).tolist() == ids(letter + mark)
+    for place in (0, 3_600, 12_000, 23_990):
+        text = "word " * 4_800
+        text = text[:place] + " J\u030c T\u0308 " + text[place:]
+        assert bpe.encode_tree(coder, text) == ids(text) == np.frombuffer(next(coder.encode_all([text])), bpe.ID).tolist()
+
+
+def test_other_forms_are_refused():
+    import public_tokenizers
+
+    with pytest.raises(ValueError, match="not cut and normalised"):
+        bpe.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def odd_texts():
     rng = random.Random(9)
     unsplit = "".join(rng.choices("abcdefgh", k=50_000))
