@@ -24,7 +24,7 @@ from jobtide.session import run_dir, written
 from jobtide.sinks.files import compact_states, last_position, read_states, record_position, recover_position
 from jobtide.sources.events import read_events, stream_events
 from jobtide.sources.queue import from_kafka, stream_messages
-from jobtide.streaming import launch as launches, runner, status, tail
+from jobtide.streaming import delayed, launch as launches, runner, states, status, tail
 
 
 def _watch_files(spark: SparkSession, sf: str) -> str:
@@ -218,6 +218,56 @@ UNION ALL
 SELECT 1, 'dead_letter', reason, count(*) FROM verdicts WHERE handler = 'statuses' AND disposition = 'dead_letter' GROUP BY reason"""
 
 
+def delayed_retries(spark, sf):
+    """Requeued messages come back 5 seconds later for each attempt, on a clock that goes in steps of 5 seconds."""
+    incoming = _message_files(statuses(spark, sf), spark)
+    root, checkpoint = run_dir(spark, "stream"), run_dir(spark, "checkpoint")
+    handler = mq.Handler("patient", JOBS, fixed.STATUS_PATTERN, fixed.STATUS_SCHEMA, _not_yet)
+    releases = f"{root}/{delayed.RELEASES}"
+    statuses(spark, sf).where(F.lit(False)).write.parquet(f"{releases}/start")
+    clock = {}
+    for now in (0, 5, 10, 15, 20):
+        delayed.release_due(spark, root, now - 5, now)
+        stream = stream_messages(spark, [incoming, releases])
+        delayed.run_delayed_stream(stream, [handler], checkpoint, root, now, _PATIENCE).awaitTermination()
+        done = spark.read.parquet(f"{root}/{runner.VERDICTS}").agg(F.max("batch")).first()[0]
+        clock.setdefault(done, now)
+    verdicts = spark.read.parquet(f"{root}/{runner.VERDICTS}")
+    times = F.create_map(*[F.lit(x) for pair in clock.items() for x in pair])
+    seconds = F.element_at(times, F.col("batch").cast("int")).cast("bigint")
+    return verdicts.groupBy(F.col("attempt").cast("bigint").alias("attempt"), "disposition", "reason", seconds.alias("seconds")).agg(
+        F.count(F.lit(1)).alias("messages")
+    )
+
+
+DELAYED_SQL = f"""
+SELECT attempt, disposition, reason, messages, CAST(5 * attempt * (attempt - 1) // 2 AS BIGINT) AS seconds FROM ({RETRY_STREAM_SQL})"""
+
+
+def state_lookup_stream(spark, sf):
+    """Each change next to the last recorded state of its job, over four batches; states are kept from batch to batch."""
+    events = view(spark, sf, "job_events")
+    shape = "resource_version BIGINT, watch_type STRING, object_kind STRING, uid STRING, name STRING, namespace STRING, active INT, failed INT, succeeded INT, start_time TIMESTAMP"
+    newest = events.agg(F.max("resource_version")).first()[0]
+    folder, root, checkpoint = run_dir(spark, "events"), run_dir(spark, "states"), run_dir(spark, "checkpoint")
+    quarter = F.least(F.floor(F.col("resource_version") * 4 / (newest + 1)), F.lit(3))
+    for part in range(4):
+        events.where(quarter == part).select(*[c.split()[0] for c in shape.split(", ")]).write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(shape).parquet(folder)
+        states.run_lookup_stream(stream, checkpoint, root).awaitTermination()
+    looked = spark.read.parquet(f"{root}/{states.LOOKED_UP}")
+    return looked.select("resource_version", "uid", "status", "deleted", "last_status")
+
+
+LOOKUP_STREAM_SQL = classified_sql(
+    entries="""SELECT uid, resource_version, name, status, false AS deleted FROM classified
+        UNION ALL SELECT uid, resource_version, name, NULL, true FROM job_events
+        WHERE object_kind = 'Job' AND watch_type = 'DELETED'""",
+) + """
+SELECT resource_version, uid, status, deleted, CASE WHEN NOT lag(deleted) OVER w THEN lag(status) OVER w END AS last_status
+FROM entries WINDOW w AS (PARTITION BY uid ORDER BY resource_version)"""
+
+
 def launch_stream(spark, sf):
     """Launches planned by a stream in several batches: names as if they had come at once."""
     arriving = uploads(spark, sf)
@@ -386,5 +436,7 @@ QUERIES = {
     "state_stream": (state_stream, STATE_SQL),
     "message_stream": (message_stream, MESSAGE_STREAM_SQL),
     "retry_stream": (retry_stream, RETRY_STREAM_SQL),
+    "delayed_retries": (delayed_retries, DELAYED_SQL),
+    "state_lookup_stream": (state_lookup_stream, LOOKUP_STREAM_SQL),
     "tail_stream": (tail_stream, TAIL_STREAM_SQL),
 }
