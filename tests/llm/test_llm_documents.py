@@ -10,6 +10,7 @@ import pytest
 import corpus_pipeline
 from jobtide.llm import near_dedup, order_minhash, quality_classifier, sharding
 from jobtide.llm.components import connected_components
+from jobtide.llm.tables import stored
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT"
@@ -120,6 +121,28 @@ def test_components(spark):
     assert connected_components(spark.createDataFrame([], "a STRING, b STRING")).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["rising", "falling", "random", "hub"])
+def test_components_take_few_rounds(spark, kind):
+    size = 2_000
+    names = list(range(size))
+    if kind == "falling":
+        names.reverse()
+    if kind == "random":
+        random.Random(4).shuffle(names)
+    edges = [(size, name) for name in range(100_000)] if kind == "hub" else list(zip(names, names[1:]))
+    steps = []
+
+    def store(df, name):
+        steps.append(name)
+        return stored(df, name)
+
+    rows = connected_components(spark.createDataFrame(edges, "a BIGINT, b BIGINT"), store=store)
+    assert rows.where("component = 0").count() == rows.count() == len({x for e in edges for x in e})
+    # a chain in random order is halved at least every second round; ordered ones and hubs are one tree
+    assert steps.count("parents") <= (8 if kind == "random" else 2)
+    assert steps.count("parents") + steps.count("jumps") <= (30 if kind == "random" else 14)
+
+
 def test_fingerprints(spark):
     rng = random.Random(6)
     long = "".join(rng.choices("abcdefgh ", k=40_000))
