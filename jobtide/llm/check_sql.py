@@ -91,9 +91,17 @@ def _path(url: str) -> str:
     return rf"coalesce(regexp_extract({url}, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '')"
 
 
+def _dotless(path: str) -> str:
+    segments = f"string_split(substr({path}, 2), '/')"
+    walked = f"""list_reduce(list_concat([[]::VARCHAR[]], list_transform({segments}, lambda s: [s])),
+      lambda kept, s: CASE s[1] WHEN '.' THEN kept WHEN '..' THEN kept[1:greatest(len(kept) - 1, 0)] ELSE list_concat(kept, s) END)"""
+    ended = f"CASE WHEN {segments}[-1] IN ('.', '..') THEN list_concat({walked}, ['']) ELSE {walked} END"
+    return f"CASE WHEN {path} = '' THEN '/' ELSE '/' || array_to_string({ended}, '/') END"
+
+
 def _address(url: str) -> str:
-    rest = rf"regexp_extract({url}, '(?s)^.*?://[^/?#]*([^#]*)', 1)"
-    return f"CASE WHEN {_host(url)} <> '' THEN {_host(url)} || CASE WHEN starts_with({rest}, '/') THEN {rest} ELSE '/' || {rest} END END"
+    query = rf"regexp_extract({url}, '(?s)^.*?://[^?#]*(\?[^#]*)', 1)"
+    return f"CASE WHEN {_host(url)} <> '' THEN {_host(url)} || {_dotless(_path(url))} || {query} END"
 
 
 URLS = rf"""
@@ -112,9 +120,11 @@ found AS (
 ends AS (
   SELECT url, CASE WHEN link = '' THEN NULL
     WHEN regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN link
+    WHEN regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN NULL
     WHEN starts_with(link, '//') THEN regexp_extract(url, '(?s)^(.*?)://', 1) || ':' || link
     WHEN starts_with(link, '/') THEN regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) || link
     WHEN starts_with(link, '#') THEN url
+    WHEN starts_with(link, '?') THEN regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) || {_path("url")} || link
     ELSE regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) || coalesce(nullif(regexp_extract({_path("url")}, '(?s)^(.*/)', 1), ''), '/') || link END AS goal
   FROM found),
 edges AS (SELECT DISTINCT {_address("url")} AS a, {_address("goal")} AS b FROM ends WHERE {_address("url")} <> {_address("goal")}),

@@ -44,11 +44,23 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+def without_dots(path: Column) -> Column:
+    """A path with its ``.`` and ``..`` segments carried out, as RFC 3986 (5.2.4) says; one that is empty is ``/``."""
+    segments = F.split(F.substr(path, F.lit(2)), "/")
+    none = F.array().cast("array<string>")
+    up = lambda kept: F.slice(kept, 1, F.greatest(F.size(kept) - 1, F.lit(0)))
+    walked = F.aggregate(
+        segments, none, lambda kept, s: F.when(s == ".", kept).when(s == "..", up(kept)).otherwise(F.concat(kept, F.array(s)))
+    )
+    ended = F.when(F.element_at(segments, -1).isin(".", ".."), F.concat(walked, F.array(F.lit("")))).otherwise(walked)
+    walked = F.concat(F.lit("/"), F.array_join(ended, "/"))
+    return F.when(path == "", F.lit("/")).when(path.rlike(r"/\.\.?(/|$)"), walked).otherwise(path)
+
+
 def address_of(url: Column) -> Column:
-    """What identifies a page: host, path and query; no scheme, no fragment; null without ``://``."""
-    rest = F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^#]*)", 1)
-    rest = F.when(rest.startswith("/"), rest).otherwise(F.concat(F.lit("/"), rest))
-    return F.when(host_of(url) != "", F.concat(host_of(url), rest))
+    """What identifies a page: host, path without dot segments and query; no scheme, no fragment; null without ``://``."""
+    query = F.regexp_extract(url, r"(?s)^.*?://[^?#]*(\?[^#]*)", 1)
+    return F.when(host_of(url) != "", F.concat(host_of(url), without_dots(path_of(url)), query))
 
 
 def fitting_rule(host: Column, path: Column, rules=RULES) -> Column:
@@ -71,7 +83,7 @@ def fitting_rule(host: Column, path: Column, rules=RULES) -> Column:
 
 
 def _resolved(link: Column, url: Column) -> Column:
-    """A link's full address, seen from the page's."""
+    """A link's full address, seen from the page's, as RFC 3986 (5.2.2) says; null for schemes without a host."""
     scheme = F.regexp_extract(url, r"(?s)^(.*?)://", 1)
     site = F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*)", 1)
     folder = F.regexp_extract(path_of(url), r"(?s)^(.*/)", 1)
@@ -79,9 +91,11 @@ def _resolved(link: Column, url: Column) -> Column:
     return (
         F.when(link == "", F.lit(None).cast("string"))
         .when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), link)
+        .when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None).cast("string"))
         .when(link.startswith("//"), F.concat(scheme, F.lit(":"), link))
         .when(link.startswith("/"), F.concat(site, link))
         .when(link.startswith("#"), url)
+        .when(link.startswith("?"), F.concat(site, path_of(url), link))
         .otherwise(F.concat(site, folder, link))
     )
 
