@@ -1,15 +1,16 @@
 """Connected components of a graph given as an edge table, by repeated contraction.
 
-In each round every node takes the smallest node among itself and its neighbours as parent, parents are
-followed up to the root of their tree, the edges move to the roots, and edges inside a tree disappear.  A
-root is smaller than all its neighbours.  Of a root that no node has taken as parent, a neighbour has
-taken a smaller node, so it is no root in the next round: with every two rounds at least half of the nodes go.
-The way up is halved by every join, so a chain of n nodes takes about log2(n) of them, whatever the order of its names.
+In each round every node takes the smallest node among itself and its neighbours as parent, the
+edges move to the parents, and edges inside a parent disappear.  While this takes away a quarter of the edges or more, it
+goes on so.  From the first round that takes less (chains whose names rise lose one link a round), parents are followed up to
+the root of their tree before the edges move.  A root is smaller than all its neighbours.  Of a root that no node has taken as
+parent, a neighbour has taken a smaller node, so it is no root in the next round: with every two such rounds at least half of
+the nodes go.  The way up is halved by every join.  So rounds grow with the logarithm of the graph, whatever the order of its names.
 
 Each step's tables are written to the shared folder, so the lineage
 stays short and the joins are planned with known sizes; a node with very many edges is a skewed join key
 that adaptive execution splits, and its minimum is reduced before the shuffle.
-Nothing but the answer whether rows are left reaches the driver.
+Nothing but one row count per round reaches the driver.
 """
 
 from __future__ import annotations
@@ -42,18 +43,22 @@ def connected_components(
     """
     one = edges.where(F.col(a) != F.col(b)).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
     left = store(one, "edges")
-    labels = None
+    labels, count, close = None, left.count(), False
     while True:
         both = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
         parent = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("parent"))
-        parent = _roots(store(parent.select("node", F.least("node", "parent").alias("parent")), "parents"), store)
+        parent = store(parent.select("node", F.least("node", "parent").alias("parent")), "parents")
+        if close:
+            parent = _roots(parent, store)
         if labels is None:
-            labels = store(parent.select("node", F.col("parent").alias("component")), "labels")
+            labels = parent.select("node", F.col("parent").alias("component"))
         else:
             moved = labels.join(parent.withColumnRenamed("node", "component"), "component", "left")
             labels = store(moved.select("node", F.coalesce("parent", "component").alias("component")), "labels")
         low, high = parent.toDF("a", "pa"), parent.toDF("b", "pb")
         moved = left.join(low, "a").join(high, "b").where("pa != pb")
         left = store(moved.select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct(), "edges")
-        if left.isEmpty():
+        before, count = count, left.count()
+        if count == 0:
             return labels
+        close = close or 4 * count > 3 * before
