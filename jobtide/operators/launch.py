@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import copy
 import json
-from collections.abc import Collection, Mapping
+from collections.abc import Callable, Collection, Mapping
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
@@ -96,12 +96,14 @@ def plan_launches(
     namespace: str,
     base_labels: Mapping[str, str] | None = None,
     slice_width: int = DEFAULT_SLICE,
-    existing_jobs: DataFrame | None = None,
+    given_slots: Callable[[DataFrame], DataFrame] | None = None,
+    given_jobs: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Job name, metadata path, command and labels of each valid request.
 
-    ``existing`` has the target names in use (``name``), ``existing_jobs`` one row per job name given out before
-    (``job_head``, ``job_suffix`` as this plan returns them).  Target names and job names are unique,
+    ``existing`` has the target names in use (``name``).  What earlier plans have given out is looked up by
+    key: ``given_slots`` returns the bitmaps (``naming.SLOT_WORDS``) of the stems (``stem``) it gets, ``given_jobs`` how often
+    (``given``) the job names it gets (``job_head``, ``job_suffix``) are in use.  Target names and job names are unique,
     also against those.  Requests with a blank stem or without a free target name stay in the
     result as dead letters with a reason and an ``invalid`` outcome.
 
@@ -122,13 +124,14 @@ def plan_launches(
     ).distinct()
     # dealing out reads these few columns several times; bodies and metadata are not among them
     narrow = written(narrow, "launch-names")
-    named = allocate_names(narrow, existing, "delivery_id", slice_width=slice_width, tie="__digest")
+    slots = given_slots(narrow.select("stem")) if given_slots else None
+    named = allocate_names(narrow, existing, "delivery_id", slice_width=slice_width, tie="__digest", given=slots)
     head = ["job_head", "job_suffix"]
     # the suffix comes from a digest, so no head and suffix has more than a few rows
     number = F.row_number().over(W.partitionBy(*head).orderBy("delivery_id", "__digest"))
     named = named.withColumn("__number", number)
-    if existing_jobs is not None:
-        given = existing_jobs.groupBy(*head).agg(F.count(F.lit(1)).alias("__given"))
+    if given_jobs is not None:
+        given = given_jobs(narrow.select(*head)).select(*head, F.col("given").alias("__given"))
         named = named.join(given, head, "left")
         named = named.withColumn("__number", F.col("__number") + F.coalesce("__given", F.lit(0))).drop("__given")
     joined = prepared.join(named.drop("delivery_id"), "__digest")

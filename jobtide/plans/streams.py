@@ -270,22 +270,24 @@ FROM entries WINDOW w AS (PARTITION BY uid ORDER BY resource_version)"""
 
 def launch_stream(spark, sf):
     """Launches planned by a stream in several batches: names as if they had come at once."""
-    arriving = uploads(spark, sf)
-    middle = arriving.agg(F.percentile_approx("delivery_id", 0.5)).first()[0]
-    folder, root = run_dir(spark, "messages"), run_dir(spark, "launches")
-    for part in (F.col("delivery_id") <= middle, F.col("delivery_id") > middle):
-        arriving.where(part).coalesce(1).write.mode("append").parquet(folder)
-    launches.run_launch_stream(
-        stream_messages(spark, [folder], max_files=1),
-        UPLOAD_HANDLER,
-        run_dir(spark, "checkpoint"),
-        root,
-        BASE_PATH,
-        "ns",
-        existing=existing_names(spark, sf),
-        base_labels=BASE_LABELS,
-        template=TEMPLATE,
-    ).awaitTermination()
+    arriving = uploads(spark, sf).persist()
+    newest = arriving.agg(F.max("delivery_id")).first()[0]
+    folder, root, checkpoint = run_dir(spark, "messages"), run_dir(spark, "launches"), run_dir(spark, "checkpoint")
+    third = F.least(F.floor(F.col("delivery_id") * 3 / (newest + 1)), F.lit(2))
+    for part in range(3):
+        arriving.where(third == part).write.mode("append").parquet(folder)
+        launches.run_launch_stream(
+            stream_messages(spark, [folder]),
+            UPLOAD_HANDLER,
+            checkpoint,
+            root,
+            BASE_PATH,
+            "ns",
+            existing=existing_names(spark, sf),
+            base_labels=BASE_LABELS,
+            template=TEMPLATE,
+        ).awaitTermination()
+    arriving.unpersist()
     read = lambda folder: spark.read.parquet(f"{root}/{folder}")
     verdicts = read(runner.VERDICTS).select("delivery_id", "disposition", "reason")
     outcomes = read(runner.OUTCOMES).select("delivery_id", F.col("routing_key").alias("outcome_key"))

@@ -14,24 +14,22 @@ from pyspark.sql.streaming import StreamingQuery
 from jobtide import fixed
 from jobtide.operators import launch, reaping
 from jobtide.operators.messages import ACK, DEAD_LETTER, Handler, fits, unrouted, validate
+from jobtide.operators.naming import SLOT_WORDS, slot_words
 from jobtide.sinks.files import start, write_metadata, write_pod_logs
+from jobtide.sinks.merged import MergedTable
 from jobtide.streaming.runner import DEAD_LETTERS, OUTCOMES, UNROUTED, VERDICTS, batch_folder, run_id
 
 PLANS, NAMES, METADATA, ACTIONS = "plans", "names", "metadata", "actions"
-_NAMES = "name STRING, job_head STRING, job_suffix STRING, run STRING, batch BIGINT"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+def slot_table(spark: SparkSession, root: str, **sizes: int) -> MergedTable:
+    """Taken slots of each stem as one bitmap, for all names that were ever given out below a root."""
+    return MergedTable(spark, f"{root}/slots", ["stem"], {c: ("BIGINT", "bit_or") for c in SLOT_WORDS}, **sizes)
 
 
-def names_before(spark: SparkSession, root: str, run: str, batch_id: int) -> DataFrame:
-    """Names given out by all batches but this one and later ones of the same run."""
-    if not _exists(spark, f"{root}/{NAMES}"):
-        return spark.createDataFrame([], _NAMES)
-    given = spark.read.schema(_NAMES).parquet(f"{root}/{NAMES}")
-    return given.where((F.col("run") != run) | (F.col("batch") < batch_id))
+def job_table(spark: SparkSession, root: str, **sizes: int) -> MergedTable:
+    """How many jobs were given each head and suffix."""
+    return MergedTable(spark, f"{root}/jobs", ["job_head", "job_suffix"], {"given": ("BIGINT", "sum")}, **sizes)
 
 
 def launch_batch(
@@ -48,22 +46,32 @@ def launch_batch(
 ) -> None:
     """Check the requests of one micro-batch, plan their launches, write all results.
 
-    Names are carried from batch to batch in a table, so no two launches ever share a job
-    name or a metadata file.  The verdicts hold every message of the batch once.
+    Names are carried from batch to batch in two keyed tables, so no two launches ever share a job
+    name or a metadata file.  A batch reads one row for each of its own stems and job names, from the buckets
+    that hold these, however many names were given before.  The verdicts hold every message of the batch once.
     """
     spark = batch.sparkSession
     routed = batch.where(fits(handler.binding)).withColumn("handler", F.lit(handler.name))
     checked = launch.check_metadata(validate(routed, handler.schema)).persist()
     try:
-        before = names_before(spark, root, run, batch_id)
-        taken = before.select("name")
-        if existing is not None:
-            taken = taken.unionByName(existing.select("name"))
+        slots, jobs = slot_table(spark, root), job_table(spark, root)
+        taken = spark.createDataFrame([], "name STRING") if existing is None else existing.select("name")
         valid = checked.where(F.col("disposition") == ACK).drop("metadata_pairs", "metadata_type", "movie_tokens", "disposition", "reason", "outcome_key", "outcome_body")
-        planned = launch.plan_launches(valid, taken, base_path, namespace, base_labels, existing_jobs=before)
+        planned = launch.plan_launches(
+            valid,
+            taken,
+            base_path,
+            namespace,
+            base_labels,
+            given_slots=lambda stems: slots.lookup(stems, run, batch_id),
+            given_jobs=lambda names: jobs.lookup(names, run, batch_id),
+        )
         planned = launch.launch_outcomes(planned).withColumn("document", launch.job_document(template)).persist()
         try:
             _write_launches(batch, batch_id, handler, root, run, checked, planned)
+            started = planned.where(F.col("status") == fixed.STARTED)
+            slots.write(slot_words(started.select(F.col("target_name").alias("name"))), run, batch_id)
+            jobs.write(started.select("job_head", "job_suffix", F.lit(1).cast("bigint").alias("given")), run, batch_id)
         finally:
             planned.unpersist()
     finally:

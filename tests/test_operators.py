@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 from jobtide import session
 from jobtide.operators import jobs, logs, reaping, retry
 from jobtide.operators.launch import label_map, merge_labels
-from jobtide.operators.naming import allocate_names
+from jobtide.operators.naming import allocate_names, slot_words
 from jobtide.operators.numbering import number_rows, serial_slice
 from jobtide.operators.skew import hot_keys, skew_join
 from jobtide.sinks import files as sinks
 from jobtide.sources import events as event_source
 from jobtide.sources import logfiles
 from jobtide.sources.events import read_events
+from jobtide.streaming import launch as launches
 from jobtide.streaming.tail import complete_lines, tail_once
 
 
@@ -102,6 +103,28 @@ def test_allocated_names(spark):
     assert len(taken) == len(set(taken)) and not set(taken) & set(existing)
 
 
+def test_names_carried_as_bitmaps(spark, tmp_path):
+    """Batch after batch with the bitmaps of the batches before, one stem running out of names."""
+    rng, table, used = random.Random(8), launches.slot_table(spark, str(tmp_path / "out"), fan=2, buckets=4), set()
+    none = spark.createDataFrame([], "name STRING")
+    for batch in range(7):
+        stems = ["a", "a-2", "b", f"only-{batch}"]
+        requests = [(rng.choice(stems), i) for i in range(40)] + [("hot", 100 + i) for i in range(170)]
+        df = spark.createDataFrame(requests, "stem STRING, delivery_id BIGINT")
+        given = table.lookup(df.select("stem"), "run", batch)
+        known = [r.stem for r in given.collect()]
+        assert len(known) == len(set(known)) and set(known) <= {s for s, _ in requests}
+        got = allocate_names(df, none, "delivery_id", given=given).select("delivery_id", "target_name").collect()
+        got = {r.delivery_id: r.target_name for r in got}
+        assert got == sequential_names(requests, used)
+        fresh = [n for n in got.values() if n]
+        names = spark.createDataFrame([(n,) for n in fresh], "name STRING")
+        for _ in range(1 + batch % 2):  # some batches run twice
+            table.write(slot_words(names), "run", batch)
+        used |= set(fresh)
+    assert sum(n.startswith("hot") for n in used) == 1000 and "hot-999" in used
+
+
 def test_more_requests_than_names(spark):
     df = spark.range(1200).select(F.lit("s").alias("stem"), F.col("id").alias("delivery_id"))
     none = spark.createDataFrame([], "name STRING")
