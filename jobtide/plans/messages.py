@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from jobtide import fixed
 from jobtide.functions import names
-from jobtide.operators import launch, messages as mq, metadata
+from jobtide.operators import launch, messages as mq, metadata, routing
 from jobtide.operators.spread import spread
 from jobtide.plans.adapters import table, view, with_views
 
@@ -139,6 +139,44 @@ FROM deliveries JOIN bindings b USING (exchange) WHERE regexp_matches(routing_ke
 GROUP BY ALL"""
 
 
+def _order_exchange(customer: str) -> Column:
+    return F.concat(F.lit("orders-"), F.col(customer) % 3).alias("exchange")
+
+
+def _order_messages(spark: SparkSession, sf: str) -> DataFrame:
+    words = F.concat_ws(".", F.lit("order"), F.col("o_custkey"), F.col("o_orderstatus"), F.substring("o_orderpriority", 1, 1))
+    return table(spark, sf, "orders").select(_order_exchange("o_custkey"), words.alias("routing_key"), "o_orderkey")
+
+
+def _order_bindings(spark: SparkSession, sf: str) -> DataFrame:
+    """A queue for each customer, bound by one of seven kinds of pattern, and one for all orders of each exchange."""
+    kinds = ("order.{}.*.*", "order.{}.F.#", "#.{}.*.1", "*.{}.O.*", "#.{}.#.2.#", "order.{}", "order.{}.P.*")
+    kind = F.element_at(F.array(*map(F.lit, kinds)), (F.col("c_custkey") % 7 + 1).cast("int"))
+    pattern = F.replace(kind, F.lit("{}"), F.col("c_custkey").cast("string"))
+    customers = table(spark, sf, "customer").select("c_custkey", _order_exchange("c_custkey"), pattern.alias("pattern"))
+    each = customers.select("exchange", F.concat(F.lit("customer-"), F.col("c_custkey")).alias("handler"), "pattern")
+    everything = customers.select("exchange").distinct().select("exchange", F.lit("everything").alias("handler"), F.lit("order.#").alias("pattern"))
+    return each.unionByName(everything)
+
+
+def topic_table(spark, sf):
+    """Messages per binding, with as many bindings as there are customers."""
+    routed = routing.route_by_table(_order_messages(spark, sf), _order_bindings(spark, sf))
+    return routed.groupBy("handler", "pattern").agg(F.count(F.lit(1)).alias("messages"), F.min("o_orderkey").alias("first_order"))
+
+
+TOPIC_TABLE_SQL = """
+WITH placed AS (SELECT o_orderkey, o_custkey AS c, o_orderstatus AS s, left(o_orderpriority, 1) AS p, o_custkey % 7 AS kind FROM orders)
+SELECT 'customer-' || c AS handler,
+    CASE kind WHEN 0 THEN 'order.' || c || '.*.*' WHEN 1 THEN 'order.' || c || '.F.#' WHEN 2 THEN '#.' || c || '.*.1'
+        WHEN 3 THEN '*.' || c || '.O.*' WHEN 4 THEN '#.' || c || '.#.2.#' ELSE 'order.' || c || '.P.*' END AS pattern,
+    count(*) AS messages, min(o_orderkey) AS first_order
+FROM placed JOIN customer ON c_custkey = c
+WHERE kind = 0 OR (kind = 1 AND s = 'F') OR (kind = 2 AND p = '1') OR (kind = 3 AND s = 'O') OR (kind = 4 AND p = '2') OR (kind = 6 AND s = 'P')
+GROUP BY 1, 2
+UNION ALL SELECT 'everything', 'order.#', count(*), min(o_orderkey) FROM placed"""
+
+
 def unrouted_messages(spark, sf):
     return mq.unrouted(deliveries(spark, sf), BINDINGS).select("exchange", "routing_key", "delivery_id")
 
@@ -255,6 +293,7 @@ QUERIES = {
     "invalid_outcomes": (invalid_outcomes, INVALID_SQL),
     "no_schema_requeue": (no_schema_requeue, NO_SCHEMA_SQL),
     "topic_match": (topic_match, TOPIC_SQL),
+    "topic_table": (topic_table, TOPIC_TABLE_SQL),
     "unrouted_messages": (unrouted_messages, UNROUTED_SQL),
     "integer_rules": (integer_rules, INTEGER_SQL),
     "status_message_fields": (status_message_fields, FIELDS_SQL),
