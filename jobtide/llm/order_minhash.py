@@ -27,6 +27,7 @@ RANGES_PER_PARTITION = 3
 _RANDOM = np.random.default_rng(31337)
 _FACTORS = (_RANDOM.integers(0, 2**31, SKETCHES, np.uint64) * np.uint64(2) + np.uint64(1)).astype(np.uint32)
 _SHIFTS = _RANDOM.integers(0, 2**32, SKETCHES, np.uint64).astype(np.uint32)
+_AGAIN = np.uint64(0x9E3779B97F4A7C15)
 _CHARS = _RANDOM.integers(0, 2**63, K, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -61,8 +62,9 @@ def numbered_kmers(text: str) -> np.ndarray:
     if not new.all():
         places = np.arange(count)
         occurrence = places - np.maximum.accumulate(np.where(new, places, 0))
-        hashes[order] += occurrence.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        hashes = _mixed(hashes)
+        # first occurrences keep their hash, so they agree with those of texts without any repeat
+        again = np.flatnonzero(occurrence)
+        hashes[order[again]] = _mixed(hashes[order[again]] + occurrence[again].astype(np.uint64) * _AGAIN)
     return (hashes >> np.uint64(32)).astype(np.uint32)
 
 
