@@ -189,3 +189,15 @@ def test_held_out_texts_are_likelier_in_their_order(spark):
     ]
     (real, base), (mixed_score, _) = sums
     assert real > base and real > mixed_score
+
+
+def test_rare_grams_of_a_large_corpus_are_held(spark):
+    from pyspark.sql import functions as F
+
+    docs = spark.range(150).select(F.col("id").alias("doc_id"), F.repeat(F.lit("a "), F.lit(100_000)).alias("text"))
+    docs = docs.union(spark.createDataFrame([(1000, "met once only")], "doc_id BIGINT, text STRING"))
+    assert not is_held_out(1000)
+    made = bloom_lm.report(docs).where("doc_id = 1000").first()
+    assert made["train_tokens"] > 10_000_000
+    # each word but the first follows from the one before it; as words that are not held they had 10^-7 each
+    assert made["score"] > -5
