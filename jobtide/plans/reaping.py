@@ -9,6 +9,7 @@ from jobtide.operators import reaping
 from jobtide.plans.adapters import view, with_views
 from jobtide.session import run_dir
 from jobtide.sinks.files import publish, write_pod_logs
+from jobtide.sources.logfiles import read_pod_logs
 
 _KEEP = "coalesce(lower(keep_text) IN ('true', 'yes'), false)"
 _ACTION = f"""CASE WHEN routing_key NOT IN ('cds.job.failed', 'cds.job.success') THEN 'none'
@@ -60,7 +61,7 @@ def archived_pod_logs(spark, sf):
     # a log archived again takes the place of the first one
     for _ in range(2):
         write_pod_logs(chosen, folder)
-    back = spark.read.option("lineSep", "\n").text(folder).withColumnRenamed("value", "line")
+    back = read_pod_logs(spark, folder)
     return reaping.pod_log_sizes(back.withColumn("job_namespace", F.lit("ns0"))).withColumnRenamed(
         "lines", "line_count"
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -10,7 +11,8 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from jobtide import fixed
 from jobtide.functions.text import iso_offset
 from jobtide.operators.messages import ACK, DEAD_LETTER, check_size
-from jobtide.sources.ranges import write_files
+from jobtide.session import written
+from jobtide.sources.ranges import partition_folder, publish_drafts, write_drafts, write_files
 
 
 def _replacing(df: DataFrame, *folders: str):
@@ -82,6 +84,9 @@ def write_pod_logs(lines: DataFrame, base: str | None) -> bool:
     A log that is archived again is replaced, as a file of that name would be.
     Rows are laid out by job, pod and line number in ranges of similar size: a small log is
     one file, a log of very many lines spans several files whose order is the line order.
+
+    Tasks write the files as drafts; once all are there, tasks put them in the place of those that a log had.  The
+    driver does nothing per pod.
     """
     if base is None:
         return False
@@ -90,7 +95,10 @@ def write_pod_logs(lines: DataFrame, base: str | None) -> bool:
         .repartitionByRange("job_name", "pod_name", "line_no")
         .sortWithinPartitions("job_name", "pod_name", "line_no")
     )
-    _replacing(ordered.select("job_name", "pod_name", "line"), "job_name", "pod_name").text(base)
+    # null names and lines stay apart from empty ones as Spark's writer has it: one folder for both, an empty line for both
+    folder = F.concat_ws("/", F.lit(base.rstrip("/")), partition_folder("job_name"), partition_folder("pod_name"))
+    drafts = write_drafts(ordered.select(folder.alias("folder"), F.coalesce("line", F.lit("")).alias("line")), uuid.uuid4().hex)
+    publish_drafts(written(drafts, "drafts").groupBy("folder").agg(F.collect_set("name").alias("names")))
     return True
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 
 from jobtide import fixed
 from jobtide.session import ensure_checkpoint_dir, pin_splits
-from jobtide.sources.ranges import list_tree, read_files, read_packed
+from jobtide.sources.ranges import cut_ranges, list_tree, partition_value, read_files, read_packed, read_ranges
 
 # Rows of the block index that one broadcast carries (about 100 bytes each).
 BLOCKS_PER_BROADCAST = 2_000_000
@@ -158,6 +158,13 @@ def read_pointers(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
+def read_pod_logs(spark: SparkSession, base: str) -> DataFrame:
+    """job_name, pod_name and line of archived pod logs; listed and read by tasks."""
+    files = list_tree(spark, base).where(~F.col("path").rlike(r"/[._][^/]*$")).withColumn("at_start", F.lit(False))
+    lines = read_ranges(cut_ranges(files, F.lit(0), F.col("size")), opened=True)
+    return lines.select(*[partition_value(F.col("path"), c).alias(c) for c in ("job_name", "pod_name")], "line")
+
+
 def read_listing(spark: SparkSession, path: str) -> DataFrame:
     """A log listing in one-object-per-line JSON."""
     return spark.read.schema("name STRING, size BIGINT, lastModified STRING").json(path)

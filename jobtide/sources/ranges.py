@@ -14,7 +14,9 @@ from collections.abc import Iterator
 from itertools import islice
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from jobtide.session import written
@@ -303,3 +305,74 @@ def read_files(files: DataFrame) -> DataFrame:
 
     spread = files.select("path").repartition(files.sparkSession.sparkContext.defaultParallelism, "path")
     return spread.mapInArrow(read, "path STRING, content BINARY").withColumn("content", F.col("content").cast("string"))
+
+
+# --- folders of lines ------------------------------------------------------------------------
+
+_NO_NAME = "__HIVE_DEFAULT_PARTITION__"
+_ESCAPED = r"""([\x01-\x1F"#%'*/:=?\\\x7F{\[\]^])"""
+
+
+def partition_folder(column: str) -> Column:
+    """``column=value`` as Spark names the folder of a value."""
+    plain = F.regexp_replace(F.col(column).cast("string"), _ESCAPED, "\u0000$1\u0000")
+    # every second piece is one character to escape
+    pieces = F.transform(F.split(plain, "\u0000"), lambda piece, at: F.when(at % 2 == 1, F.concat(F.lit("%"), F.lpad(F.hex(piece), 2, "0"))).otherwise(piece))
+    value = F.when(F.col(column).cast("string") == "", F.lit(_NO_NAME)).otherwise(F.array_join(pieces, ""))
+    return F.concat(F.lit(f"{column}="), F.coalesce(value, F.lit(_NO_NAME)))
+
+
+def partition_value(path: Column, column: str) -> Column:
+    """The value that a path has a folder ``column=value`` for."""
+    value = F.regexp_extract(path, f"/{column}=([^/]*)/", 1)
+    return F.when(value == _NO_NAME, None).otherwise(F.url_decode(F.replace(value, F.lit("+"), F.lit("%2B"))))
+
+
+def write_drafts(lines: DataFrame, run: str) -> DataFrame:
+    """Write rows (``folder``, ``line``) as text, a file for each run of rows with one folder in a task; gives folder and name of each.
+
+    Files appear under names with a dot before them, until ``publish_drafts``.  A task that runs again writes its files again.
+    """
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name = f"part-{TaskContext.get().partitionId():05d}-{run}"
+        open_folder, stream = None, None
+        try:
+            for batch in batches:
+                at = pc.run_end_encode(batch.column(0)) if len(batch) else None
+                begin = 0
+                for folder, end in zip(at.values.to_pylist(), at.run_ends.to_pylist()) if at else ():
+                    if folder != open_folder:
+                        if stream:
+                            stream.close()
+                        system, inside = file_system(folder)
+                        system.create_dir(inside, recursive=True)
+                        open_folder, stream = folder, system.open_output_stream(posixpath.join(inside, f".{name}"))
+                        yield pa.RecordBatch.from_arrays([pa.array([folder]), pa.array([name])], ["folder", "name"])
+                    stream.write("".join(f"{line}\n" for line in batch.column(1).slice(begin, end - begin).to_pylist()).encode())
+                    begin = end
+        finally:
+            if stream:
+                stream.close()
+
+    return lines.select("folder", "line").mapInArrow(write, "folder STRING, name STRING")
+
+
+def publish_drafts(drafts: DataFrame) -> int:
+    """Put the drafts (``folder``, ``names``) in the place of the files that their folders have; returns how many folders."""
+
+    def publish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for folder, names in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                system, inside = file_system(folder)
+                there = {posixpath.basename(one.path) for one in system.get_file_info(fs.FileSelector(inside))}
+                for name in there:
+                    if name not in names and not name.startswith("."):
+                        system.delete_file(posixpath.join(inside, name))
+                for name in names:
+                    if f".{name}" in there:  # else a try before this one has moved it
+                        system.move(posixpath.join(inside, f".{name}"), posixpath.join(inside, name))
+            yield pa.RecordBatch.from_arrays([pa.array([len(batch)], pa.int64())], ["folders"])
+
+    done = drafts.select("folder", "names").mapInArrow(publish, "folders BIGINT")
+    return done.agg(F.coalesce(F.sum("folders"), F.lit(0))).first()[0]

@@ -250,6 +250,35 @@ def test_pod_logs_are_replaced(spark, tmp_path):
     assert sorted(r.value for r in spark.read.text(str(tmp_path / "logs")).collect()) == ["other", "second"]
 
 
+def test_pod_logs_of_odd_names(spark, tmp_path, monkeypatch):
+    schema = "job_name STRING, pod_name STRING, line_no BIGINT, line STRING"
+    names = ["a=b/c", "100% +x", "q?*[z]^{", "tab\there", "é:\"'#\\", "", None, "plain"]
+    rows = [("j", name, n, f"{n} of {name}" if n else None) for name in names for n in range(3)]
+    base = str(tmp_path / "logs")
+    frame = spark.createDataFrame(rows, schema)
+    sinks.write_pod_logs(frame, base)
+    # the folders are Spark's own, and nothing is left over by a second run of fewer tasks
+    frame.select("job_name", "pod_name", "line").write.partitionBy("job_name", "pod_name").text(str(tmp_path / "spark"))
+    folders = lambda root: sorted(p.name for p in (root / "job_name=j").iterdir())
+    assert folders(tmp_path / "logs") == folders(tmp_path / "spark")
+    sinks.write_pod_logs(frame.coalesce(1), base)
+    back = sorted((r.job_name, r.pod_name or "", r.line) for r in logfiles.read_pod_logs(spark, base).collect())
+    assert back == sorted((job, name or "", line or "") for job, name, _, line in rows)
+    assert not [p for p in (tmp_path / "logs").rglob(".*")]
+
+
+def test_pod_logs_are_put_in_place_by_tasks(spark, tmp_path, monkeypatch):
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    def refused(*_):
+        raise AssertionError("one folder per pod, renamed by the driver")
+
+    monkeypatch.setattr(DataFrameWriter, "partitionBy", refused)
+    rows = spark.range(300).selectExpr("'j' AS job_name", "concat('p', id % 100) AS pod_name", "id AS line_no", "concat('line ', id) AS line")
+    assert sinks.write_pod_logs(rows, str(tmp_path / "logs")) is True
+    assert spark.read.text(str(tmp_path / "logs")).count() == 300
+
+
 def test_long_messages_are_not_published(spark, tmp_path):
     rows = spark.createDataFrame([("k", "short"), ("k", "x" * 100)], "routing_key STRING, body STRING")
     sinks.publish(rows, str(tmp_path / "out"), "one", max_bytes=50)
