@@ -23,6 +23,7 @@ from jobtide.plans.messages import (
 from jobtide.session import run_dir, written
 from jobtide.sinks.files import compact_states, last_position, read_states, record_position, recover_position
 from jobtide.sources.events import read_events, stream_events
+from jobtide.sources.logfiles import read_pod_logs
 from jobtide.sources.queue import from_kafka, stream_messages
 from jobtide.streaming import delayed, launch as launches, runner, states, status, tail
 
@@ -328,7 +329,7 @@ def reap_stream(spark, sf):
         lambda: lines.select("job_namespace", "pod_name", "line_no", "line"),
         archive,
     ).awaitTermination()
-    back = spark.read.option("lineSep", "\n").text(archive).withColumnRenamed("value", "line")
+    back = read_pod_logs(spark, archive)
     sizes = pod_log_sizes(back.withColumn("job_namespace", F.lit("ns0"))).withColumnRenamed("lines", "line_count")
     jobs_of = back.select("pod_name", "job_name").distinct()
     actions = spark.read.parquet(f"{root}/{launches.ACTIONS}").select("job_name", "action").distinct()
