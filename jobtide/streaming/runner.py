@@ -41,6 +41,17 @@ def batch_folder(root: str, folder: str, run: str, batch_id: int) -> str:
     return f"{root}/{folder}/run={run}/batch={batch_id}"
 
 
+TASK_BYTES = 32 << 20  # of bodies, and so much for each message beside its body:
+_BESIDE = 256
+
+
+def dealt_out(batch: DataFrame, task_bytes: int = TASK_BYTES) -> DataFrame:
+    """The micro-batch over so many tasks that none holds more than a bounded part, however few files it came in."""
+    weight = F.coalesce(F.octet_length("body"), F.lit(0)).cast("bigint") + _BESIDE
+    tasks = -(-(batch.agg(F.sum(weight)).first()[0] or 0) // task_bytes)
+    return batch.repartition(max(tasks, batch.sparkSession.sparkContext.defaultParallelism)) if tasks > 1 else batch
+
+
 def write_batch(
     batch: DataFrame,
     batch_id: int,
@@ -55,6 +66,7 @@ def write_batch(
     leaves its results once, and a stream with a new checkpoint leaves earlier results alone.
     """
     held: list[DataFrame] = []
+    batch = dealt_out(batch)
 
     def hold(df: DataFrame) -> DataFrame:
         held.append(df.persist())
