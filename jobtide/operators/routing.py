@@ -6,8 +6,8 @@ is looked up once per shape that its number of words allows, by its words at the
 of a message depends on the number of shapes, not of bindings, and the look-up is an equality join.
 
 The words before the first ``#`` and after the last one are looked up.  Patterns with words between two ``#`` are looked up
-by one of these as well, the one that the fewest patterns have, with each word of the message; they, and keys with
-empty words, are confirmed by a regular expression afterwards.
+by one of these as well, the one that the fewest patterns have, with each word of the message.  What is looked up is a hash,
+and what it finds is confirmed by a regular expression afterwards.
 """
 
 from __future__ import annotations
@@ -74,8 +74,12 @@ def compile_bindings(bindings: DataFrame) -> DataFrame:
     ).drop("__words", "__head", "__tail", "__open", "__inner", "__rarest")
 
 
+def _hash(shape: Column, ends: Column, within: Column) -> Column:
+    return F.xxhash64(shape, ends, within)
+
+
 def _probes(shapes: Column, words: Column) -> Column:
-    """(shape, words at its ends, word within) for each shape whose number of words a key has."""
+    """Hashes of shape, words at its ends and word within for each shape whose number of words a key has; each hash once."""
     length = lambda s: F.length(s["head"]) + F.length(s["tail"])
     fitting = F.filter(shapes, lambda s: (F.size(words) == length(s)) | (s["open"] & (F.size(words) >= length(s))))
 
@@ -87,9 +91,9 @@ def _probes(shapes: Column, words: Column) -> Column:
         mask = F.concat(s["head"], s["tail"])
         wanted = F.array_join(F.filter(ends, lambda w, i: F.substring(mask, i + 1, F.lit(1)) == "w"), ".")
         within = F.when(s["within"], F.array_distinct(words)).otherwise(F.array(F.lit("")))
-        return F.transform(within, lambda w: F.struct(s.alias("__shape"), wanted.alias("__ends"), w.alias("__within")))
+        return F.transform(within, lambda w: _hash(s, wanted, w))
 
-    return F.flatten(F.transform(fitting, probes))
+    return F.array_distinct(F.flatten(F.transform(fitting, probes)))
 
 
 def route_by_table(messages: DataFrame, bindings: DataFrame) -> DataFrame:
@@ -103,15 +107,12 @@ def route_by_table(messages: DataFrame, bindings: DataFrame) -> DataFrame:
     # one row per exchange; patterns have few shapes, however many they are
     shapes = compiled.groupBy("exchange").agg(F.collect_set("__shape").alias(_SHAPES))
     key = F.col("routing_key")
-    probed = messages.join(shapes, "exchange").withColumn("__key", _words(key))
-    probed = probed.withColumn("__hit", F.explode(_probes(F.col(_SHAPES), F.col("__key"))))
-    looked_up = ["__shape", "__ends", "__within"]
-    probed = probed.withColumns({c: F.col(f"__hit.{c}") for c in looked_up})
-    joined = probed.drop("__hit", _SHAPES).join(compiled, ["exchange", *looked_up])
+    probed = messages.join(shapes, "exchange").withColumn("__hash", F.explode(_probes(F.col(_SHAPES), _words(key)))).drop(_SHAPES)
+    # a message is repeated per shape, so a probe carries one number, and the expression of what it meets decides
+    hashed = compiled.select(*[F.col(f"`{c}`") for c in bindings.columns], "__regex", _hash(F.col("__shape"), F.col("__ends"), F.col("__within")).alias("__hash"))
+    joined = probed.join(hashed, ["exchange", "__hash"])
     dotted = F.when(key == "", "").otherwise(F.concat(F.lit("."), key))
-    doubtful = F.col("__between") | F.exists("__key", lambda w: w == "")
-    fits = F.when(doubtful, F.rlike(dotted, F.col("__regex"))).otherwise(F.lit(True))
-    return joined.where(fits).select(*[F.col(f"`{c}`") for c in messages.columns], *[F.col(f"`{c}`") for c in own])
+    return joined.where(F.rlike(dotted, F.col("__regex"))).select(*[F.col(f"`{c}`") for c in messages.columns], *[F.col(f"`{c}`") for c in own])
 
 
 def unrouted_by_table(messages: DataFrame, bindings: DataFrame) -> DataFrame:

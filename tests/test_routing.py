@@ -69,3 +69,19 @@ def test_ten_thousand_bindings_are_one_look_up_per_shape(spark):
     assert routed.count() == 2 * (10000 + 8000)
     plan = routed._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+
+
+def test_a_probe_is_one_number(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        bindings = spark.createDataFrame([("x", "order.1.#"), ("x", "#.2.#.F"), ("x", "*.*.F")], "exchange STRING, pattern STRING")
+        messages = spark.createDataFrame([("x", "order.1.F"), ("x", "order.2.F"), ("x", "order..F")], "exchange STRING, routing_key STRING")
+        routed = routing.route_by_table(messages, bindings)
+        plan = routed._jdf.queryExecution().executedPlan().toString()
+        assert not [line for line in plan.splitlines() if "hashpartitioning" in line and "__ends" in line]
+        found = sorted((r.routing_key, r.pattern) for r in routed.collect())
+    finally:
+        spark.conf.set(key, before)
+    assert found == [("order.1.F", "*.*.F"), ("order.1.F", "order.1.#"), ("order.2.F", "#.2.#.F"), ("order.2.F", "*.*.F")]
