@@ -7,6 +7,7 @@ opened with pyarrow's file systems (local and mounted folders, ``s3``, ``gs``, `
 
 from __future__ import annotations
 
+import os
 import posixpath
 import re
 import zlib
@@ -51,6 +52,28 @@ def _prefix(path: str) -> str:
 _LISTED = "path STRING, size BIGINT, last_modified TIMESTAMP, is_folder BOOLEAN"
 
 
+def _entries(system: fs.FileSystem, folder: str) -> Iterator[tuple[str, int, int, bool]]:
+    """Path, size, time in nanoseconds of what is in a folder, and whether it is a folder; these file systems give all at once."""
+    for one in system.get_file_info(fs.FileSelector(folder, allow_not_found=True)):
+        yield one.path, one.size or 0, one.mtime_ns or 0, one.type == fs.FileType.Directory
+
+
+def _local_entries(folder: str) -> Iterator[tuple[str, int, int, bool]]:
+    """The same of a local or mounted folder, one entry after the other, however many there are."""
+    try:
+        found = os.scandir(folder)
+    except FileNotFoundError:
+        return
+    with found:
+        for one in found:
+            try:
+                state = one.stat()
+            except FileNotFoundError:  # gone meanwhile
+                continue
+            is_folder = one.is_dir()
+            yield posixpath.join(folder, one.name), 0 if is_folder else state.st_size, state.st_mtime_ns, is_folder
+
+
 def _children(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for folder in batch.column(0).to_pylist():
@@ -58,14 +81,13 @@ def _children(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             before = _prefix(folder)
             if before.startswith("s3") or before.startswith("gs"):  # their paths carry the bucket
                 before = before.split(":")[0] + "://"
-            found = system.get_file_info(fs.FileSelector(inside, allow_not_found=True))
-            for at in range(0, len(found), _ROWS):
-                some = found[at : at + _ROWS]
+            found = _local_entries(inside) if isinstance(system, fs.LocalFileSystem) else _entries(system, inside)
+            while some := list(islice(found, _ROWS)):
                 columns = [
-                    pa.array([before + one.path for one in some], pa.string()),
-                    pa.array([one.size or 0 for one in some], pa.int64()),
-                    pa.array([(one.mtime_ns or 0) // 1_000_000 * 1_000 for one in some], pa.int64()).cast(pa.timestamp("us", "UTC")),
-                    pa.array([one.type == fs.FileType.Directory for one in some], pa.bool_()),
+                    pa.array([before + path for path, *_ in some], pa.string()),
+                    pa.array([size for _, size, *_ in some], pa.int64()),
+                    pa.array([time // 1_000_000 * 1_000 for _, _, time, _ in some], pa.int64()).cast(pa.timestamp("us", "UTC")),
+                    pa.array([is_folder for *_, is_folder in some], pa.bool_()),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, ["path", "size", "last_modified", "is_folder"])
 
@@ -271,7 +293,8 @@ def write_files(files: DataFrame) -> int:
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = set()
-            for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for at in range(len(batch)):  # one text at a time as Python's
+                path, content = batch.column(0)[at].as_py(), batch.column(1)[at].as_py()
                 system, inside = file_system(path)
                 folder, name = posixpath.split(inside)
                 if folder not in made:

@@ -207,3 +207,21 @@ def test_pointers_of_one_job_and_again(spark, tmp_path):
     got = {r.job_name: r.log_path for r in logfiles.read_pointers(spark, base).collect()}
     assert got == {"job a/1+ü": "/p/3\n", "other": "/new\n"}
     assert write_pointers(first.where("false"), base) == 0
+
+
+def test_a_folder_is_listed_entry_by_entry(tmp_path, monkeypatch):
+    import pyarrow as pa
+
+    def whole(*_, **__):
+        raise AssertionError("the whole folder at once")
+
+    (tmp_path / "below").mkdir()
+    for n in range(20):
+        (tmp_path / f"_{n}.log").write_text("x" * n)
+    monkeypatch.setattr(ranges.fs, "FileSelector", whole)
+    monkeypatch.setattr(ranges, "_ROWS", 8)
+    folders = pa.RecordBatch.from_arrays([pa.array([str(tmp_path), str(tmp_path / "none")])], ["path"])
+    parts = list(ranges._children(iter([folders])))
+    assert [len(part) for part in parts] == [8, 8, 5]
+    got = {row["path"]: (row["size"], row["is_folder"]) for part in parts for row in part.to_pylist()}
+    assert got == {str(tmp_path / "below"): (0, True)} | {str(tmp_path / f"_{n}.log"): (n, False) for n in range(20)}
