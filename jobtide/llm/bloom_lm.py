@@ -39,7 +39,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from jobtide.llm.tables import Scratch, arrow_rows
+from jobtide.llm.tables import Scratch, arrow_rows, shuffles_freed
 from jobtide.llm.words import Words, chunks, mixed, split_words, word_hashes
 
 ORDER = 3
@@ -533,6 +533,6 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, scratch: Scratch, do
 def report(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     scratch = Scratch(spark, "bloom-lm")
-    with arrow_rows(spark, ROWS):
+    with arrow_rows(spark, ROWS), shuffles_freed(spark):
         model, counts = train(docs, scratch)
         return score(docs, model, counts, scratch)

@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -201,3 +202,24 @@ def test_rare_grams_of_a_large_corpus_are_held(spark):
     assert made["train_tokens"] > 10_000_000
     # each word but the first follows from the one before it; as words that are not held they had 10^-7 each
     assert made["score"] > -5
+
+
+def shuffle_files(spark):
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+    return {name for i in range(blocks.size()) if (name := blocks.apply(i).name()).startswith("shuffle_")}
+
+
+def test_shuffles_of_stored_tables_are_removed(spark, monkeypatch):
+    monkeypatch.setattr(bloom_lm, "BITS", 96)
+    before, setting = shuffle_files(spark), spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    made = bloom_lm.report(spark.createDataFrame(some_rows(), SCHEMA))
+    for _ in range(100):  # files are removed in the background
+        if not shuffle_files(spark) - before:
+            break
+        time.sleep(0.1)
+    assert shuffle_files(spark) - before == set()
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == setting
+    # nothing of these shuffles is needed for the result, however often it is read
+    first = sorted(map(tuple, made.collect()), key=repr)
+    assert first == sorted(map(tuple, made.collect()), key=repr)
+    same(first, expected(some_rows(), 10**7))
