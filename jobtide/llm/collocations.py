@@ -6,7 +6,9 @@ Nodes are sequences of three words, edges the sequences of four that lead from o
    or triple of words that is met fewer than ``LEAST`` times: no phrase over such a place counts, and shorter ones keep
    their counts; edges from rarer words are left out.  Words and pairs are counted in hashed cells first, then triples of
    frequent pairs; a cell's count is never below that of what is in it, so what is in a cell below ``LEAST`` is
-   rare for certain.  The other cells are two bit maps of fixed size (8 MB each), which are broadcast.
+   rare for certain.  The other cells are two bit maps, which are broadcast.  There is a cell for every 8 to 16 bytes of
+   text, so that as few rare pairs share a cell with others at any size, up to ``MOST_BITS`` (32 MB a map); beyond
+   that more edges are longer than they need be, up to one of four words for every word.
 2. **Edges.** Every word begins one edge: the four words from it on, or fewer if the edge ends before (the
    correction at a piece's end).  Edges are counted within tasks, then over all.
 3. **Flow.** A node's count is the weight that flows through it: the edges that begin with it and
@@ -34,16 +36,17 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from jobtide.llm.tables import Scratch, arrow_rows
+from jobtide.llm.tables import Scratch, arrow_rows, shuffles_freed
 from jobtide.llm.words import Words, chunks, mixed, split_words, word_hashes
 
 LEAST = 30
 LONGEST = 4
 COVERED = 80  # per cent
 SHOWN = 2_000  # phrases of a language in the report
-CELL_BITS = 26
+CELL_BYTES = 16  # of text, for which there is a cell at least
+LEAST_BITS, MOST_BITS = 20, 28  # number of cells, as a power of two
 ROWS = 8_000  # texts handed to a task together
-_BLOCK = 1 << 14  # cells
+_BLOCK, _BLOCKS = 1 << 14, 1 << 12  # cells of a block at least, blocks at most
 _TOGETHER = 4_000_000  # cells counted together in a task
 _NEXT = np.uint64(0x9E3779B97F4A7C15)
 BLANKS = b"\x20\x09"
@@ -63,8 +66,14 @@ def _by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Words
                 yield one.as_py(), split_words(some, BLANKS, STOPS)
 
 
-def _cell(keys: np.ndarray) -> np.ndarray:
-    return (mixed(keys) >> np.uint64(64 - CELL_BITS)).astype(np.int32)
+def cell_bits(docs: DataFrame, text: str = "text", lang: str = "lang") -> int:
+    """Number of cells for the words and pairs of a table's texts, as a power of two."""
+    size = _texts(docs, text, lang).agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return min(max(LEAST_BITS, (size // CELL_BYTES).bit_length()), MOST_BITS)
+
+
+def _cell(keys: np.ndarray, bits: int) -> np.ndarray:
+    return (mixed(keys) >> np.uint64(64 - bits)).astype(np.int32)
 
 
 def _marked(held: np.ndarray, cells: np.ndarray) -> np.ndarray:
@@ -82,20 +91,20 @@ class _Runs:
     ``held`` has the bit map of words and pairs, then that of triples, as far as they are known.
     """
 
-    def __init__(self, lang: str, words: Words, held: Sequence[np.ndarray]):
+    def __init__(self, lang: str, words: Words, held: Sequence[np.ndarray], bits: int):
         codes, same_piece = words.codes, np.append(words.piece[1:] == words.piece[:-1], False)
         hashes = word_hashes(words.different, xxhash.xxh3_64_intdigest(lang))
-        self.kinds = _cell(hashes)
+        self.kinds = _cell(hashes, bits)
         following = np.append(hashes[codes[1:]], np.uint64(0))
         pairs = (hashes * _NEXT)[codes] + following
         self.pair_at = np.flatnonzero(same_piece)
-        self.pairs = _cell(pairs[self.pair_at])
+        self.pairs = _cell(pairs[self.pair_at], bits)
         if held:
             joined = np.zeros(len(codes), bool)
             joined[self.pair_at] = _marked(held[0], self.pairs)
             third = np.append(following[1:], np.uint64(0))
             self.triple_at = np.flatnonzero(joined & _ahead(joined))
-            self.triples = _cell(mixed(pairs[self.triple_at]) * _NEXT + third[self.triple_at])
+            self.triples = _cell(mixed(pairs[self.triple_at]) * _NEXT + third[self.triple_at], bits)
             # words from each on until a rare pair or triple or the end of the piece; 0 for a rare word
             self.reach = _marked(held[0], self.kinds)[codes].astype(np.int8) + joined
         if len(held) > 1:
@@ -105,34 +114,39 @@ class _Runs:
             self.reach += triple & _ahead(triple)
 
 
-def _handed_over(found: list[np.ndarray], least: int) -> pa.RecordBatch:
+def _block(bits: int) -> int:
+    """Cells of a block; places in a block have 16 bits."""
+    return max(_BLOCK, (1 << bits) // _BLOCKS)
+
+
+def _handed_over(found: list[np.ndarray], least: int, block: int) -> pa.RecordBatch:
     """Counted cells by blocks, as bytes: the places in the block, then the counts, which matter up to ``least`` only."""
     cells, counts = np.unique(np.concatenate(found), return_counts=True)
-    blocks, starts = np.unique(cells // _BLOCK, return_index=True)
-    low, counts = (cells % _BLOCK).astype(np.uint16), np.minimum(counts, least).astype(np.min_scalar_type(least))
+    blocks, starts = np.unique(cells // block, return_index=True)
+    low, counts = (cells % block).astype(np.uint16), np.minimum(counts, least).astype(np.min_scalar_type(least))
     ends = np.append(starts[1:], len(cells))
     entries = [low[i:j].tobytes() + counts[i:j].tobytes() for i, j in zip(starts, ends)]
     return pa.RecordBatch.from_arrays([pa.array(blocks, pa.int32()), pa.array(entries, pa.binary())], ["block", "entries"])
 
 
-def frequent_cells(docs: DataFrame, held: Sequence[np.ndarray] = (), text: str = "text", lang: str = "lang", least: int = LEAST) -> np.ndarray:
-    """Bit map of the cells whose words and pairs are met ``least`` times or more, together.
+def frequent_cells(docs: DataFrame, bits: int, held: Sequence[np.ndarray] = (), text: str = "text", lang: str = "lang", least: int = LEAST) -> np.ndarray:
+    """Bit map of the ``2 ** bits`` cells: those whose words and pairs are met ``least`` times or more, together.
 
     With the bit map of these in ``held``: of triples, both of whose pairs are in its cells.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(list(held))
+    shared, size_of_block = docs.sparkSession.sparkContext.broadcast(list(held)), _block(bits)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, size = [], 0
         for language, words in _by_language(batches):
-            runs = _Runs(language, words, shared.value)
+            runs = _Runs(language, words, shared.value, bits)
             found += [runs.triples] if shared.value else [runs.pairs, runs.kinds[words.codes]]
             size += sum(map(len, found[-2:]))
             if size >= _TOGETHER:
-                yield _handed_over(found, least)
+                yield _handed_over(found, least, size_of_block)
                 found, size = [], 0
         if found:
-            yield _handed_over(found, least)
+            yield _handed_over(found, least, size_of_block)
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = np.min_scalar_type(least)
@@ -141,15 +155,15 @@ def frequent_cells(docs: DataFrame, held: Sequence[np.ndarray] = (), text: str =
             for block, entries in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 count = len(entries) // (2 + kind.itemsize)
                 low, n = np.frombuffer(entries, np.uint16, count), np.frombuffer(entries, kind, count, 2 * count)
-                own = sums.setdefault(block, np.zeros(_BLOCK, kind))
+                own = sums.setdefault(block, np.zeros(size_of_block, kind))
                 own[low] = np.minimum(own[low].astype(np.int64) + n, least)
-        bits = [np.packbits(own >= least, bitorder="little").tobytes() for own in sums.values()]
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(bits, pa.binary())], ["block", "bits"])
+        maps = [np.packbits(own >= least, bitorder="little").tobytes() for own in sums.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(maps, pa.binary())], ["block", "map"])
 
     cells = _texts(docs, text, lang).mapInArrow(counted, "block INT, entries BINARY").repartition("block")
-    made = np.zeros((1 << CELL_BITS) // 8, np.uint8)
-    for block, bits in cells.mapInArrow(summed, "block INT, bits BINARY").collect():  # at most 8 MB, whatever the table
-        made[block * _BLOCK // 8 : (block + 1) * _BLOCK // 8] = np.frombuffer(bits, np.uint8)
+    made = np.zeros((1 << bits) // 8, np.uint8)
+    for block, part in cells.mapInArrow(summed, "block INT, map BINARY").collect():  # at most 32 MB in all, whatever the table
+        made[block * size_of_block // 8 : (block + 1) * size_of_block // 8] = np.frombuffer(part, np.uint8)
     return made
 
 
@@ -171,13 +185,13 @@ def _distinct(words: Words, reach: np.ndarray) -> tuple[pa.Array, np.ndarray, np
 
 def edges(docs: DataFrame, held: Sequence[np.ndarray], text: str = "text", lang: str = "lang") -> DataFrame:
     """(lang, phrase, words, weight) of all edges; the empty phrase has the number of all words."""
-    shared = docs.sparkSession.sparkContext.broadcast(list(held))
+    shared, bits = docs.sparkSession.sparkContext.broadcast(list(held)), (8 * len(held[0])).bit_length() - 1
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for language, words in _by_language(batches):
             if not len(words.codes):
                 continue
-            phrases, sizes, weights = _distinct(words, _Runs(language, words, shared.value).reach)
+            phrases, sizes, weights = _distinct(words, _Runs(language, words, shared.value, bits).reach)
             columns = [
                 pa.array([language] * (len(phrases) + 1), pa.string()),
                 pa.concat_arrays([phrases, pa.array([""])]),
@@ -306,9 +320,10 @@ class Graph:
 
     def __init__(self, docs: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST):
         self.scratch = Scratch(docs.sparkSession, "collocations")
-        with arrow_rows(docs.sparkSession, ROWS):
-            held = [frequent_cells(docs, (), text, lang, least)]
-            held.append(frequent_cells(docs, held, text, lang, least))
+        with arrow_rows(docs.sparkSession, ROWS), shuffles_freed(docs.sparkSession):
+            bits = cell_bits(docs, text, lang)
+            held = [frequent_cells(docs, bits, (), text, lang, least)]
+            held.append(frequent_cells(docs, bits, held, text, lang, least))
             counted = self.scratch.store(edges(docs, held, text, lang), "edges")
         self.totals = counted.where("words = 0").select("lang", F.col("weight").alias("n"))
         self.counts = self.scratch.store(flows(counted, least), "counts")

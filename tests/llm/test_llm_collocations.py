@@ -4,9 +4,11 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from jobtide.llm import collocations
 from jobtide.llm.words import chunks, split_words, word_hashes
@@ -96,6 +98,34 @@ def test_very_long_text(spark):
     assert found(spark, rows, 30)[0] == expected(rows, 30)
 
 
+def rare_words(spark, texts, often=""):
+    """Texts of 500 words, each of which is met once."""
+    words = spark.range(500 * texts, numPartitions=8).selectExpr("id div 500 as doc_id", "md5(cast(id as string)) as word")
+    return words.groupBy("doc_id").agg(F.concat(F.lit(often), F.array_join(F.collect_list("word"), " ")).alias("text")).withColumn("lang", F.lit("en"))
+
+
+def test_cells_grow_with_the_text(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "LEAST_BITS", 14)
+    shares = []
+    for texts in (64, 4096):  # at one size of the maps, 64 times the text would mark all cells
+        docs = rare_words(spark, texts).cache()
+        bits = collocations.cell_bits(docs)
+        held = collocations.frequent_cells(docs, bits, least=5)
+        shares.append(np.unpackbits(held).mean())
+        assert len(held) == (1 << bits) // 8
+        docs.unpersist()
+    assert shares[1] < 2 * shares[0] and shares[1] < 0.5
+
+
+@pytest.mark.parametrize("bits", [14, 15, 27])
+def test_number_of_cells_does_not_change_results(spark, monkeypatch, bits):
+    monkeypatch.setattr(collocations, "LEAST_BITS", bits)
+    monkeypatch.setattr(collocations, "MOST_BITS", bits)
+    docs = rare_words(spark, 60, "some often met words. ")
+    rows = some_rows() + [(i, row["text"], "en", "s", 0) for i, row in enumerate(docs.collect())]
+    assert found(spark, rows, 30)[0] == expected(rows, 30)
+
+
 def test_report_is_ranked(spark, monkeypatch):
     monkeypatch.setattr(collocations, "LEAST", 2)
     monkeypatch.setattr(collocations, "SHOWN", 5)
