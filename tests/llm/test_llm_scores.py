@@ -209,15 +209,26 @@ def shuffle_files(spark):
     return {name for i in range(blocks.size()) if (name := blocks.apply(i).name()).startswith("shuffle_")}
 
 
-def test_shuffles_of_stored_tables_are_removed(spark, monkeypatch):
-    monkeypatch.setattr(bloom_lm, "BITS", 96)
-    before, setting = shuffle_files(spark), spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
-    made = bloom_lm.report(spark.createDataFrame(some_rows(), SCHEMA))
+def new_shuffle_files(spark, before):
     for _ in range(100):  # files are removed in the background
         if not shuffle_files(spark) - before:
             break
         time.sleep(0.1)
-    assert shuffle_files(spark) - before == set()
+    return shuffle_files(spark) - before
+
+
+def test_a_stored_table_leaves_no_shuffle_files(spark):
+    before = shuffle_files(spark)
+    made = Scratch(spark, "test-store").store(spark.range(1000).selectExpr("id % 10 AS k").groupBy("k").count(), "counts")
+    assert new_shuffle_files(spark, before) == set()
+    assert sorted(map(tuple, made.collect())) == [(k, 100) for k in range(10)]
+
+
+def test_shuffles_of_stored_tables_are_removed(spark, monkeypatch):
+    monkeypatch.setattr(bloom_lm, "BITS", 96)
+    before, setting = shuffle_files(spark), spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    made = bloom_lm.report(spark.createDataFrame(some_rows(), SCHEMA))
+    assert new_shuffle_files(spark, before) == set()
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == setting
     # nothing of these shuffles is needed for the result, however often it is read
     first = sorted(map(tuple, made.collect()), key=repr)
