@@ -10,7 +10,9 @@ Nodes are sequences of three words, edges the sequences of four that lead from o
    text, so that as few rare pairs share a cell with others at any size, up to ``MOST_BITS`` (32 MB a map); beyond
    that more edges are longer than they need be, up to one of four words for every word.
 2. **Edges.** Every word begins one edge: the four words from it on, or fewer if the edge ends before (the
-   correction at a piece's end).  Edges are counted within tasks, then over all.
+   correction at a piece's end).  Edges are counted within parts of a task's text, added up over the task, then over all:
+   a task hands over each edge it meets once, unless it meets more than ``HELD_BYTES`` of different ones.  An edge is
+   handed over by each task that meets it, so splits are joined to two tasks a core, or ``TASK_BYTES`` of text a task if those are more.
 3. **Flow.** A node's count is the weight that flows through it: the edges that begin with it and
    the ends of pieces there; two and one words likewise.  So all counts come from the edges.
 4. **Paths.** A node through which one edge brings and one takes all its flow is unary.  Edges joined
@@ -45,13 +47,19 @@ COVERED = 80  # per cent
 SHOWN = 2_000  # phrases of a language in the report
 CELL_BYTES = 16  # of text, for which there is a cell at least
 LEAST_BITS, MOST_BITS = 20, 28  # number of cells, as a power of two
-ROWS = 8_000  # texts handed to a task together
+ROWS = 2_000  # texts handed to a task together
+PART_BYTES = 4_000_000  # of text that is held as words together
+HELD_BYTES = 64_000_000  # of different edges that a task adds up before it hands them over
+TASK_BYTES = 512_000_000  # of text whose edges a task counts at most, unless the splits are larger
+_WAITING = 8_000_000  # bytes of counted edges that are added up together at least
+_SENT = 100_000  # edges of a batch that is handed over
 _BLOCK, _BLOCKS = 1 << 14, 1 << 12  # cells of a block at least, blocks at most
 _TOGETHER = 4_000_000  # cells counted together in a task
 _NEXT = np.uint64(0x9E3779B97F4A7C15)
 BLANKS = b"\x20\x09"
 STOPS = b".,;:!?\x0a\x0b\x0c\x0d"
 _KEY = ["lang", "phrase"]
+_EDGE = ["phrase", "words", "weight"]
 
 
 def _texts(docs: DataFrame, text: str, lang: str) -> DataFrame:
@@ -62,14 +70,26 @@ def _by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Words
     for batch in batches:
         lang, text = batch.columns
         for one in lang.unique():
-            for some in chunks(text.filter(pc.equal(lang, one))):
+            for some in chunks(text.filter(pc.equal(lang, one)), PART_BYTES):
                 yield one.as_py(), split_words(some, BLANKS, STOPS)
 
 
+def _text_bytes(docs: DataFrame, text: str, lang: str) -> int:
+    return _texts(docs, text, lang).agg(F.sum(F.octet_length("text"))).first()[0] or 0
+
+
+def _bits(size: int) -> int:
+    return min(max(LEAST_BITS, (size // CELL_BYTES).bit_length()), MOST_BITS)
+
+
 def cell_bits(docs: DataFrame, text: str = "text", lang: str = "lang") -> int:
     """Number of cells for the words and pairs of a table's texts, as a power of two."""
-    size = _texts(docs, text, lang).agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    return min(max(LEAST_BITS, (size // CELL_BYTES).bit_length()), MOST_BITS)
+    return _bits(_text_bytes(docs, text, lang))
+
+
+def counting_tasks(size: int, cores: int) -> int:
+    """Number of tasks that count the edges of so many bytes of text, if there are not fewer splits."""
+    return max(2 * cores, -(-size // TASK_BYTES))
 
 
 def _cell(keys: np.ndarray, bits: int) -> np.ndarray:
@@ -183,24 +203,61 @@ def _distinct(words: Words, reach: np.ndarray) -> tuple[pa.Array, np.ndarray, np
     return pc.binary_join_element_wise(*parts, " ", null_handling="skip"), reach[first], weights
 
 
-def edges(docs: DataFrame, held: Sequence[np.ndarray], text: str = "text", lang: str = "lang") -> DataFrame:
-    """(lang, phrase, words, weight) of all edges; the empty phrase has the number of all words."""
+def _added_up(counted: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """(phrase, words, weight): each different edge of a language once, with the sum of its weights."""
+    phrases = pa.chunked_array([one["phrase"] for one in counted]).dictionary_encode()
+    different = phrases.chunk(0).dictionary  # of all chunks
+    words, weights = np.zeros(len(different), np.int8), np.zeros(len(different), np.int64)
+    for part, one in zip(phrases.chunks, counted):
+        codes = part.indices.to_numpy()
+        words[codes] = one["words"].to_numpy()
+        np.add.at(weights, codes, one["weight"].to_numpy())
+    return pa.RecordBatch.from_arrays([different, pa.array(words), pa.array(weights)], _EDGE)
+
+
+def _with_language(counted: dict[str, list[pa.RecordBatch]]) -> Iterator[pa.RecordBatch]:
+    for language, parts in counted.items():
+        made = _added_up(parts)
+        for begin in range(0, len(made), _SENT):
+            some = made.slice(begin, _SENT)
+            yield pa.RecordBatch.from_arrays([pa.array([language] * len(some), pa.string()), *some.columns], ["lang", *_EDGE])
+
+
+def edges(docs: DataFrame, held: Sequence[np.ndarray], text: str = "text", lang: str = "lang", tasks: int | None = None) -> DataFrame:
+    """(lang, phrase, words, weight) of all edges; the empty phrase has the number of all words.
+
+    They are counted in so many ``tasks`` at most, if that is given.
+    """
     shared, bits = docs.sparkSession.sparkContext.broadcast(list(held)), (8 * len(held[0])).bit_length() - 1
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list[pa.RecordBatch]] = {}
+        size, added = 0, 0
         for language, words in _by_language(batches):
             if not len(words.codes):
                 continue
             phrases, sizes, weights = _distinct(words, _Runs(language, words, shared.value, bits).reach)
             columns = [
-                pa.array([language] * (len(phrases) + 1), pa.string()),
                 pa.concat_arrays([phrases, pa.array([""])]),
                 pa.array(np.append(sizes, 0), pa.int8()),
                 pa.array(np.append(weights, len(words.codes)), pa.int64()),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "words", "weight"])
-
-    made = _texts(docs, text, lang).mapInArrow(counted, "lang STRING, phrase STRING, words BYTE, weight BIGINT")
+            own = pa.RecordBatch.from_arrays(columns, _EDGE)
+            held.setdefault(language, []).append(own)
+            size += own.nbytes
+            # as much waits as is added up already, so no edge is added up many times
+            if size >= 2 * added + _WAITING:
+                for one in held:
+                    held[one] = [_added_up(held[one])]
+                size = added = sum(parts[0].nbytes for parts in held.values())
+                if added >= HELD_BYTES:
+                    yield from _with_language(held)
+                    held, size, added = {}, 0, 0
+        yield from _with_language(held)
+
+    texts = _texts(docs, text, lang)
+    texts = texts.coalesce(tasks) if tasks else texts
+    made = texts.mapInArrow(counted, "lang STRING, phrase STRING, words BYTE, weight BIGINT")
     return made.groupBy(*_KEY, "words").agg(F.sum("weight").alias("weight"))
 
 
@@ -321,10 +378,11 @@ class Graph:
     def __init__(self, docs: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST):
         self.scratch = Scratch(docs.sparkSession, "collocations")
         with arrow_rows(docs.sparkSession, ROWS), shuffles_freed(docs.sparkSession):
-            bits = cell_bits(docs, text, lang)
+            size = _text_bytes(docs, text, lang)
+            bits, tasks = _bits(size), counting_tasks(size, docs.sparkSession.sparkContext.defaultParallelism)
             held = [frequent_cells(docs, bits, (), text, lang, least)]
             held.append(frequent_cells(docs, bits, held, text, lang, least))
-            counted = self.scratch.store(edges(docs, held, text, lang), "edges")
+            counted = self.scratch.store(edges(docs, held, text, lang, tasks), "edges")
         self.totals = counted.where("words = 0").select("lang", F.col("weight").alias("n"))
         self.counts = self.scratch.store(flows(counted, least), "counts")
         self.nodes = self.scratch.store(nodes(self.counts), "nodes")

@@ -9,8 +9,10 @@ import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
 from jobtide.llm import collocations
+from jobtide.llm.tables import arrow_rows
 from jobtide.llm.words import chunks, split_words, word_hashes
 
 SCHEMA = "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT"
@@ -126,6 +128,57 @@ def test_number_of_cells_does_not_change_results(spark, monkeypatch, bits):
     assert found(spark, rows, 30)[0] == expected(rows, 30)
 
 
+def handed_over(docs, monkeypatch, rows_together, least=2):
+    """Rows that the tasks hand over, and the edges made of them."""
+    made, plain = [], DataFrame.mapInArrow
+    with arrow_rows(docs.sparkSession, rows_together):
+        held = [collocations.frequent_cells(docs, 20, least=least)]
+        held.append(collocations.frequent_cells(docs, 20, held, least=least))
+        monkeypatch.setattr(DataFrame, "mapInArrow", lambda *given: made.append(plain(*given)) or made[-1])
+        edges = collocations.edges(docs, held)
+        return made[-1].count(), sorted(map(tuple, edges.collect()))
+
+
+def test_a_task_hands_over_each_edge_once(spark, monkeypatch):
+    rows = [(i, f"one two three four five. own{i}, {passage(9, i % 3)}", ["en", "de", None][i % 3], "s", 0) for i in range(90)]
+    docs = spark.createDataFrame(rows, SCHEMA).coalesce(1).cache()
+    count, made = handed_over(docs, monkeypatch, 4)  # in 23 parts
+    assert count == len(made)
+    monkeypatch.undo()
+    assert handed_over(docs, monkeypatch, 1000) == (count, made)
+    docs.unpersist()
+
+
+def test_edges_beyond_what_a_task_holds_are_handed_over_before(spark, monkeypatch):
+    rows = some_rows()
+    docs = spark.createDataFrame(rows, SCHEMA).coalesce(1).cache()
+    count, made = handed_over(docs, monkeypatch, 4)
+    monkeypatch.undo()
+    monkeypatch.setattr(collocations, "HELD_BYTES", 2_000)
+    monkeypatch.setattr(collocations, "_WAITING", 1_000)
+    early, same = handed_over(docs, monkeypatch, 4)
+    assert same == made and len(made) == count < early
+    docs.unpersist()
+
+
+def test_rows_handed_over_do_not_grow_with_the_splits(spark, monkeypatch):
+    made, plain = [], DataFrame.mapInArrow
+    rows = [(i, "one two three four five. " * 3, "en", "s", 0) for i in range(300)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(100).cache()
+    monkeypatch.setattr(DataFrame, "mapInArrow", lambda *given: made.append(plain(*given)) or made[-1])
+    graph = collocations.Graph(docs)
+    assert made[-1].columns[1] == "phrase"
+    assert made[-1].count() <= 2 * spark.sparkContext.defaultParallelism * 6  # five edges and the number of words
+    assert sorted(map(tuple, graph.collocations().select("lang", "phrase", "a", "l", "r", "n", "score").collect())) == expected(rows, 30)
+    docs.unpersist()
+
+
+def test_counting_tasks_follow_cores_then_the_text():
+    gb = 1_000_000_000
+    assert collocations.counting_tasks(0, 6) == collocations.counting_tasks(6 * gb, 6) == 12
+    assert [collocations.counting_tasks(size * gb, 6) for size in (48, 96, 480)] == [94, 188, 938]
+
+
 def test_report_is_ranked(spark, monkeypatch):
     monkeypatch.setattr(collocations, "LEAST", 2)
     monkeypatch.setattr(collocations, "SHOWN", 5)
