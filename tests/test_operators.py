@@ -13,6 +13,7 @@ from jobtide.operators.launch import label_map, merge_labels
 from jobtide.operators.naming import allocate_names, slot_words
 from jobtide.operators.numbering import number_rows, serial_slice
 from jobtide.operators.skew import hot_keys, skew_join
+from jobtide.plans import launches as launch_plans
 from jobtide.sinks import files as sinks
 from jobtide.sources import events as event_source
 from jobtide.sources import logfiles
@@ -20,6 +21,8 @@ from jobtide.sources.events import read_events
 from jobtide.streaming import launch as launches
 from jobtide.streaming.tail import complete_lines, tail_once
 
+SF = "/root/testdata/sf0.001"
+
 
 def hot_rows(n=3000):
     rng = random.Random(5)
@@ -125,6 +128,21 @@ def test_names_carried_as_bitmaps(spark, tmp_path):
     assert sum(n.startswith("hot") for n in used) == 1000 and "hot-999" in used
 
 
+@pytest.mark.parametrize("query", ["metadata_files"])
+def test_requests_are_not_broadcast_for_their_names(spark, monkeypatch, query):
+    """What the optimizer takes requests for says nothing about their number, so they go to their names by a shuffle."""
+    plans, write = [], launch_plans.write_metadata
+
+    def seen(plan, path, run):
+        plans.append(plan.select("metadata_path", "inmeta", "routename"))
+        write(plan, path, run)
+
+    monkeypatch.setattr(launch_plans, "write_metadata", seen)
+    plans.append(getattr(launch_plans, query)(spark, SF))
+    joins = [x for x in plans[0]._jdf.queryExecution().sparkPlan().toString().splitlines() if "Join" in x and "__digest" in x]
+    assert joins and all("SortMergeJoin" in x for x in joins)
+
+
 def test_more_requests_than_names(spark):
     df = spark.range(1200).select(F.lit("s").alias("stem"), F.col("id").alias("delivery_id"))
     none = spark.createDataFrame([], "name STRING")
