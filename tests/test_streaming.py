@@ -158,6 +158,22 @@ def test_a_failed_batch_leaves_nothing_cached(spark, tmp_path, stored):
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
 
 
+def test_a_launch_batch_holds_its_tables_in_files(spark, tmp_path, monkeypatch):
+    """While a batch runs executors cache none of its rows, and a batch that fails leaves none of its tables."""
+    root, held = tmp_path / "out", tmp_path / "out" / "held"
+    seen = []
+
+    def fail(batch, batch_id, handler, root, run, checked, planned):
+        files = [p for p in held.rglob("*.parquet") if p.stat().st_size]
+        seen.append((spark.sparkContext._jsc.getPersistentRDDs().size(), len(files) > 1, checked.count() >= planned.count() > 0))
+        raise RuntimeError("disk is full")
+
+    monkeypatch.setattr(launches, "_write_launches", fail)
+    with pytest.raises(RuntimeError, match="disk is full"):
+        launches.launch_batch(message_plans.uploads(spark, SF), 0, message_plans.UPLOAD_HANDLER, str(root), "/meta", "ns", "run")
+    assert seen == [(0, True, True)] and not list(held.rglob("*.parquet"))
+
+
 def test_a_stream_that_keeps_running(spark, tmp_path):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     rows = watch_rows(spark)
