@@ -128,7 +128,7 @@ def test_names_carried_as_bitmaps(spark, tmp_path):
     assert sum(n.startswith("hot") for n in used) == 1000 and "hot-999" in used
 
 
-@pytest.mark.parametrize("query", ["metadata_files", "outcome_union"])
+@pytest.mark.parametrize("query", ["metadata_files", "outcome_union", "repeated_job_names"])
 def test_requests_are_not_broadcast_for_their_names(spark, monkeypatch, query):
     """What the optimizer takes requests for says nothing about their number, so they go to their names by a shuffle."""
     plans, write = [], launch_plans.write_metadata
